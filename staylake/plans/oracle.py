@@ -146,7 +146,7 @@ ORACLE: dict[str, str] = {
     "status_lookup": f"SELECT id, status FROM ({MAPPED_WITH_ID})",
     "status_lookup_null_value": f"SELECT id, status FROM ({_mapped(STATUS_P_NULL)})",
     "region_lookup": f"SELECT id, country_code, region FROM ({MAPPED_WITH_ID})",
-    "transform_sample": f"SELECT {MAPPED_COLUMNS} FROM ({MAPPED_WITH_ID}) ORDER BY id LIMIT 100",
+    "transform_sample": f"SELECT {MAPPED_COLUMNS} FROM ({MAPPED_WITH_ID}) ORDER BY cast(id AS VARCHAR) LIMIT 100",
     "currencies_distinct": WANTED,
     "usd_rates": USD_RATES,
     "missing_rates": f"""
