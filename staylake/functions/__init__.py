@@ -9,7 +9,7 @@ from staylake.functions.fields import (
     prefixed_id,
     safe_path,
 )
-from staylake.functions.labels import DEVICE_NAMES, attribution, device_name, label_part, label_segments
+from staylake.functions.labels import DEVICE_NAMES, attribution, device_name, label_part
 from staylake.functions.money import invert_quote, to_usd
 
 __all__ = [
@@ -22,7 +22,6 @@ __all__ = [
     "device_name",
     "invert_quote",
     "label_part",
-    "label_segments",
     "month_of",
     "prefixed_id",
     "safe_path",

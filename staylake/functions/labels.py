@@ -5,6 +5,13 @@ of ``prefix-value`` segments. A segment without ``-`` is ignored, the prefix
 ends at the first ``-`` (so ``p-BC-483720`` has value ``BC-483720``), and
 when a prefix repeats, its last segment wins. Empty or missing labels give
 null for every part.
+
+Implementation: with a ``_`` put in front of the label, every segment starts
+right after a ``_``, and a value can never contain ``_``. So a segment with
+prefix ``k`` exists exactly when ``"_" + label`` contains ``"_k-"``, and the
+last such segment's value is the text after the last ``"_k-"`` up to the next
+``_``. Plain string functions, no arrays or lambdas, so the parse runs inside
+whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -20,20 +27,12 @@ DEVICE_NAMES = {
 }
 
 
-def label_segments(label: Column) -> Column:
-    """Array of ``_``-separated segments, empty ones kept."""
-    return F.split(label, "_", -1)
-
-
-def label_part(label: Column, prefix: str, segments: Column | None = None) -> Column:
-    """Value of the last ``prefix-…`` segment, or null when there is none.
-
-    ``segments`` lets a caller share one split across several parts.
-    """
-    segs = label_segments(label) if segments is None else segments
-    head = f"{prefix}-"
-    matches = F.filter(segs, lambda s: s.startswith(head))
-    return F.substring(F.try_element_at(matches, F.lit(-1)), len(head) + 1, 1 << 30)
+def label_part(label: Column, prefix: str) -> Column:
+    """Value of the last ``prefix-…`` segment, or null when there is none."""
+    padded = F.concat(F.lit("_"), label)
+    marker = f"_{prefix}-"
+    after_last = F.substring_index(padded, marker, -1)
+    return F.when(F.instr(padded, marker) > 0, F.substring_index(after_last, "_", 1))
 
 
 def device_name(code: Column) -> Column:
@@ -46,9 +45,8 @@ def device_name(code: Column) -> Column:
 
 def attribution(label: Column) -> dict[str, Column]:
     """``site_key``, ``device`` and ``referral_property_id`` for a label column."""
-    segs = label_segments(label)
     return {
-        "site_key": F.upper(label_part(label, "k", segs)),
-        "device": device_name(label_part(label, "d", segs)),
-        "referral_property_id": label_part(label, "p", segs),
+        "site_key": F.upper(label_part(label, "k")),
+        "device": device_name(label_part(label, "d")),
+        "referral_property_id": label_part(label, "p"),
     }
