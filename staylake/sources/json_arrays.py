@@ -37,6 +37,9 @@ def array_records(spark: SparkSession, path: str | list[str], layout: str = "who
         files = spark.read.text(path, wholetext=True)
         elems = files.select(F.explode(F.coalesce(F.from_json("value", "array<string>"), F.array("value"))).alias("value"))
         # One file is one task; spread its records before any further work.
+        # Round-robin, not a hash of the text: identical copies of a record
+        # would all hash to one partition. Spark sorts rows before a
+        # round-robin split, so a recomputed task places them the same way.
         return elems.repartition(spark.sparkContext.defaultParallelism)
     if layout == "lines":
         lines = spark.read.text(path)
