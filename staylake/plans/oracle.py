@@ -169,6 +169,7 @@ ORACLE: dict[str, str] = {
         SELECT 'overwrite' AS mode, ok AS rows_written, bad AS rows_rejected FROM c
         UNION ALL SELECT 'append', ok, bad FROM c""",
     "load_table": f"SELECT * FROM ({TABLE}) WHERE CAST(transaction_id AS BIGINT) % 37 <> 0",
+    "incremental_append": TABLE,
     "pruned_scan": f"""
         SELECT * FROM ({TABLE})
         WHERE check_in_date BETWEEN DATE '1995-03-15' AND DATE '1996-08-31'

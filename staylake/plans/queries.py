@@ -269,6 +269,18 @@ def load_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream the raw bookings in as several files, one micro-batch each, appended once."""
+    from staylake.streaming.incremental import load_available
+
+    table = f"{_database(spark, 'inc')}.bookings"
+    src = scratch_path(spark, "incremental_src")
+    fx.booking_json_lines(spark, sf_dir).repartition(3).write.text(src)
+    ckpt = scratch_path(spark, "stream_ckpt")
+    load_available(spark, src, fixture_lookups(spark, sf_dir), table, checkpoint_location=ckpt, max_files_per_trigger=1)
+    return spark.table(table)
+
+
 def pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_bookings(spark, bookings_table(spark, sf_dir), SCAN_FROM, SCAN_TO, SCAN_REGIONS)
 
@@ -328,6 +340,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_append": write_append,
     "run_history": run_history,
     "load_table": load_table,
+    "incremental_append": incremental_append,
     "pruned_scan": pruned_scan,
     "row_count": row_count_q,
     "breakdown_region": _breakdown("region"),
