@@ -161,6 +161,7 @@ ORACLE: dict[str, str] = {
     "json_array_lines_scan": MAPPED,
     "json_array_rewrite": MAPPED,
     "mapping_load": f"SELECT k AS key, region AS value FROM ({REGIONS})",
+    "lookups_from_files": MAPPED,
     "events_props": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "write_overwrite": TABLE,
     "write_append": f"SELECT * FROM ({TABLE}) UNION ALL SELECT * FROM ({TABLE})",

@@ -20,7 +20,7 @@ from staylake.operators.audit import breakdown_by, describe_table, row_count, sa
 from staylake.operators.rates import all_usd_rates, convert_amount, missing_rates, usd_rates, wanted_currencies
 from staylake.operators.rejects import split_rejects
 from staylake.plans.load import run_load
-from staylake.plans.mapping import Lookups, map_bookings, transform_sample
+from staylake.plans.mapping import Lookups, load_lookups, map_bookings, transform_sample
 from staylake.session import scratch_path
 from staylake.sinks.table import ensure_database, scan_bookings, table_history, write_table
 from staylake.sources import tpch_bookings as fx
@@ -130,7 +130,7 @@ def _booking_currencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def currencies_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _booking_currencies(spark, sf_dir)
+    return _booking_currencies(spark, sf_dir).orderBy("currency")
 
 
 def usd_rates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +206,15 @@ def mapping_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_mapping(spark, f"{path}/country_region.json")
 
 
+def lookups_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default wiring: both mapping files written to a folder, loaded back, then the full mapping."""
+    folder = scratch_path(spark, "mappings_dir")
+    write_mapping(fx.status_mapping(spark), f"{folder}/status_mapping.json")
+    write_mapping(fx.region_mapping(spark, sf_dir), f"{folder}/country_region.json")
+    lk = load_lookups(spark, folder, fx.quotes(spark))
+    return map_bookings(fx.raw_bookings(spark, sf_dir), lk)
+
+
 def events_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = fx.table(spark, sf_dir, "events")
     parsed = ev.select("event_id", F.from_json("props", StructType().add("k", "string")).alias("props"))
@@ -335,6 +344,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_array_lines_scan": json_array_lines_scan,
     "json_array_rewrite": json_array_rewrite,
     "mapping_load": mapping_load,
+    "lookups_from_files": lookups_from_files,
     "events_props": events_props,
     "write_overwrite": write_overwrite,
     "write_append": write_append,

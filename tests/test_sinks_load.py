@@ -124,3 +124,11 @@ def test_transform_sample(spark, lookups):
     assert sample.count() == 10
     first_ids = sorted(r["id"] for r in raw.select("id").collect())[:10]
     assert sorted(r["transaction_id"] for r in sample.collect()) == first_ids
+
+
+def test_sanity_table_insert_values(spark):
+    """Create a small table, insert literal rows, read them back."""
+    db = _database(spark, "smoke")
+    spark.sql(f"CREATE TABLE {db}.test_table (id INT, name STRING) USING parquet")
+    spark.sql(f"INSERT INTO {db}.test_table VALUES (1, 'hello'), (2, 'world')")
+    assert sorted(tuple(r) for r in spark.table(f"{db}.test_table").collect()) == [(1, "hello"), (2, "world")]
