@@ -56,7 +56,7 @@ def _usd(amount: str, rate: str) -> str:
 
 def _mapped(status_case: str) -> str:
     return f"""
-SELECT b.id,
+SELECT cast(b.id AS VARCHAR) AS id,
   cast(b.reservation AS VARCHAR) AS transaction_id,
   b.label AS conversion_key,
   upper({_part('k')}) AS site_key,
@@ -137,7 +137,7 @@ ORACLE: dict[str, str] = {
     "label_parse": f"SELECT id, conversion_key AS label, site_key, device, referral_property_id FROM ({MAPPED_WITH_ID})",
     "device_codes": f"SELECT device, count(*) AS bookings FROM ({MAPPED_WITH_ID}) GROUP BY device",
     "safe_nested_fields": f"""
-        SELECT id, cast(reservation AS VARCHAR) AS transaction_id, travel_purpose, country, currency,
+        SELECT cast(id AS VARCHAR) AS id, cast(reservation AS VARCHAR) AS transaction_id, travel_purpose, country, currency,
                CAST(NULL AS VARCHAR) AS missing_leaf, CAST(NULL AS VARCHAR) AS through_scalar
         FROM ({FLAT})""",
     "property_ids": f"SELECT id, property_id FROM ({MAPPED_WITH_ID})",
@@ -146,7 +146,7 @@ ORACLE: dict[str, str] = {
     "status_lookup": f"SELECT id, status FROM ({MAPPED_WITH_ID})",
     "status_lookup_null_value": f"SELECT id, status FROM ({_mapped(STATUS_P_NULL)})",
     "region_lookup": f"SELECT id, country_code, region FROM ({MAPPED_WITH_ID})",
-    "transform_sample": f"SELECT {MAPPED_COLUMNS} FROM ({MAPPED_WITH_ID}) ORDER BY cast(id AS VARCHAR) LIMIT 100",
+    "transform_sample": f"SELECT {MAPPED_COLUMNS} FROM ({MAPPED_WITH_ID}) ORDER BY id LIMIT 100",
     "currencies_distinct": WANTED,
     "usd_rates": USD_RATES,
     "missing_rates": f"""
