@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from staylake.operators.rejects import is_rejected, split_rejects
 from staylake.plans.mapping import Lookups, map_bookings
-from staylake.sinks.table import WriteResult, record_run, rejects_table_for, write_rejects, write_table
+from staylake.sinks.table import (
+    WriteResult,
+    history_table_for,
+    record_run,
+    rejects_table_for,
+    write_rejects,
+    write_table,
+)
 from staylake.sources.json_arrays import read_json_array
 from staylake.sources.json_lines import read_json_lines
 
@@ -44,6 +51,19 @@ def read_source(spark: SparkSession, path: str | list[str], source_format: str =
     raise ValueError(f"unknown source format {source_format!r}; use one of {SOURCE_FORMATS}")
 
 
+def committed_run(spark: SparkSession, table: str, run_id: str) -> LoadReport | None:
+    """The recorded report of ``run_id`` for ``table``, or None when it never committed."""
+    hist = history_table_for(table)
+    if not spark.catalog.tableExists(hist):
+        return None
+    row = spark.table(hist).where((F.col("table") == table) & (F.col("run_id") == run_id)).limit(1).collect()
+    if not row:
+        return None
+    r = row[0]
+    rejected = int(r["rows_rejected"] or 0)
+    return LoadReport(run_id, int(r["rows_written"]) + rejected, int(r["rows_written"]), rejected, table, r["mode"])
+
+
 def run_load(
     spark: SparkSession,
     path: str | list[str],
@@ -54,14 +74,22 @@ def run_load(
     source_format: str = "json_lines",
     location: str | None = None,
     reject_table: str | None = None,
+    run_id: str | None = None,
 ) -> LoadReport:
     """Load raw booking JSON into ``table``; rejects go to ``reject_table``.
 
-    ``rows_read == rows_written + rows_rejected`` holds for every run.
+    ``rows_read == rows_written + rows_rejected`` holds for every run. Pass a
+    ``run_id`` that names the load (a batch date, a file set) to make a rerun
+    after a failure safe: a run already recorded in the table's history is
+    not loaded again, and its recorded counts are returned.
     """
-    run_id = uuid.uuid4().hex
+    if run_id is not None:
+        done = committed_run(spark, table, run_id)
+        if done is not None:
+            return done
+    run_id = run_id or uuid.uuid4().hex
     parsed = read_source(spark, path, source_format)
-    obs = Observation(f"read_{run_id[:8]}")
+    obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
     counted = parsed.observe(
         obs,
         F.count(F.lit(1)).alias("rows_read"),

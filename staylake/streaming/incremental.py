@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from staylake.operators.rejects import is_rejected, split_rejects
+from staylake.plans.load import committed_run
 from staylake.plans.mapping import Lookups, map_bookings
 from staylake.session import shared_dir
 from staylake.sinks.table import (
-    history_table_for,
     record_run,
     rejects_table_for,
     write_rejects,
@@ -31,17 +31,10 @@ from staylake.sinks.table import (
 from staylake.sources.json_lines import parse_json_lines
 
 
-def _already_committed(spark: SparkSession, table: str, run_id: str) -> bool:
-    hist = history_table_for(table)
-    if not spark.catalog.tableExists(hist):
-        return False
-    return spark.table(hist).where((F.col("table") == table) & (F.col("run_id") == run_id)).limit(1).count() > 0
-
-
 def append_batch(batch: DataFrame, lookups: Lookups, table: str, run_id: str, reject_table: str | None = None) -> None:
     """Append one batch of parsed records; skips a batch already committed."""
     spark = batch.sparkSession
-    if _already_committed(spark, table, run_id):
+    if committed_run(spark, table, run_id) is not None:
         return
     obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
     counted = batch.observe(obs, F.count_if(is_rejected(batch)).alias("rows_rejected"))

@@ -132,3 +132,22 @@ def test_sanity_table_insert_values(spark):
     spark.sql(f"CREATE TABLE {db}.test_table (id INT, name STRING) USING parquet")
     spark.sql(f"INSERT INTO {db}.test_table VALUES (1, 'hello'), (2, 'world')")
     assert sorted(tuple(r) for r in spark.table(f"{db}.test_table").collect()) == [(1, "hello"), (2, "world")]
+
+
+def test_run_load_with_run_id_is_not_repeated(spark, lookups, scratch):
+    src = scratch + "/src"
+    fx.booking_json_lines(spark, SF_SMALL).write.text(src)
+    table = f"{_database(spark, 'rerun')}.bookings"
+    first = run_load(spark, src, lookups, table, "append", run_id="2026-09-15")
+    again = run_load(spark, src, lookups, table, "append", run_id="2026-09-15")
+    assert again == first
+    assert spark.table(table).count() == first.rows_written
+    assert [r["run_id"] for r in table_history(spark, table).collect()] == ["2026-09-15"]
+
+
+def test_overwrite_from_itself_is_refused(spark, mapped):
+    table = f"{_database(spark, 'self')}.bookings"
+    write_table(mapped, table, "overwrite")
+    with pytest.raises(Exception):
+        write_table(spark.table(table).drop("check_in_month"), table, "overwrite")
+    assert spark.table(table).count() == mapped.count()
