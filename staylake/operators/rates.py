@@ -38,16 +38,22 @@ def _fetched(quotes: DataFrame) -> DataFrame:
     return inverted.where(F.col("rate_to_usd").isNotNull())
 
 
-def _base_row(source: DataFrame) -> DataFrame:
-    """One ``(USD, 1.0)`` row when ``source`` has at least one row, else none."""
-    present = source.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0)
-    return present.select(F.lit(BASE).alias("currency"), F.lit(1.0).alias("rate_to_usd"))
+def usd_rates(quotes: DataFrame, wanted: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Currency->USD rates for exactly the wanted currencies: ``(currency, rate_to_usd)``.
 
-
-def usd_rates(quotes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Currency->USD rates for exactly the wanted currencies: ``(currency, rate_to_usd)``."""
-    fetched = _fetched(quotes).join(wanted, "currency", "left_semi")
-    return fetched.unionByName(_base_row(wanted))
+    One pass over ``wanted``: each wanted currency is emitted together with
+    ``USD`` and deduplicated, so USD is present exactly when anything is
+    wanted; the quotes (size-checked, broadcast when small) are then joined
+    on. Wanted currencies without a usable quote drop out.
+    """
+    keys = wanted.select(F.explode(F.array(F.col("currency"), F.lit(BASE))).alias("currency")).distinct()
+    checked = check_rates(_fetched(quotes), max_broadcast_rows)
+    fetched = checked.frame.select("currency", F.col("rate_to_usd").alias("__quoted"))
+    if checked.broadcast:
+        fetched = F.broadcast(fetched)
+    rate = F.when(F.col("currency") == BASE, F.lit(1.0)).otherwise(F.col("__quoted"))
+    joined = keys.join(fetched, "currency", "left")
+    return joined.select("currency", rate.alias("rate_to_usd")).where(F.col("rate_to_usd").isNotNull())
 
 
 def all_usd_rates(quotes: DataFrame) -> DataFrame:
@@ -63,9 +69,17 @@ def all_usd_rates(quotes: DataFrame) -> DataFrame:
     return _fetched(quotes).unionByName(base)
 
 
-def missing_rates(wanted: DataFrame, rates: DataFrame) -> DataFrame:
-    """Wanted non-base currencies that got no rate: ``(currency)``."""
-    return wanted.where(F.col("currency") != BASE).join(rates.select("currency"), "currency", "left_anti")
+def missing_rates(wanted: DataFrame, rates: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Wanted non-base currencies that got no rate: ``(currency)``.
+
+    ``rates`` may be ``all_usd_rates(quotes)``: the answer is the same as
+    with ``usd_rates(quotes, wanted)`` and ``wanted`` is computed only once.
+    """
+    checked = check_rates(rates, max_broadcast_rows)
+    have = checked.frame.select("currency")
+    if checked.broadcast:
+        have = F.broadcast(have)
+    return wanted.where(F.col("currency") != BASE).join(have, "currency", "left_anti")
 
 
 def check_rates(rates: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> CheckedLookup:

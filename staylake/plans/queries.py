@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from staylake.functions.fields import country_code, date_only, prefixed_id, safe_path
 from staylake.functions.labels import attribution, device_name, label_part
 from staylake.operators.audit import breakdown_by, describe_table, row_count, sample_rows
-from staylake.operators.rates import all_usd_rates, convert_amount, missing_rates, usd_rates, wanted_currencies
+from staylake.operators.rates import all_usd_rates, convert_amount, missing_rates, usd_rates, wanted_currencies  # noqa: F401
 from staylake.operators.rejects import split_rejects
 from staylake.plans.load import run_load
 from staylake.plans.mapping import Lookups, load_lookups, map_bookings, transform_sample
@@ -138,14 +138,12 @@ def usd_rates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_rates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = _booking_currencies(spark, sf_dir)
-    return missing_rates(wanted, usd_rates(fx.quotes(spark), wanted))
+    return missing_rates(_booking_currencies(spark, sf_dir), all_usd_rates(fx.quotes(spark)))
 
 
 def convert_amount_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = fx.bookings_flat(spark, sf_dir)
-    rates = usd_rates(fx.quotes(spark), wanted_currencies(flat, "currency"))
-    out = convert_amount(flat, F.col("amount"), F.col("currency"), rates, "amount_usd")
+    out = convert_amount(flat, F.col("amount"), F.col("currency"), all_usd_rates(fx.quotes(spark)), "amount_usd")
     return out.select("id", "amount_usd")
 
 
