@@ -8,7 +8,7 @@ replayed; they are never silently dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylake.schemas import CORRUPT_COLUMN
@@ -19,7 +19,7 @@ MALFORMED = "malformed_json"
 _LEADING_ID = r'^\s*\{\s*"id"\s*:\s*"?([^",}\s]+)'
 
 
-def is_rejected(df: DataFrame):
+def is_rejected() -> Column:
     """Predicate column: true for records that cannot be mapped."""
     return F.col(CORRUPT_COLUMN).isNotNull()
 
@@ -30,7 +30,7 @@ def split_rejects(parsed: DataFrame, text_col: str = "value") -> tuple[DataFrame
     Both are lazy filters of the same input. Good rows lose the corrupt
     column and keep every other column.
     """
-    bad = is_rejected(parsed)
+    bad = is_rejected()
     good = parsed.where(~bad).drop(CORRUPT_COLUMN)
     recovered = F.nullif(F.regexp_extract(F.col(text_col), _LEADING_ID, 1), F.lit(""))
     id_col = F.coalesce(F.col("id").cast("string"), recovered) if "id" in parsed.columns else recovered

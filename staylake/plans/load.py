@@ -81,7 +81,10 @@ def run_load(
     ``rows_read == rows_written + rows_rejected`` holds for every run. Pass a
     ``run_id`` that names the load (a batch date, a file set) to make a rerun
     after a failure safe: a run already recorded in the table's history is
-    not loaded again, and its recorded counts are returned.
+    not loaded again, and its recorded counts are returned. The history row
+    is written right after the data commits; a failure between the two
+    leaves an append that a rerun would repeat (parquet has no transaction
+    spanning both).
     """
     if run_id is not None:
         done = committed_run(spark, table, run_id)
@@ -93,7 +96,7 @@ def run_load(
     counted = parsed.observe(
         obs,
         F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(is_rejected(parsed)).alias("rows_rejected"),
+        F.count_if(is_rejected()).alias("rows_rejected"),
     )
     good, _ = split_rejects(counted)
     written: WriteResult = write_table(

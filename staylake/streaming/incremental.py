@@ -37,7 +37,7 @@ def append_batch(batch: DataFrame, lookups: Lookups, table: str, run_id: str, re
     if committed_run(spark, table, run_id) is not None:
         return
     obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
-    counted = batch.observe(obs, F.count_if(is_rejected(batch)).alias("rows_rejected"))
+    counted = batch.observe(obs, F.count_if(is_rejected()).alias("rows_rejected"))
     good, _ = split_rejects(counted)
     written = write_table(map_bookings(good, lookups), table, "append", history=False, run_id=run_id)
     rejected = int(obs.get["rows_rejected"])
