@@ -34,8 +34,11 @@ def breakdown_by(df: DataFrame, column: str, n: int = 20) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by: str | list[str] | None = None) -> DataFrame:
-    """First ``n`` rows by ``order_by`` (default: every column, for a stable pick)."""
-    keys = [order_by] if isinstance(order_by, str) else (order_by or df.columns)
+    """``n`` rows: the first by ``order_by`` (a stable pick, per-task top-n over
+    all rows), or with ``order_by=None`` any ``n`` (a limit that stops early)."""
+    if order_by is None:
+        return df.limit(n)
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
     for k in keys:
         _require_column(df, k)
     return df.orderBy(*[F.asc_nulls_first(k) for k in keys]).limit(n)

@@ -112,6 +112,13 @@ def transform(raw: DataFrame, lookups: Lookups) -> DataFrame:
     return map_bookings(raw, lookups)
 
 
-def transform_sample(raw: DataFrame, lookups: Lookups, n: int = 100, key: str = "id") -> DataFrame:
-    """Map the first ``n`` raw records by ``key`` (a dry run before a full load)."""
-    return map_bookings(raw.orderBy(F.asc_nulls_last(key)).limit(n), lookups)
+def transform_sample(raw: DataFrame, lookups: Lookups, n: int = 100, key: str | None = "id") -> DataFrame:
+    """Map ``n`` raw records, a dry run before a full load.
+
+    With ``key`` the sample is the first ``n`` records by that key: the same
+    rows every time, found with a per-task top-n over the whole input. With
+    ``key=None`` it is any ``n`` records: a plain limit, which stops reading
+    as soon as it has them.
+    """
+    picked = raw.limit(n) if key is None else raw.orderBy(F.asc_nulls_last(key)).limit(n)
+    return map_bookings(picked, lookups)

@@ -151,3 +151,9 @@ def test_overwrite_from_itself_is_refused(spark, mapped):
     with pytest.raises(Exception):
         write_table(spark.table(table).drop("check_in_month"), table, "overwrite")
     assert spark.table(table).count() == mapped.count()
+
+
+def test_unordered_samples_take_any_n(spark, lookups, mapped):
+    raw = fx.raw_bookings(spark, SF_SMALL)
+    assert transform_sample(raw, lookups, n=7, key=None).count() == 7
+    assert sample_rows(mapped, 4).count() == 4
