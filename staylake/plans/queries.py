@@ -21,7 +21,7 @@ from staylake.operators.rates import all_usd_rates, convert_amount, missing_rate
 from staylake.operators.rejects import split_rejects
 from staylake.plans.load import run_load
 from staylake.plans.mapping import Lookups, load_lookups, map_bookings, transform_sample
-from staylake.session import scratch_path
+from staylake.session import application_id, scratch_path
 from staylake.sinks.table import ensure_database, scan_bookings, table_history, write_table
 from staylake.sources import tpch_bookings as fx
 from staylake.sources.json_arrays import read_json_array, rewrite_json_arrays
@@ -233,7 +233,7 @@ def _database(spark: SparkSession, tag: str) -> str:
 
 def bookings_table(spark: SparkSession, sf_dir: str) -> str:
     """Mapped bookings written once per session and input folder; returns its name."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (application_id(spark), sf_dir)
     name = _TABLES.get(key)
     if name is None or not spark.catalog.tableExists(name):
         name = f"{_database(spark, 'audit')}.bookings"

@@ -16,7 +16,13 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Root of the shared scratch area: the session's checkpoint folder."""
+    """Root of the shared scratch area: the session's checkpoint folder.
+
+    Read from the session (``spark.checkpoint.dir``). Only a local-mode
+    session without one (tests, a laptop) gets a fresh local folder; on a
+    cluster a missing setting is an error, since a driver-local folder is
+    not visible to the executors.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -25,12 +31,21 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir().rstrip("/")
-    # Unset: only happens outside a cluster deployment (tests, local runs).
-    local = tempfile.mkdtemp(prefix="staylake-ckpt-")
-    sc.setCheckpointDir(local)
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="staylake-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster, as Spark reports them."""
+    return spark.sparkContext.defaultParallelism
+
+
+def application_id(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below the shared scratch area."""
     return "/".join([shared_dir(spark), "staylake", *parts, uuid.uuid4().hex])

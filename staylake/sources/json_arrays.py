@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from staylake.schemas import RAW_BOOKING
+from staylake.session import default_parallelism
 from staylake.sources.json_lines import parse_records, record_texts
 
 LAYOUTS = ("whole", "lines")
@@ -40,7 +41,7 @@ def array_records(spark: SparkSession, path: str | list[str], layout: str = "who
         # Round-robin, not a hash of the text: identical copies of a record
         # would all hash to one partition. Spark sorts rows before a
         # round-robin split, so a recomputed task places them the same way.
-        return elems.repartition(spark.sparkContext.defaultParallelism)
+        return elems.repartition(default_parallelism(spark))
     if layout == "lines":
         lines = spark.read.text(path)
         stripped = F.trim(F.regexp_replace(F.trim("value"), _ARRAY_EDGES, ""))
