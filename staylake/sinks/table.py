@@ -10,7 +10,9 @@ column order, which puts partition columns last), count their rows with an
 observation on the same pass, and are clustered by partition value before
 the write with a ``rebalance`` hint: AQE then sizes the write tasks and
 splits a partition value that holds a large share of the rows over several
-tasks instead of one.
+tasks instead of one. Without AQE that hint would be a plain hash
+repartition, sending a hot partition value to a single task, so then the
+input tasks write their own files instead (more files, no hot task).
 """
 
 from __future__ import annotations
@@ -88,6 +90,10 @@ def _prepared(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     return with_month.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
 
 
+def _aqe_on(spark: SparkSession) -> bool:
+    return str(spark.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
+
+
 def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
     df.write.insertInto(table, overwrite=overwrite)
 
@@ -98,7 +104,7 @@ def write_table(
     mode: str = "overwrite",
     *,
     location: str | None = None,
-    cluster: bool = True,
+    cluster: bool | None = None,
     history: bool = True,
     rows_rejected: int | None = None,
     run_id: str | None = None,
@@ -109,7 +115,7 @@ def write_table(
     default static overwrite mode); ``append`` adds rows. Any other mode is
     refused before anything is created. With ``history`` a row describing
     the run is appended to the database's ``run_history`` table after the
-    data is committed.
+    data is committed. ``cluster`` defaults to on exactly when AQE is on.
     """
     if mode not in WRITE_MODES:
         raise UnsupportedWriteMode(f"Unsupported write mode: {mode}")
@@ -117,6 +123,8 @@ def write_table(
     ensure_table(spark, table, location)
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     out = _prepared(spark, df, table).observe(obs, F.count(F.lit(1)).alias("rows"))
+    if cluster is None:
+        cluster = _aqe_on(spark)
     if cluster:
         out = out.hint("rebalance", *PARTITION_COLUMNS)
     _insert(out, table, overwrite=(mode == "overwrite"))
