@@ -157,3 +157,26 @@ def test_unordered_samples_take_any_n(spark, lookups, mapped):
     raw = fx.raw_bookings(spark, SF_SMALL)
     assert transform_sample(raw, lookups, n=7, key=None).count() == 7
     assert sample_rows(mapped, 4).count() == 4
+
+
+def test_hot_partition_value_is_split_over_tasks(spark, mapped):
+    """A month x region holding a third of all rows is written by several tasks."""
+    import glob
+
+    hot = mapped.withColumn(
+        "region", F.when(F.col("transaction_id").cast("bigint") % 3 == 0, F.lit("HOT")).otherwise(F.col("region"))
+    ).withColumn(
+        "check_in_date", F.when(F.col("region") == "HOT", F.lit("1996-01-10").cast("date")).otherwise(F.col("check_in_date"))
+    )
+    hot = hot.unionByName(hot).unionByName(hot).unionByName(hot)
+    table = f"{_database(spark, 'skew')}.bookings"
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_table(hot, table, "overwrite")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    files = glob.glob(location.removeprefix("file:") + "/check_in_month=1996-01-01/region=HOT/*.parquet")
+    assert len(files) > 1
+    assert spark.table(table).where("region = 'HOT'").count() == hot.where("region = 'HOT'").count()
