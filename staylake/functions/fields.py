@@ -12,25 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
 
-def safe_path(df: DataFrame, path: str, dtype: DataType | None = None) -> Column:
+def safe_path(df: DataFrame | StructType, path: str, dtype: DataType | None = None) -> Column:
     """Nested field by dotted path, or a typed null when the path does not exist.
 
     Names are matched exactly (case-sensitive). A step through anything that
     is not a struct (an array, a string) yields null rather than an array of
     values or an analysis error, like a dict walk that stops at a non-dict.
+    Pass the schema instead of the DataFrame to resolve many paths against
+    one schema fetch.
     """
     steps = path.split(".")
-    current: DataType = df.schema
-    expr: Column | None = None
+    current: DataType = df if isinstance(df, StructType) else df.schema
     for step in steps:
         if not isinstance(current, StructType):
             return F.lit(None).cast(dtype or StringType())
         match = next((f for f in current.fields if f.name == step), None)
         if match is None:
             return F.lit(None).cast(dtype or StringType())
-        expr = F.col(f"`{step}`") if expr is None else expr.getField(step)
         current = match.dataType
-    assert expr is not None
+    # Every step exists with exactly this name: resolve the quoted path at once.
+    expr = F.col(".".join(f"`{step}`" for step in steps))
     return expr if dtype is None else expr.cast(dtype)
 
 

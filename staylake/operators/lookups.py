@@ -62,25 +62,45 @@ def _as_checked(mapping: DataFrame | CheckedLookup, key: str, max_broadcast_rows
     return check_lookup(mapping, key, max_broadcast_rows)
 
 
-def lookup(
+def join_lookup(
     df: DataFrame,
     key: Column,
     mapping: DataFrame | CheckedLookup,
-    out: str,
-    default: Column,
     key_col: str = "key",
     value_col: str = "value",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Left-join ``mapping`` on ``key`` and set ``out`` to value-if-hit-else-default."""
+) -> tuple[DataFrame, Column, Column]:
+    """Left-join ``mapping`` on ``key``; returns ``(joined, value, hit)``.
+
+    ``hit`` is true where the key was found, null elsewhere; callers combine
+    ``value`` and ``hit`` into their output column in one later projection.
+    """
     checked = _as_checked(mapping, key_col, max_broadcast_rows)
     tag = uuid.uuid4().hex[:8]
     k, v, hit = f"__lk_{tag}_k", f"__lk_{tag}_v", f"__lk_{tag}_hit"
     right = checked.frame.select(F.col(key_col).alias(k), F.col(value_col).alias(v), F.lit(True).alias(hit))
     if checked.broadcast:
         right = F.broadcast(right)
-    joined = df.join(right, key == F.col(k), "left")
-    return joined.withColumn(out, F.when(F.col(hit), F.col(v)).otherwise(default)).drop(k, v, hit)
+    return df.join(right, key == F.col(k), "left"), F.col(v), F.col(hit)
+
+
+def lookup(
+    df: DataFrame,
+    key: Column,
+    mapping: DataFrame | CheckedLookup,
+    out: str,
+    default: Column,
+    key_col: str = "key",
+    value_col: str = "value",
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Left-join ``mapping`` on ``key`` and set ``out`` to value-if-hit-else-default."""
+    joined, value, hit = join_lookup(df, key, mapping, key_col, value_col, max_broadcast_rows)
+    result = F.when(hit, value).otherwise(default).alias(out)
+    cols = [result if c == out else F.col(f"`{c}`") for c in df.columns]
+    if out not in df.columns:
+        cols.append(result)
+    return joined.select(*cols)
 
 
 def lookup_or_keep(df: DataFrame, key: Column, mapping: DataFrame | CheckedLookup, out: str, **kw) -> DataFrame:

@@ -14,16 +14,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.functions.fields import conform, country_code, date_only, prefixed_id, safe_path
+from staylake.functions.fields import country_code, date_only, prefixed_id, safe_path
 from staylake.functions.labels import attribution
 from staylake.functions.money import to_usd
 from staylake.operators.lookups import (
     DEFAULT_MAX_BROADCAST_ROWS,
     CheckedLookup,
     check_lookup,
-    lookup,
-    lookup_or_default,
-    lookup_or_keep,
+    join_lookup,
 )
 from staylake.operators.rates import all_usd_rates
 from staylake.schemas import MAPPED_BOOKING
@@ -77,34 +75,40 @@ def map_bookings(
     USD (null when the currency is missing or has no rate). Columns named in
     ``keep`` are carried through in front of the mapped ones.
     """
-    label = safe_path(raw, "label")
+    schema = raw.schema  # one fetch for every path below
+
+    def field(path: str) -> Column:
+        return safe_path(schema, path, "string")
+
+    label = field("label")
     parts = attribution(label)
     rev = F.lit(REVENUE_DEFAULT) if revenue is None else revenue
     staged = raw.select(
         *[F.col(f"`{k}`") for k in keep],
-        safe_path(raw, "accommodations.reservation", "string").alias("transaction_id"),
+        field("accommodations.reservation").alias("transaction_id"),
         label.alias("conversion_key"),
         parts["site_key"].alias("site_key"),
         parts["device"].alias("device"),
         parts["referral_property_id"].alias("referral_property_id"),
-        prefixed_id(safe_path(raw, "accommodation_details.accommodation")).alias("property_id"),
-        safe_path(raw, "status", "string").alias("__status_raw"),
-        safe_path(raw, "booker.travel_purpose", "string").alias("travel_purpose"),
-        country_code(safe_path(raw, "booker.address.country", "string")).alias("country_code"),
-        safe_path(raw, "currencies.booker", "string").alias("currency"),
-        date_only(safe_path(raw, "start", "string")).alias("check_in_date"),
-        date_only(safe_path(raw, "end", "string")).alias("check_out_date"),
+        prefixed_id(field("accommodation_details.accommodation")).alias("property_id"),
+        field("status").alias("__status_raw"),
+        field("booker.travel_purpose").alias("travel_purpose"),
+        country_code(field("booker.address.country")).alias("country_code"),
+        field("currencies.booker").alias("currency"),
+        date_only(field("start")).alias("check_in_date"),
+        date_only(field("end")).alias("check_out_date"),
         rev.cast("double").alias("revenue"),
     )
-    with_status = lookup_or_keep(staged, F.col("__status_raw"), lookups.status, "status")
-    with_region = lookup_or_default(with_status, F.col("country_code"), lookups.region, "region", REGION_DEFAULT)
-    no_rate = F.lit(None).cast("double")
-    with_rate = lookup(with_region, F.upper(F.col("currency")), lookups.rates, "__rate", default=no_rate)
-    mapped = with_rate.withColumn("revenue_usd", to_usd(F.col("revenue"), F.col("__rate")))
-    if not keep:
-        return conform(mapped, MAPPED_BOOKING)
-    kept = [F.col(f"`{k}`") for k in keep]
-    return mapped.select(*kept, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in MAPPED_BOOKING.fields])
+    j1, status_value, status_hit = join_lookup(staged, F.col("__status_raw"), lookups.status)
+    j2, region_value, region_hit = join_lookup(j1, F.col("country_code"), lookups.region)
+    j3, rate_value, rate_hit = join_lookup(j2, F.upper(F.col("currency")), lookups.rates)
+    derived = {
+        "status": F.when(status_hit, status_value).otherwise(F.col("__status_raw")),
+        "region": F.when(region_hit, region_value).otherwise(F.lit(REGION_DEFAULT)),
+        "revenue_usd": to_usd(F.col("revenue"), F.when(rate_hit, rate_value)),
+    }
+    out = [derived.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in MAPPED_BOOKING.fields]
+    return j3.select(*[F.col(f"`{k}`") for k in keep], *out)
 
 
 def transform(raw: DataFrame, lookups: Lookups) -> DataFrame:
