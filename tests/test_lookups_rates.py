@@ -94,3 +94,15 @@ def test_all_usd_rates_equal_wanted_rates_for_bookings(spark):
     b = convert_amount(bookings, F.col("a"), F.col("c"), all_usd_rates(quotes), "u")
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
     assert {r["c"]: r["u"] for r in b.collect()} == {"eur": 12.5, "usd": 3.0, "CHF": None, None: None, "": None}
+
+
+def test_missing_and_rated_partition_the_wanted_set(spark):
+    quotes = _quotes(spark, [("EUR", 0.8), ("GBP", 0.0), ("JPY", 150.0)])
+    bookings = spark.createDataFrame([(c,) for c in ["eur", "GBP", "usd", "zzz", "JPY", None, ""]], "c string")
+    wanted = wanted_currencies(bookings, "c")
+    rates = usd_rates(quotes, wanted)
+    rated = {r["currency"] for r in rates.collect()}
+    missing = {r["currency"] for r in missing_rates(wanted, rates).collect()}
+    assert rated & missing == set()
+    assert rated | missing == {r["currency"] for r in wanted.collect()}
+    assert missing == {r["currency"] for r in missing_rates(wanted, all_usd_rates(quotes)).collect()} == {"GBP", "ZZZ"}
