@@ -165,16 +165,19 @@ def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_array_files(spark: SparkSession, sf_dir: str) -> str:
-    """Fixture: raw bookings as JSON array files of at most ``ARRAY_CHUNK`` records.
+    """Fixture: raw bookings as JSON array files of about ``ARRAY_CHUNK`` records each.
 
-    Each file holds one array with one record per line, so it is valid for
-    both the ``whole`` and the ``lines`` layout.
+    Records are dealt round-robin into ``rows / ARRAY_CHUNK`` buckets, so an
+    array's size does not depend on the ids. Each file holds one array with
+    one record per line, valid for both the ``whole`` and ``lines`` layout.
     """
     path = scratch_path(spark, "json_array")
-    docs = fx.booking_json_docs(spark, sf_dir)
-    chunks = docs.groupBy(F.floor(F.col("id") / ARRAY_CHUNK).alias("chunk")).agg(F.collect_list("value").alias("records"))
+    docs = fx.booking_json_lines(spark, sf_dir)
+    buckets = max(1, -(-docs.count() // ARRAY_CHUNK))
+    dealt = docs.repartition(buckets).select(F.spark_partition_id().alias("chunk"), "value")
+    chunks = dealt.groupBy("chunk").agg(F.collect_list("value").alias("records"))
     body = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
-    chunks.select("chunk", body.alias("value")).repartition("chunk").write.partitionBy("chunk").text(path)
+    chunks.select("chunk", body.alias("value")).write.partitionBy("chunk").text(path)
     return path
 
 
