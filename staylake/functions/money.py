@@ -2,10 +2,11 @@
 
 Amounts and rates are multiplied as decimals and rounded half-up to cents,
 then returned as double. Widths are chosen so the product is exact in Spark
-(19 + 18 + 1 = 38 digits, scale 16), so there is no intermediate rounding
-before the final one. Rates keep 14 decimals, enough for currencies worth
-1/100000 USD on amounts of 10^10 units; a rate of 10000 USD or more per unit
-does not fit and fails loudly under ANSI mode.
+(19 + 18 + 1 = 38 digits, scale 18), so there is no intermediate rounding
+before the final one. Amounts keep 4 decimals (three-decimal currencies stay
+exact); rates keep 14, enough for currencies worth 1/100000 USD on amounts of
+10^10 units. A rate of 10000 USD or more per unit, or an amount of 10^15 or
+more, does not fit and fails loudly under ANSI mode.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AMOUNT_TYPE = "decimal(19,2)"
+AMOUNT_TYPE = "decimal(19,4)"
 RATE_TYPE = "decimal(18,14)"
 
 

@@ -55,7 +55,7 @@ def _part(prefix: str) -> str:
 
 
 def _usd(amount: str, rate: str) -> str:
-    return f"CAST(round(CAST({amount} AS DECIMAL(19,2)) * CAST({rate} AS DECIMAL(18,14)), 2) AS DOUBLE)"
+    return f"CAST(round(CAST({amount} AS DECIMAL(19,4)) * CAST({rate} AS DECIMAL(18,14)), 2) AS DOUBLE)"
 
 
 def _mapped(status_case: str) -> str:

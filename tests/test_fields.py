@@ -72,3 +72,10 @@ def test_conform_orders_and_casts(spark):
     out = conform(df, MAPPED_BOOKING)
     assert out.schema == MAPPED_BOOKING
     assert out.first()["revenue"] == 1.5
+
+
+def test_to_usd_keeps_three_decimal_amounts(spark):
+    df = spark.createDataFrame([(1.235, 3.25), (0.005, 1.0)], "a double, r double")
+    got = [r["u"] for r in df.select(to_usd(F.col("a"), F.col("r")).alias("u")).collect()]
+    # 1.235 * 3.25 = 4.01375 -> 4.01 (rounding the amount to cents first would give 1.24 * 3.25 = 4.03)
+    assert got == [4.01, 0.01]

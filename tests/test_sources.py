@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from staylake.errors import MappingLoadError
 from staylake.operators.rejects import split_rejects
