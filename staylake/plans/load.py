@@ -1,9 +1,10 @@
 """End-to-end load: JSON -> parse -> split rejects -> map -> table.
 
-One pass over the source in the normal case: the read and reject counts are
-observed on the same pass that writes the table. Only when the pass saw
+One pass over the source in the normal case: whether any record is rejected
+is observed on the same pass that writes the table. Only when it saw
 rejected records is the source read a second time, to store those records
-(with their raw text) in the reject table.
+(with their raw text) in the reject table. Row counts are taken in the
+writing tasks, so they stay exact when tasks or stages are re-run.
 """
 
 from __future__ import annotations
@@ -92,20 +93,18 @@ def run_load(
             return done
     run_id = run_id or uuid.uuid4().hex
     parsed = read_source(spark, path, source_format)
-    obs = Observation(f"read_{uuid.uuid4().hex[:8]}")
-    counted = parsed.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(is_rejected()).alias("rows_rejected"),
-    )
+    # Seen on the same pass as the write. It only decides whether any record
+    # was rejected: a stage re-run can add a task's count twice, never turn
+    # zero into more. The exact counts come from the two writes.
+    seen = Observation(f"read_{uuid.uuid4().hex[:8]}")
+    counted = parsed.observe(seen, F.count_if(is_rejected()).alias("rows_rejected"))
     good, _ = split_rejects(counted)
     written: WriteResult = write_table(
         map_bookings(good, lookups), table, mode, location=location, history=False, run_id=run_id
     )
-    seen = obs.get
-    rejected = int(seen["rows_rejected"])
-    if rejected:
+    rejected = 0
+    if int(seen.get["rows_rejected"]):
         _, rejects = split_rejects(read_source(spark, path, source_format))
-        write_rejects(rejects, reject_table or rejects_table_for(table), run_id)
+        rejected = write_rejects(rejects, reject_table or rejects_table_for(table), run_id)
     record_run(spark, written, rejected)
-    return LoadReport(run_id, int(seen["rows_read"]), written.rows_written, rejected, table, mode)
+    return LoadReport(run_id, written.rows_written + rejected, written.rows_written, rejected, table, mode)

@@ -121,12 +121,16 @@ def write_table(
         raise UnsupportedWriteMode(f"Unsupported write mode: {mode}")
     spark = df.sparkSession
     ensure_table(spark, table, location)
-    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    out = _prepared(spark, df, table).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = _prepared(spark, df, table)
     if cluster is None:
         cluster = _aqe_on(spark)
     if cluster:
         out = out.hint("rebalance", *PARTITION_COLUMNS)
+    # Counted in the writing tasks (after the exchange): Spark applies a
+    # finishing task's metrics once, so the count stays exact when a lost
+    # executor makes earlier stages run again.
+    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     _insert(out, table, overwrite=(mode == "overwrite"))
     result = WriteResult(run_id or uuid.uuid4().hex, table, mode, int(obs.get["rows"]))
     if history:

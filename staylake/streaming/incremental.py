@@ -36,14 +36,14 @@ def append_batch(batch: DataFrame, lookups: Lookups, table: str, run_id: str, re
     spark = batch.sparkSession
     if committed_run(spark, table, run_id) is not None:
         return
-    obs = Observation(f"batch_{uuid.uuid4().hex[:8]}")
-    counted = batch.observe(obs, F.count_if(is_rejected()).alias("rows_rejected"))
+    seen = Observation(f"batch_{uuid.uuid4().hex[:8]}")
+    counted = batch.observe(seen, F.count_if(is_rejected()).alias("rows_rejected"))
     good, _ = split_rejects(counted)
     written = write_table(map_bookings(good, lookups), table, "append", history=False, run_id=run_id)
-    rejected = int(obs.get["rows_rejected"])
-    if rejected:
+    rejected = 0
+    if int(seen.get["rows_rejected"]):
         _, rejects = split_rejects(batch)
-        write_rejects(rejects, reject_table or rejects_table_for(table), run_id)
+        rejected = write_rejects(rejects, reject_table or rejects_table_for(table), run_id)
     record_run(spark, written, rejected)
 
 
