@@ -65,3 +65,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_conf(total_cores: int, checkpoint_dir: str, file_bytes: str = "256m") -> dict[str, str]:
+    """Session settings this engine is designed around, for a cluster of ``total_cores``.
+
+    * AQE on: sizes write tasks from the data, splits a hot partition value
+      (``rebalance``) or a hot join key, coalesces small shuffle partitions.
+    * ``file_bytes`` as the input split and the advisory shuffle partition
+      size: ~256 MB per task keeps a task's working set well inside executor
+      memory and writes table files of about that size.
+    * Shuffle partitions at a few per core; AQE coalesces what is too small.
+    * Static partition overwrite: ``overwrite`` replaces the whole table.
+    * ``checkpoint_dir`` on shared storage: scratch files and stream checkpoints.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": file_bytes,
+        "spark.sql.files.maxPartitionBytes": file_bytes,
+        "spark.sql.shuffle.partitions": str(max(8, 3 * total_cores)),
+        "spark.sql.sources.partitionOverwriteMode": "static",
+        "spark.checkpoint.dir": checkpoint_dir,
+    }
