@@ -180,3 +180,20 @@ def test_hot_partition_value_is_split_over_tasks(spark, mapped):
     files = glob.glob(location.removeprefix("file:") + "/check_in_month=1996-01-01/region=HOT/*.parquet")
     assert len(files) > 1
     assert spark.table(table).where("region = 'HOT'").count() == hot.where("region = 'HOT'").count()
+
+
+def test_scan_bounds_one_sided_and_regions_only(spark, mapped):
+    table = f"{_database(spark, 'scan')}.bookings"
+    write_table(mapped, table, "overwrite")
+    after = scan_bookings(spark, table, date_from="1997-01-01")
+    assert after.count() == mapped.where("check_in_date >= DATE '1997-01-01'").count()
+    before = scan_bookings(spark, table, date_to="1993-06-30")
+    assert before.count() == mapped.where("check_in_date <= DATE '1993-06-30'").count()
+    other = scan_bookings(spark, table, regions=["other"])
+    assert other.count() == mapped.where("region = 'other'").count()
+
+
+def test_breakdown_ties_and_nulls_are_deterministic(spark):
+    df = spark.createDataFrame([(v,) for v in ["b", "a", None, "b", "a", None, "c"]], "v string")
+    got = [(r["v"], r["bookings"]) for r in breakdown_by(df, "v", n=3).collect()]
+    assert got == [(None, 2), ("a", 2), ("b", 2)]
