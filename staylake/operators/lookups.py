@@ -10,9 +10,12 @@ row (left join, keys unique) and adds one output column:
 null gives null, like ``dict.get(k, default)`` does.
 
 Broadcasting is decided from the lookup's size, checked once: a lookup up to
-``max_broadcast_rows`` rows is broadcast (no shuffle of the big side); a
-larger one is left to a shuffle join, where AQE can split a hot key on the
-preserved left side.
+``max_broadcast_rows`` rows and ``max_broadcast_bytes`` (estimated from its
+JSON text) is broadcast, so the big side is never shuffled; a larger one is
+left to a shuffle join, where AQE can split a hot key on the preserved left
+side. A lookup that passes is materialised once as a local relation (via
+Arrow): a broadcast gathers the small side on the driver anyway, and this way
+every later query broadcasts it without re-running the jobs that built it.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from staylake.errors import LookupKeyError
 
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -35,12 +39,14 @@ class CheckedLookup:
     frame: DataFrame
     rows: int
     broadcast: bool
+    approx_bytes: int = 0
 
 
 def check_lookup(
     mapping: DataFrame,
     key: str = "key",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> CheckedLookup:
     """Verify non-null keys are unique and decide on broadcasting.
 
@@ -48,12 +54,19 @@ def check_lookup(
     never match an equi-join and are dropped.
     """
     keyed = mapping.where(F.col(key).isNotNull())
-    stats = keyed.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col(key)).alias("keys")).first()
-    rows, keys = int(stats["rows"]), int(stats["keys"])
+    row_text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in keyed.columns]))
+    stats = keyed.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct(F.col(key)).alias("keys"),
+        F.coalesce(F.sum(F.length(row_text)), F.lit(0)).alias("bytes"),
+    ).first()
+    rows, keys, size = int(stats["rows"]), int(stats["keys"]), int(stats["bytes"])
     if rows != keys:
         raise LookupKeyError(f"lookup has {rows - keys} repeated key(s) in column {key!r}; the join would duplicate rows")
-    small = rows <= max_broadcast_rows
-    return CheckedLookup(keyed, rows, small)
+    if rows > max_broadcast_rows or size > max_broadcast_bytes:
+        return CheckedLookup(keyed, rows, False, size)
+    local = keyed.sparkSession.createDataFrame(keyed.toArrow(), keyed.schema)
+    return CheckedLookup(local, rows, True, size)
 
 
 def _as_checked(mapping: DataFrame | CheckedLookup, key: str, max_broadcast_rows: int) -> CheckedLookup:

@@ -106,3 +106,15 @@ def test_missing_and_rated_partition_the_wanted_set(spark):
     assert rated & missing == set()
     assert rated | missing == {r["currency"] for r in wanted.collect()}
     assert missing == {r["currency"] for r in missing_rates(wanted, all_usd_rates(quotes)).collect()} == {"GBP", "ZZZ"}
+
+
+def test_byte_bound_and_local_materialisation(spark):
+    m = spark.range(100).select(F.col("id").cast("string").alias("key"), F.repeat(F.lit("x"), 1000).alias("value"))
+    small = check_lookup(m, max_broadcast_rows=1000, max_broadcast_bytes=10_000_000)
+    assert small.broadcast and small.approx_bytes > 100_000
+    assert "LocalRelation" in small.frame._jdf.queryExecution().optimizedPlan().toString()
+    big = check_lookup(m, max_broadcast_rows=1000, max_broadcast_bytes=50_000)
+    assert not big.broadcast
+    df = spark.range(300).select((F.col("id") % 150).cast("string").alias("k"))
+    assert lookup_or_keep(df, F.col("k"), small, "o").where("o = k").count() == 100
+    assert lookup_or_keep(df, F.col("k"), big, "o").where("o = k").count() == 100
