@@ -197,3 +197,15 @@ def test_breakdown_ties_and_nulls_are_deterministic(spark):
     df = spark.createDataFrame([(v,) for v in ["b", "a", None, "b", "a", None, "c"]], "v string")
     got = [(r["v"], r["bookings"]) for r in breakdown_by(df, "v", n=3).collect()]
     assert got == [(None, 2), ("a", 2), ("b", 2)]
+
+
+@pytest.mark.parametrize("source_format", ["json_array_whole", "json_array_lines"])
+def test_run_load_from_array_files(spark, lookups, source_format):
+    from staylake.plans.queries import _write_array_files
+
+    src = _write_array_files(spark, SF_SMALL)
+    table = f"{_database(spark, 'arr')}.bookings"
+    rep = run_load(spark, src, lookups, table, "overwrite", source_format=source_format)
+    total = fx.table(spark, SF_SMALL, "orders").count()
+    assert (rep.rows_read, rep.rows_written, rep.rows_rejected) == (total, total, 0)
+    assert spark.table(table).count() == total
