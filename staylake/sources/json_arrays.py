@@ -11,6 +11,11 @@ Two layouts are handled:
   like JSON Lines and size is no limit. A record spread over several lines
   is not valid in this layout and ends up rejected.
 
+Spark's own ``multiLine`` JSON reader streams an array without holding it,
+but it judges the file as one document: one element of the wrong shape
+marks every element of that file corrupt, each carrying the whole file text.
+Parsing element by element keeps rejects per record.
+
 The rewrite normalises every record through ``parse_json``/``to_json``, so
 whole-valued decimals are written as integers (``10.0`` -> ``10``) and other
 decimals without trailing zeros (``2.50`` -> ``2.5``).
