@@ -15,3 +15,7 @@ class LookupKeyError(StaylakeError):
 
 class UnsupportedWriteMode(StaylakeError, ValueError):
     """Write mode other than ``overwrite`` or ``append``."""
+
+
+class TableLayoutError(StaylakeError):
+    """An existing target table does not have the bookings columns and types."""

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.errors import UnsupportedWriteMode
+from staylake.errors import TableLayoutError, UnsupportedWriteMode
 from staylake.functions.fields import month_of
 from staylake.schemas import BOOKINGS_TABLE, PARTITION_COLUMNS, REJECT_TABLE, RUN_HISTORY
 
@@ -87,6 +87,12 @@ def _prepared(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Derive the month column and reorder to the table's columns, by name."""
     with_month = df.withColumn("check_in_month", month_of(F.col("check_in_date")))
     target = spark.table(table).schema
+    have = {(f.name, f.dataType.simpleString()) for f in target.fields}
+    want = {(f.name, f.dataType.simpleString()) for f in BOOKINGS_TABLE.fields}
+    if have != want:
+        raise TableLayoutError(
+            f"table {table} does not have the bookings layout: missing {sorted(want - have)}, unexpected {sorted(have - want)}"
+        )
     return with_month.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
 
 

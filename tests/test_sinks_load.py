@@ -209,3 +209,12 @@ def test_run_load_from_array_files(spark, lookups, source_format):
     total = fx.table(spark, SF_SMALL, "orders").count()
     assert (rep.rows_read, rep.rows_written, rep.rows_rejected) == (total, total, 0)
     assert spark.table(table).count() == total
+
+
+def test_existing_table_with_other_layout_is_refused(spark, mapped):
+    from staylake.errors import TableLayoutError
+
+    db = _database(spark, "layout")
+    spark.sql(f"CREATE TABLE {db}.bookings (transaction_id STRING, region STRING) USING parquet")
+    with pytest.raises(TableLayoutError):
+        write_table(mapped, f"{db}.bookings", "append")
