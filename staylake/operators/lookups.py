@@ -50,8 +50,9 @@ def check_lookup(
 ) -> CheckedLookup:
     """Verify non-null keys are unique and decide on broadcasting.
 
-    One small aggregate job over the lookup table. Rows with a null key can
-    never match an equi-join and are dropped.
+    One small aggregate job over the lookup table, then, when it is within
+    both bounds, one job gathering it into a local relation. Rows with a
+    null key can never match an equi-join and are dropped.
     """
     keyed = mapping.where(F.col(key).isNotNull())
     row_text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in keyed.columns]))
