@@ -52,7 +52,13 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def audit(spark: SparkSession, table: str, history_table: str | None = None) -> dict[str, DataFrame]:
-    """The standard post-load check suite as named DataFrames."""
+    """The standard post-load check suite as named DataFrames.
+
+    ``history`` is included when a history table exists: ``history_table``,
+    or by default the ``run_history`` table the writer keeps next to ``table``.
+    """
+    from staylake.sinks.table import history_table_for, table_history
+
     df = spark.table(table)
     checks = {
         "row_count": row_count(df),
@@ -61,8 +67,7 @@ def audit(spark: SparkSession, table: str, history_table: str | None = None) ->
         "by_region": breakdown_by(df, "region"),
         "by_status": breakdown_by(df, "status"),
     }
-    if history_table is not None:
-        from staylake.sinks.table import table_history
-
-        checks["history"] = table_history(spark, table, history_table)
+    hist = history_table or history_table_for(table)
+    if spark.catalog.tableExists(hist):
+        checks["history"] = table_history(spark, table, hist)
     return checks

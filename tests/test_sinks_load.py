@@ -69,7 +69,7 @@ def test_pruned_scan_filters_partitions(spark, mapped):
 def test_audit_suite(spark, mapped):
     table = f"{_database(spark, 't')}.bookings"
     write_table(mapped, table, "overwrite")
-    checks = audit(spark, table, history_table=table.rsplit(".", 1)[0] + ".run_history")
+    checks = audit(spark, table)
     n = mapped.count()
     assert checks["row_count"].first()["cnt"] == n
     assert sum(r["bookings"] for r in checks["by_region"].collect()) == n
