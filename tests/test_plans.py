@@ -1,0 +1,66 @@
+"""Plan shapes the scale design depends on (checked on the physical plan text)."""
+
+from __future__ import annotations
+
+import re
+
+from staylake.operators.audit import breakdown_by
+from staylake.operators.rejects import split_rejects
+from staylake.plans.mapping import map_bookings
+from staylake.plans.queries import _database
+from staylake.sinks.table import PARTITION_COLUMNS, _prepared, ensure_table, write_table
+from staylake.sources import tpch_bookings as fx
+from staylake.sources.json_lines import read_json_lines
+
+from tests.conftest import SF_SMALL
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _scanned(plan: str) -> set[str]:
+    """Column names of the first parquet scan, without expression ids."""
+    cols = re.search(r"FileScan parquet [\w.]*\[([^\]]*)\]", plan).group(1)
+    return {c.strip().split("#")[0] for c in cols.split(",")}
+
+
+def _shuffles(plan: str) -> int:
+    return len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)", plan))
+
+
+def test_flagship_has_no_shuffle_and_local_broadcasts(spark, lookups, scratch):
+    raw_dir = scratch + "/raw"
+    fx.raw_bookings(spark, SF_SMALL).write.parquet(raw_dir)
+    plan = _plan(map_bookings(spark.read.parquet(raw_dir), lookups))
+    assert _shuffles(plan) == 0
+    assert plan.count("BroadcastHashJoin") == 3
+    assert plan.count("LocalTableScan") == 3
+    assert not re.search(r"Python|ArrowEval|BatchEval", plan)
+    # only the fields the mapping reads are scanned
+    assert _scanned(plan) == {"label", "status", "start", "end", "accommodations", "accommodation_details", "booker", "currencies"}
+
+
+def test_json_roundtrip_parses_each_record_once(spark, lookups, scratch):
+    src = scratch + "/jsonl"
+    fx.booking_json_lines(spark, SF_SMALL).write.text(src)
+    plan = _plan(map_bookings(split_rejects(read_json_lines(spark, src))[0], lookups))
+    assert len(re.findall(r"FileScan text|Scan text", plan)) == 1
+    assert len(re.findall(r"from_json\(StructField", plan)) == 1
+    assert _shuffles(plan) == 0
+
+
+def test_write_adds_exactly_one_rebalance_exchange(spark, lookups):
+    table = f"{_database(spark, 'plan')}.bookings"
+    ensure_table(spark, table)
+    prepared = _prepared(spark, map_bookings(fx.raw_bookings(spark, SF_SMALL), lookups), table)
+    plan = _plan(prepared.hint("rebalance", *PARTITION_COLUMNS))
+    assert plan.count("REBALANCE_PARTITIONS_BY_COL") == 1
+
+
+def test_breakdown_reads_partition_columns_with_partial_aggregate(spark, lookups):
+    table = f"{_database(spark, 'plan')}.bookings"
+    write_table(map_bookings(fx.raw_bookings(spark, SF_SMALL), lookups), table, "overwrite")
+    plan = _plan(breakdown_by(spark.table(table), "region"))
+    assert "partial_count" in plan and "TakeOrderedAndProject" in plan
+    assert _scanned(plan) <= {"check_in_month", "region"}
