@@ -56,9 +56,11 @@ def start_incremental_load(
     checkpoint_location: str | None = None,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    trigger_interval: str = "1 minute",
     reject_table: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it stops after the files present now.
+    """Start the stream; with ``available_now`` it stops after the files present now,
+    otherwise it keeps checking for new files every ``trigger_interval``.
 
     The checkpoint defaults to a folder named after the table below the
     shared checkpoint area, so a restart resumes where the last run stopped.
@@ -75,7 +77,7 @@ def start_incremental_load(
         append_batch(batch, lookups, table, f"{stream_key}-{batch_id}", reject_table)
 
     writer = parsed.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
 
 
