@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from staylake.llm.bpe_count import token_counts
 from staylake.llm.common import table
 from staylake.llm.embed_dedup import near_duplicate_vectors
+from staylake.llm.html_text import extract_text
+from staylake.llm.lang_id import fit_languages, held_out, with_language
 from staylake.llm.piece_codec import piece_digests
+from staylake.llm.quality import quality_rules
 from staylake.llm.simhash import near_duplicates
 
 
@@ -36,6 +39,27 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs.select("doc_id", "text", "lang"))
+    out = with_language(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, log ratio and verdict of every document; documents labelled good are the trusted ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules(docs, trusted).drop("text")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the word-end byte-pair vocabulary."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,6 +81,9 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_html_text": op3_html_text,
+    "op4_language_id": op4_language_id,
+    "op5_quality_rules": op5_quality_rules,
     "op7_token_counts": op7_token_counts,
     "op8_piece_codec": op8_piece_codec,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
