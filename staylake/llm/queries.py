@@ -17,8 +17,11 @@ from staylake.llm.common import table
 from staylake.llm.embed_dedup import near_duplicate_vectors
 from staylake.llm.html_text import extract_text
 from staylake.llm.lang_id import fit_languages, held_out, with_language
+from staylake.llm.lm_score import fit_pair_models, with_loss_difference
+from staylake.llm.packing import pack_documents
 from staylake.llm.piece_codec import piece_digests
 from staylake.llm.quality import quality_rules
+from staylake.llm.sharding import shard_documents
 from staylake.llm.simhash import near_duplicates
 
 
@@ -32,6 +35,14 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of row counts at most one apart, equal texts together."""
+    out = shard_documents(table(spark, sf_dir, "documents"), shards=16)
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 4-word-shingle fingerprints link at 4 or fewer differing bits."""
     out = near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -60,6 +71,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(docs, trusted).drop("text")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 512 to 8192 words."""
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the word-end byte-pair vocabulary."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -79,14 +95,24 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op10_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document; documents labelled good and not toxic are the target."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return with_loss_difference(docs, fit_pair_models(docs, trusted)).drop("text")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_balanced_sharding": op1_balanced_sharding,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_html_text": op3_html_text,
     "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_counts": op7_token_counts,
     "op8_piece_codec": op8_piece_codec,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_loss_difference": op10_loss_difference,
 }
 
 ORACLE: dict[str, str] = {}
