@@ -135,7 +135,11 @@ def fit_languages(
     share = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, min(1.0, training / n))])
     place = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.withColumn("share", F.element_at(share, F.col("lang"))).withColumn("place", place).where("place < share")
-    mark = F.col("place") * float(training) < F.col("share") * float(landmarks)
+    mark = F.col("place") < F.col("share") * F.lit(landmarks / training)
+    few = [c for c, n in counts.items() if n <= training]  # their landmarks are a share of all their rows
+    if few:
+        part = F.create_map(*[F.lit(x) for c in few for x in (c, min(1.0, landmarks / counts[c]))])
+        mark = F.when(F.col("lang").isin(few), F.col("place") < F.element_at(part, F.col("lang"))).otherwise(mark)
     sample = sample.select("lang", "text", mark.alias("mark"))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

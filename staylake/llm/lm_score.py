@@ -111,7 +111,7 @@ def fit_pair_models(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id",
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, n = _Words(), 1 << bits
-        counts = np.zeros((2, 2 * n), np.int64)  # words, then pairs
+        counts = np.zeros((2, 2 * n), np.int32)  # words, then pairs, of one task
         begins = np.zeros(2, np.int64)
         for f in frames:
             for t, good in zip(f["_text"], f["_t"]):
@@ -124,11 +124,11 @@ def fit_pair_models(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id",
         cell = np.flatnonzero(counts[1])
         for k in range(0, len(cell), 200_000):
             c = cell[k : k + 200_000]
-            yield pd.DataFrame({"cell": c, "target": counts[0, c], "background": counts[1, c]})
+            yield pd.DataFrame({"cell": c.astype(np.int32), "target": counts[0, c], "background": counts[1, c]})
         if begins[1]:
-            yield pd.DataFrame({"cell": [-1], "target": begins[:1], "background": begins[1:]})
+            yield pd.DataFrame({"cell": [-1], "target": begins[:1], "background": begins[1:]}, dtype="int32")
 
-    found = marked.mapInPandas(count, "cell long, target long, background long")
+    found = marked.mapInPandas(count, "cell int, target int, background int")
     found = found.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
     got = found.toArrow()
     cell = got["cell"].to_numpy()
