@@ -5,7 +5,7 @@ class StaylakeError(Exception):
     """Base class."""
 
 
-class MappingLoadError(StaylakeError):
+class BadMapping(StaylakeError):
     """A mapping file is missing or is not one flat JSON object."""
 
 

@@ -2,7 +2,6 @@
 
 from staylake.functions.fields import (
     blank_to_null,
-    conform,
     country_code,
     date_only,
     month_of,
@@ -16,7 +15,6 @@ __all__ = [
     "DEVICE_NAMES",
     "attribution",
     "blank_to_null",
-    "conform",
     "country_code",
     "date_only",
     "device_name",

@@ -54,7 +54,11 @@ def date_only(ts_text: Column) -> Column:
     return F.try_to_date(blank_to_null(F.substring_index(ts_text, "T", 1)))
 
 
-def prefixed_id(value: Column, prefix: str = "BC-") -> Column:
+#: Fixed value: what a property id starts with.
+ID_PREFIX = "BC-"
+
+
+def prefixed_id(value: Column, prefix: str = ID_PREFIX) -> Column:
     """``prefix + value`` as text; null stays null (``concat`` propagates it)."""
     return F.concat(F.lit(prefix), value.cast("string"))
 
@@ -62,8 +66,3 @@ def prefixed_id(value: Column, prefix: str = "BC-") -> Column:
 def month_of(date_col: Column) -> Column:
     """First day of the month, the table's partition value."""
     return F.trunc(date_col, "MM")
-
-
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select exactly ``schema``'s columns, in its order, cast to its types."""
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -1,8 +1,8 @@
 """Attribution label parsing as column expressions.
 
-A label such as ``k-htl_d-m_u-....._p-BC-483720`` is a ``_``-separated list
+A label such as ``k-inn_d-t_u-77_p-BC-12`` is a ``_``-separated list
 of ``prefix-value`` segments. A segment without ``-`` is ignored, the prefix
-ends at the first ``-`` (so ``p-BC-483720`` has value ``BC-483720``), and
+ends at the first ``-`` (so ``p-BC-12`` has value ``BC-12``), and
 when a prefix repeats, its last segment wins. Empty or missing labels give
 null for every part.
 

@@ -21,8 +21,8 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def breakdown_by(df: DataFrame, column: str, n: int = 20) -> DataFrame:
-    """Rows per value of ``column``, most frequent first, top ``n``.
+def breakdown_by(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
+    """Rows per value of ``column``, most frequent first; all values, or the top ``n``.
 
     Ties are broken by the value itself (nulls first) so the cut at ``n`` is
     deterministic. The count is a partial (map-side) aggregate, so a value
@@ -30,7 +30,8 @@ def breakdown_by(df: DataFrame, column: str, n: int = 20) -> DataFrame:
     """
     _require_column(df, column)
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("bookings"))
-    return counts.orderBy(F.desc("bookings"), F.asc_nulls_first(column)).limit(n)
+    ordered = counts.orderBy(F.desc("bookings"), F.asc_nulls_first(column))
+    return ordered if n is None else ordered.limit(n)
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by: str | list[str] | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from staylake.operators.rejects import is_rejected, split_rejects
 from staylake.plans.mapping import Lookups, map_bookings
 from staylake.sinks.table import (
     WriteResult,
+    canonical_name,
     history_table_for,
     record_run,
     rejects_table_for,
@@ -57,7 +58,7 @@ def committed_run(spark: SparkSession, table: str, run_id: str) -> LoadReport |
     hist = history_table_for(table)
     if not spark.catalog.tableExists(hist):
         return None
-    row = spark.table(hist).where((F.col("table") == table) & (F.col("run_id") == run_id)).limit(1).collect()
+    row = spark.table(hist).where((F.col("table") == canonical_name(spark, table)) & (F.col("run_id") == run_id)).limit(1).collect()
     if not row:
         return None
     r = row[0]

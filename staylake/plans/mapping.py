@@ -27,8 +27,10 @@ from staylake.operators.rates import all_usd_rates
 from staylake.schemas import MAPPED_BOOKING
 from staylake.sources.mappings import load_mapping
 
+# The region of an unmapped country, the revenue of a booking, the mapping files.
 REGION_DEFAULT = "other"
 REVENUE_DEFAULT = 0.0
+STATUS_FILE, REGION_FILE = "status_mapping.json", "country_region.json"
 
 
 @dataclass(frozen=True)
@@ -58,8 +60,8 @@ class Lookups:
 def load_lookups(spark: SparkSession, mappings_dir: str, quotes: DataFrame) -> Lookups:
     """Status and region mapping files from ``mappings_dir``, rates from a quotes table."""
     base = mappings_dir.rstrip("/")
-    status = load_mapping(spark, f"{base}/status_mapping.json")
-    region = load_mapping(spark, f"{base}/country_region.json")
+    status = load_mapping(spark, f"{base}/{STATUS_FILE}")
+    region = load_mapping(spark, f"{base}/{REGION_FILE}")
     return Lookups.of(status, region, all_usd_rates(quotes))
 
 
@@ -111,12 +113,7 @@ def map_bookings(
     return j3.select(*[F.col(f"`{k}`") for k in keep], *out)
 
 
-def transform(raw: DataFrame, lookups: Lookups) -> DataFrame:
-    """The transform job: lookups -> map -> fixed schema. Lazy; no action."""
-    return map_bookings(raw, lookups)
-
-
-def transform_sample(raw: DataFrame, lookups: Lookups, n: int = 100, key: str | None = "id") -> DataFrame:
+def transform_sample(raw: DataFrame, lookups: Lookups, n: int = 100, key: str | None = None) -> DataFrame:
     """Map ``n`` raw records, a dry run before a full load.
 
     With ``key`` the sample is the first ``n`` records by that key: the same

@@ -35,7 +35,6 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 REGIONS = """
 SELECT upper(n_name) AS k, r_name AS region
 FROM nation JOIN region ON n_regionkey = r_regionkey
-WHERE n_nationkey < 20
 """
 
 QUOTES = """
@@ -109,7 +108,7 @@ UNION ALL SELECT 'USD', CAST(1.0 AS DOUBLE) WHERE EXISTS (SELECT 1 FROM w)
 def _breakdown(column: str, source: str) -> str:
     return (
         f"SELECT {column}, count(*) AS bookings FROM ({source}) GROUP BY {column} "
-        f"ORDER BY bookings DESC, {column} ASC NULLS FIRST LIMIT 20"
+        f"ORDER BY bookings DESC, {column} ASC NULLS FIRST"
     )
 
 
@@ -153,6 +152,7 @@ ORACLE: dict[str, str] = {
     "transform_sample": f"SELECT {MAPPED_COLUMNS} FROM ({MAPPED_WITH_ID}) ORDER BY id LIMIT 100",
     "currencies_distinct": WANTED,
     "usd_rates": USD_RATES,
+    "usd_rates_empty": "SELECT CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS DOUBLE) AS rate_to_usd WHERE false",
     "missing_rates": f"""
         WITH w AS ({WANTED}), r AS ({USD_RATES})
         SELECT currency FROM w WHERE currency <> 'USD' AND NOT EXISTS (SELECT 1 FROM r WHERE r.currency = w.currency)""",
@@ -183,8 +183,17 @@ ORACLE: dict[str, str] = {
     "breakdown_region": _breakdown("region", MAPPED),
     "breakdown_status": _breakdown("status", MAPPED),
     "breakdown_device": _breakdown("device", MAPPED),
+    "breakdown_country": _breakdown("country_code", MAPPED),
     "sample_rows": f"SELECT * FROM ({TABLE}) ORDER BY transaction_id LIMIT 5",
+    "sample_count": f"SELECT count(*) AS cnt FROM (SELECT 1 FROM ({MAPPED_WITH_ID}) LIMIT 100)",
     "describe_table": DESCRIBE,
+    "audit_suite": f"""
+        SELECT 'row_count' AS "check", CAST(NULL AS VARCHAR) AS key, count(*) AS n FROM ({MAPPED})
+        UNION ALL SELECT 'schema', col_name, CAST(position AS BIGINT) FROM ({DESCRIBE})
+        UNION ALL SELECT 'sample', transaction_id, CAST(1 AS BIGINT) FROM (SELECT transaction_id FROM ({TABLE}) ORDER BY transaction_id LIMIT 5)
+        UNION ALL SELECT 'by_region', region, count(*) FROM ({MAPPED}) GROUP BY region
+        UNION ALL SELECT 'by_status', status, count(*) FROM ({MAPPED}) GROUP BY status
+        UNION ALL SELECT 'history', 'overwrite', count(*) FROM ({MAPPED})""",
     "orders_breakdown_priority": _breakdown("o_orderpriority", "SELECT * FROM orders"),
     "events_breakdown_type": _breakdown("event_type", "SELECT * FROM events"),
 }

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from staylake.functions.fields import country_code, date_only, prefixed_id, safe_path
 from staylake.functions.labels import attribution, device_name, label_part
-from staylake.operators.audit import breakdown_by, describe_table, row_count, sample_rows
+from staylake.operators.audit import audit, breakdown_by, describe_table, row_count, sample_rows
 from staylake.operators.rates import all_usd_rates, convert_amount, missing_rates, usd_rates, wanted_currencies
 from staylake.operators.rejects import split_rejects
 from staylake.plans.load import run_load
@@ -137,6 +137,13 @@ def usd_rates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usd_rates(fx.quotes(spark), _booking_currencies(spark, sf_dir))
 
 
+def usd_rates_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates for the bookings without a currency: nothing is wanted, so there are none, not even USD."""
+    raw = fx.raw_bookings(spark, sf_dir)
+    code = safe_path(raw, "currencies.booker")
+    return usd_rates(fx.quotes(spark), wanted_currencies(raw.where(code.isNull()), code))
+
+
 def missing_rates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_rates(_booking_currencies(spark, sf_dir), all_usd_rates(fx.quotes(spark)))
 
@@ -307,6 +314,30 @@ def _breakdown(column: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+def sample_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the dry run."""
+    return row_count(transform_sample_q(spark, sf_dir))
+
+
+def audit_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of the audit in one table: ``(check, key, n)``."""
+    checks = audit(spark, bookings_table(spark, sf_dir))
+    parts = {
+        "row_count": (F.lit(None), "cnt"),
+        "schema": (F.col("col_name"), "position"),
+        "sample": (F.col("transaction_id"), F.lit(1)),
+        "by_region": (F.col("region"), "bookings"),
+        "by_status": (F.col("status"), "bookings"),
+        "history": (F.col("mode"), "rows_written"),
+    }
+    out = None
+    for name, (key, n) in parts.items():
+        n = F.col(n) if isinstance(n, str) else n
+        rows = checks[name].select(F.lit(name).alias("check"), key.cast("string").alias("key"), n.cast("long").alias("n"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def sample_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_rows(spark.table(bookings_table(spark, sf_dir)), 5, order_by="transaction_id")
 
@@ -337,6 +368,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transform_sample": transform_sample_q,
     "currencies_distinct": currencies_distinct,
     "usd_rates": usd_rates_q,
+    "usd_rates_empty": usd_rates_empty,
     "missing_rates": missing_rates_q,
     "convert_amount": convert_amount_q,
     "rejects": rejects,
@@ -357,8 +389,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "breakdown_region": _breakdown("region"),
     "breakdown_status": _breakdown("status"),
     "breakdown_device": _breakdown("device"),
+    "breakdown_country": _breakdown("country_code"),
     "sample_rows": sample_rows_q,
+    "sample_count": sample_count,
     "describe_table": describe_table_q,
+    "audit_suite": audit_suite,
     "orders_breakdown_priority": orders_breakdown_priority,
     "events_breakdown_type": events_breakdown_type,
 }

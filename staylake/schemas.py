@@ -44,9 +44,6 @@ RAW_BOOKING = StructType(
     ]
 )
 
-# Parser schema: RAW_BOOKING plus the column that receives malformed text.
-RAW_BOOKING_PARSE = StructType(RAW_BOOKING.fields + [_s(CORRUPT_COLUMN)])
-
 # Flat mapped booking; field order is the fixed output contract.
 MAPPED_BOOKING = StructType(
     [

@@ -48,10 +48,31 @@ def _database_of(table: str) -> str | None:
     return ".".join(parts[:-1]) if len(parts) > 1 else None
 
 
+def _quoted(name: str) -> str:
+    """A dotted name with every part in backticks, safe inside SQL text."""
+    parts = [p[1:-1] if len(p) > 1 and p[0] == p[-1] == "`" else p for p in name.split(".")]
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def canonical_name(spark: SparkSession, table: str) -> str:
+    """One name for a table however it is written: ``database.table`` in the session catalog."""
+    parts = [p.strip("`") for p in table.split(".")]
+    if len(parts) == 3 and parts[0] == "spark_catalog":
+        parts = parts[1:]
+    if len(parts) == 1:
+        parts = [spark.catalog.currentDatabase(), *parts]
+    return ".".join(parts)
+
+
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS``; ``location`` should be shared storage."""
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+    where = f" LOCATION {_literal(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{where}")
 
 
 def ensure_table(spark: SparkSession, table: str, location: str | None = None) -> None:
@@ -59,9 +80,9 @@ def ensure_table(spark: SparkSession, table: str, location: str | None = None) -
     db = _database_of(table)
     if db:
         ensure_database(spark, db)
-    where = f"\nLOCATION '{location}'" if location else ""
+    where = f"\nLOCATION {_literal(location)}" if location else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (\n  {_ddl_columns(BOOKINGS_TABLE)}\n)\n"
+        f"CREATE TABLE IF NOT EXISTS {_quoted(table)} (\n  {_ddl_columns(BOOKINGS_TABLE)}\n)\n"
         f"USING parquet\nPARTITIONED BY ({', '.join(PARTITION_COLUMNS)}){where}"
     )
 
@@ -71,7 +92,7 @@ def ensure_side_table(spark: SparkSession, table: str, schema) -> None:
     db = _database_of(table)
     if db:
         ensure_database(spark, db)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (\n  {_ddl_columns(schema)}\n) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(table)} (\n  {_ddl_columns(schema)}\n) USING parquet")
 
 
 def history_table_for(table: str) -> str:
@@ -86,7 +107,7 @@ def rejects_table_for(table: str) -> str:
 def _prepared(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Derive the month column and reorder to the table's columns, by name."""
     with_month = df.withColumn("check_in_month", month_of(F.col("check_in_date")))
-    target = spark.table(table).schema
+    target = spark.table(_quoted(table)).schema
     have = {(f.name, f.dataType.simpleString()) for f in target.fields}
     want = {(f.name, f.dataType.simpleString()) for f in BOOKINGS_TABLE.fields}
     if have != want:
@@ -101,7 +122,22 @@ def _aqe_on(spark: SparkSession) -> bool:
 
 
 def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
-    df.write.insertInto(table, overwrite=overwrite)
+    """Insert by position; an overwrite replaces the whole table whatever the session's mode.
+
+    The writer has no option for it: in a session with dynamic partition
+    overwrite, partitions without new rows would stay. The setting is put
+    back afterwards.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key, "static") if overwrite else "static"
+    if before.lower() == "static":
+        df.write.insertInto(_quoted(table), overwrite=overwrite)
+        return
+    conf.set(key, "static")
+    try:
+        df.write.insertInto(_quoted(table), overwrite=True)
+    finally:
+        conf.set(key, before)
 
 
 def write_table(
@@ -117,14 +153,13 @@ def write_table(
 ) -> WriteResult:
     """Write mapped bookings into ``table``.
 
-    ``overwrite`` replaces the table's data (all partitions, under Spark's
-    default static overwrite mode); ``append`` adds rows. Any other mode is
+    ``overwrite`` replaces all of the table's data; ``append`` adds rows. Any other mode is
     refused before anything is created. With ``history`` a row describing
     the run is appended to the database's ``run_history`` table after the
     data is committed. ``cluster`` defaults to on exactly when AQE is on.
     """
     if mode not in WRITE_MODES:
-        raise UnsupportedWriteMode(f"Unsupported write mode: {mode}")
+        raise UnsupportedWriteMode(f"write mode {mode!r} is not one of {WRITE_MODES}")
     spark = df.sparkSession
     ensure_table(spark, table, location)
     out = _prepared(spark, df, table)
@@ -148,8 +183,10 @@ def record_run(spark: SparkSession, result: WriteResult, rows_rejected: int | No
     """Append one ``run_history`` row for a committed write."""
     hist = history_table_for(result.table)
     ensure_side_table(spark, hist, RUN_HISTORY)
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    row = [(result.run_id, now, result.table, result.mode, result.rows_written, rows_rejected)]
+    name = canonical_name(spark, result.table)
+    # An aware time: the instant is the same whatever zone the driver or the session is in.
+    now = _dt.datetime.now(_dt.timezone.utc)
+    row = [(result.run_id, now, name, result.mode, result.rows_written, rows_rejected)]
     _insert(spark.createDataFrame(row, RUN_HISTORY), hist, overwrite=False)
 
 
@@ -166,7 +203,7 @@ def write_rejects(rejects: DataFrame, table: str, run_id: str) -> int:
 def table_history(spark: SparkSession, table: str, history_table: str | None = None) -> DataFrame:
     """Runs recorded for ``table``, oldest first."""
     hist = history_table or history_table_for(table)
-    return spark.table(hist).where(F.col("table") == table).orderBy("committed_at", "run_id")
+    return spark.table(_quoted(hist)).where(F.col("table") == canonical_name(spark, table)).orderBy("committed_at", "run_id")
 
 
 def scan_bookings(
@@ -182,7 +219,7 @@ def scan_bookings(
     predicates, so only the partitions of the requested months and regions
     are listed and read.
     """
-    df = spark.table(table)
+    df = spark.table(_quoted(table))
     if date_from is not None:
         lo = F.lit(date_from).cast("date")
         df = df.where((F.col("check_in_month") >= month_of(lo)) & (F.col("check_in_date") >= lo))

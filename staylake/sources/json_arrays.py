@@ -6,10 +6,10 @@ Two layouts are handled:
   as one string by one task (``wholetext``), so a single file must fit in a
   task's memory; many files read in parallel. Records are spread over the
   cluster right after the explode.
-* ``"lines"``: the array is written one record per line (``[``, records each
+* ``"lines"``: each line holds one or more whole records (``[``, records each
   followed by ``,``, ``]``). Each line is read on its own, so the file splits
-  like JSON Lines and size is no limit. A record spread over several lines
-  is not valid in this layout and ends up rejected.
+  like JSON Lines and size is no limit. A line that is anything else, such as
+  part of a record, is rejected.
 
 Spark's own ``multiLine`` JSON reader streams an array without holding it,
 but it judges the file as one document: one element of the wrong shape
@@ -29,19 +29,20 @@ from pyspark.sql.types import StructType
 
 from staylake.schemas import RAW_BOOKING
 from staylake.session import default_parallelism
-from staylake.sources.json_lines import parse_records, record_texts
+from staylake.sources.json_lines import json_values, parse_records
 
 LAYOUTS = ("whole", "lines")
 
-# Array punctuation around a record that sits on its own line.
-_ARRAY_EDGES = r"^\[|\]$|,$|^,"
+# White space and array punctuation around the records of a line.
+_ARRAY_EDGES = r"^\s*[\[,]?\s*|\s*,?\s*\]?\s*$"
 
 
 def array_records(spark: SparkSession, path: str | list[str], layout: str = "whole") -> DataFrame:
     """One row per array element, ``value`` = the element's JSON text."""
     if layout == "whole":
         files = spark.read.text(path, wholetext=True)
-        elems = files.select(F.explode(F.coalesce(F.from_json("value", "array<string>"), F.array("value"))).alias("value"))
+        elements = F.transform(F.from_json("value", "array<string>"), lambda x: F.coalesce(x, F.lit("null")))
+        elems = files.select(F.explode(F.coalesce(elements, F.array("value"))).alias("value"))
         # One file is one task; spread its records before any further work.
         # Round-robin, not a hash of the text: identical copies of a record
         # would all hash to one partition. Spark sorts rows before a
@@ -49,8 +50,9 @@ def array_records(spark: SparkSession, path: str | list[str], layout: str = "who
         return elems.repartition(default_parallelism(spark))
     if layout == "lines":
         lines = spark.read.text(path)
-        stripped = F.trim(F.regexp_replace(F.trim("value"), _ARRAY_EDGES, ""))
-        return record_texts(lines.select(stripped.alias("value")))
+        stripped = F.regexp_replace("value", _ARRAY_EDGES, "")
+        records = lines.select(stripped.alias("value")).where(F.col("value") != "")
+        return records.select(F.explode(F.coalesce(json_values(F.col("value")), F.array("value"))).alias("value"))
     raise ValueError(f"unknown layout {layout!r}; use one of {LAYOUTS}")
 
 

@@ -27,15 +27,29 @@ def _with_corrupt(schema: StructType) -> StructType:
 def record_texts(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """One JSON text per record: blank lines dropped, ``[...]`` lines exploded.
 
-    A line holding a whole array of records yields one row per element; a
-    line that only looks like an array but does not parse is kept as is, so
-    the record parser rejects it.
+    A line is blank when it holds white space only. A line holding a whole
+    array of records yields one row per element (a null element as the text
+    ``null``); a line that only looks like an array, or has text after it, is
+    kept as is, so the record parser rejects it.
     """
     text = F.col(text_col)
-    trimmed = F.trim(text)
-    as_array = F.from_json(text, "array<string>")
-    pieces = F.when(trimmed.startswith("["), F.coalesce(as_array, F.array(text))).otherwise(F.array(text))
-    return lines.where(trimmed != "").select(F.explode(pieces).alias("value"))
+    arrays = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<array<string>>")
+    elements = F.when(F.size(arrays) == 1, F.transform(arrays[0], lambda x: F.coalesce(x, F.lit("null"))))
+    is_array = text.rlike(r"^\s*\[")
+    pieces = F.when(is_array, F.coalesce(elements, F.array(text))).otherwise(F.array(text))
+    return lines.where(~text.rlike(r"^\s*$")).select(F.explode(pieces).alias("value"))
+
+
+def json_values(text) -> F.Column:
+    """The JSON values of a text, separated by commas, as an array of texts.
+
+    Null when the text is anything else. A single value keeps its original
+    text: parsing would rewrite long numbers.
+    """
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    return F.when(F.size(parsed) == 1, F.array(text)).otherwise(
+        F.transform(parsed, lambda x: F.coalesce(x, F.lit("null")))
+    )
 
 
 def parse_records(texts: DataFrame, schema: StructType = RAW_BOOKING, text_col: str = "value") -> DataFrame:
@@ -45,10 +59,20 @@ def parse_records(texts: DataFrame, schema: StructType = RAW_BOOKING, text_col:
     does not push a filter on generator output below the generator, so the
     reject split that follows filters the parsed row instead of parsing the
     text a second time inside the filter.
+
+    The record parser stops at the end of the first value, so the text is
+    first checked to be one value and nothing else. Anything else, and the
+    value ``null``, is a corrupt record.
     """
     full = _with_corrupt(schema)
-    parsed = F.from_json(F.col(text_col), full, PARSE_OPTIONS)
-    return texts.select(F.col(text_col).alias("value"), F.inline(F.array(parsed)))
+    text = F.col(text_col)
+    values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    one = F.coalesce(F.size(values) == 1, F.lit(False))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields if f.name != CORRUPT_COLUMN]
+    corrupt = F.struct(*nulls, F.coalesce(text, F.lit("null")).alias(CORRUPT_COLUMN))
+    corrupt = F.struct(*[corrupt[f.name].alias(f.name) for f in full.fields])
+    parsed = F.coalesce(F.when(one, F.from_json(text, full, PARSE_OPTIONS)), corrupt)
+    return texts.select(text.alias("value"), F.inline(F.array(parsed)))
 
 
 def parse_json_lines(lines: DataFrame, schema: StructType = RAW_BOOKING, text_col: str = "value") -> DataFrame:

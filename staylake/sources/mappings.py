@@ -12,30 +12,30 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.errors import MappingLoadError
+from staylake.errors import BadMapping
 from staylake.schemas import MAPPING
 
 
 def load_mapping(spark: SparkSession, path: str) -> DataFrame:
     """Read a JSON object file ``{"k": "v", ...}`` as ``(key, value)`` rows.
 
-    Raises ``MappingLoadError`` when the path does not exist, holds no file,
+    Raises ``BadMapping`` when the path does not exist, holds no file,
     or a file is not one flat JSON object. Non-string values keep their JSON
     text; a null value stays null.
     """
     try:
         files = spark.read.text(path, wholetext=True)
     except PySparkException as exc:
-        raise MappingLoadError(f"mapping file not found: {path}") from exc
+        raise BadMapping(f"no mapping at {path}") from exc
     parsed = files.select(F.from_json("value", "map<string,string>").alias("m"))
     try:
         stats = parsed.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("m").isNull()).alias("bad")).first()
     except PySparkException as exc:
-        raise MappingLoadError(f"invalid JSON in mapping file {path}: {exc}") from exc
+        raise BadMapping(f"mapping {path} cannot be read as JSON: {exc}") from exc
     if stats["files"] == 0:
-        raise MappingLoadError(f"mapping file not found: {path}")
+        raise BadMapping(f"no mapping at {path}")
     if stats["bad"]:
-        raise MappingLoadError(f"invalid JSON in mapping file {path}: not one JSON object")
+        raise BadMapping(f"mapping {path} is not one JSON object")
     return parsed.select(F.explode("m").alias("key", "value"))
 
 
@@ -52,6 +52,6 @@ def write_mapping(mapping: DataFrame, path: str, max_rows: int = 200_000) -> Non
     """
     rows = mapping.count()
     if rows > max_rows:
-        raise MappingLoadError(f"mapping has {rows} rows, more than {max_rows}; keep it as a table")
+        raise BadMapping(f"mapping has {rows} rows, more than {max_rows}; keep it as a table")
     obj = mapping.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("key", "value")))).alias("value"))
     obj.write.mode("overwrite").text(path)

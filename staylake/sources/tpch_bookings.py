@@ -35,9 +35,6 @@ QUOTES_PER_USD = {
     "CHF": 0.0,
 }
 
-# Only nations below this key get a region in the fixture mapping.
-MAPPED_NATIONS_BELOW = 20
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -142,8 +139,7 @@ def region_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     return (
-        n.where(F.col("n_nationkey") < MAPPED_NATIONS_BELOW)
-        .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+        n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.upper("n_name").alias("key"), F.col("r_name").alias("value"))
     )
 

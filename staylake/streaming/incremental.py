@@ -1,13 +1,15 @@
-"""Incremental append: new JSON Lines files -> mapped bookings, once each.
+"""Incremental append: new JSON Lines files -> mapped bookings.
 
 The append mode of the table writer is meant for incremental loads. In
 Spark that is a file-source stream: each micro-batch picks up files not seen
 before (tracked in the stream's checkpoint), and ``foreachBatch`` runs the
 same parse -> reject split -> map -> append as a batch load.
 
-Exactly once: a micro-batch that is re-run after a failure carries the same
-``run_id`` (stream id + batch id); a batch whose run is already in the
-table's history is skipped, so a retry never appends twice.
+A micro-batch that is re-run after a failure carries the same ``run_id``
+(stream id + batch id); a batch whose run is already in the table's history is
+skipped. The history row follows the data: a failure between the two leaves
+an append that the retry repeats, so delivery is at least once (parquet has no
+transaction over both).
 """
 
 from __future__ import annotations

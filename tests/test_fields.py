@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from staylake.functions.fields import conform, country_code, date_only, prefixed_id, safe_path
+from staylake.functions.fields import country_code, date_only, prefixed_id, safe_path
 from staylake.functions.money import invert_quote, to_usd
-from staylake.schemas import MAPPED_BOOKING
 
 
 def test_safe_path_walks_structs_only(spark):
@@ -65,17 +65,21 @@ def test_invert_quote_skips_zero_and_null(spark):
     assert got == [1.25, None, None]
 
 
-def test_conform_orders_and_casts(spark):
-    cols = {f.name: None for f in MAPPED_BOOKING.fields}
-    cols["revenue"] = "1.5"
-    df = spark.createDataFrame([tuple(cols.values())[::-1]], ", ".join(f"{n} string" for n in reversed(list(cols))))
-    out = conform(df, MAPPED_BOOKING)
-    assert out.schema == MAPPED_BOOKING
-    assert out.first()["revenue"] == 1.5
-
-
 def test_to_usd_keeps_three_decimal_amounts(spark):
     df = spark.createDataFrame([(1.235, 3.25), (0.005, 1.0)], "a double, r double")
     got = [r["u"] for r in df.select(to_usd(F.col("a"), F.col("r")).alias("u")).collect()]
     # 1.235 * 3.25 = 4.01375 -> 4.01 (rounding the amount to cents first would give 1.24 * 3.25 = 4.03)
     assert got == [4.01, 0.01]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_to_usd_never_stops_other_rows(spark, ansi):
+    rows = [(1, 2.0, 65_000.0), (2, 1e15, 1e-12), (3, 1e15, 2.0), (4, 3.0, float("nan")), (5, 1e300, 1e300), (6, 2.5, 1.0), (7, 1.0, 0.0)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame(rows, "id int, a double, r double")
+        got = {r["id"]: r["u"] for r in df.select("id", to_usd(F.col("a"), F.col("r")).alias("u")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == {1: 130_000.0, 2: 1000.0, 3: 2e15, 4: None, 5: None, 6: 2.5, 7: 0.0}

@@ -120,18 +120,62 @@ def test_run_load_invariants(spark, lookups, scratch):
 
 def test_transform_sample(spark, lookups):
     raw = fx.raw_bookings(spark, SF_SMALL)
-    sample = transform_sample(raw, lookups, n=10)
+    sample = transform_sample(raw, lookups, n=10, key="id")
     assert sample.count() == 10
     first_ids = sorted(r["id"] for r in raw.select("id").collect())[:10]
     assert sorted(r["transaction_id"] for r in sample.collect()) == first_ids
 
 
 def test_sanity_table_insert_values(spark):
-    """Create a small table, insert literal rows, read them back."""
+    """The catalog takes a table, literal rows and a read."""
     db = _database(spark, "smoke")
-    spark.sql(f"CREATE TABLE {db}.test_table (id INT, name STRING) USING parquet")
-    spark.sql(f"INSERT INTO {db}.test_table VALUES (1, 'hello'), (2, 'world')")
-    assert sorted(tuple(r) for r in spark.table(f"{db}.test_table").collect()) == [(1, "hello"), (2, "world")]
+    spark.sql(f"CREATE TABLE {db}.rooms (floor INT, view STRING) USING parquet")
+    spark.sql(f"INSERT INTO {db}.rooms VALUES (3, 'garden'), (7, 'sea')")
+    assert sorted(tuple(r) for r in spark.table(f"{db}.rooms").collect()) == [(3, "garden"), (7, "sea")]
+
+
+def test_overwrite_replaces_all_in_a_dynamic_session(spark, mapped):
+    table = f"{_database(spark, 'dyn')}.bookings"
+    write_table(mapped, table, "overwrite")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        part = mapped.where("region = 'ASIA'")
+        write_table(part, table, "overwrite")
+        assert spark.conf.get(key) == "dynamic"
+    finally:
+        spark.conf.unset(key)
+    assert spark.table(table).count() == part.count() < mapped.count()
+
+
+def test_history_has_one_name_per_table_and_true_times(spark, mapped):
+    import datetime as dt
+    import os
+    import time
+
+    table = f"{_database(spark, 'names')}.bookings"
+    zone = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        write_table(mapped.limit(3), f"spark_catalog.{table}", "overwrite")
+        at = table_history(spark, table).select(F.col("committed_at").cast("long").alias("t")).collect()
+    finally:
+        os.environ.pop("TZ") if zone is None else os.environ.__setitem__("TZ", zone)
+        time.tzset()
+    assert len(at) == 1
+    assert abs(at[0]["t"] - dt.datetime.now(dt.timezone.utc).timestamp()) < 600
+
+
+def test_names_are_quoted(spark, mapped):
+    db = _database(spark, "quote")
+    write_table(mapped.limit(2), f"{db}.2nd", "overwrite", history=False)
+    assert spark.table(f"{db}.`2nd`").count() == 2
+
+
+def test_breakdown_is_complete_by_default(spark):
+    df = spark.createDataFrame([(i % 100,) for i in range(1000)], "v int")
+    assert breakdown_by(df, "v").count() == 100
 
 
 def test_run_load_with_run_id_is_not_repeated(spark, lookups, scratch):

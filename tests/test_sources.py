@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from staylake.errors import MappingLoadError
+from staylake.errors import BadMapping
 from staylake.operators.rejects import split_rejects
 from staylake.sources.json_arrays import read_json_array, rewrite_json_arrays
 from staylake.sources.json_lines import parse_json_lines, read_json_lines
@@ -89,13 +89,13 @@ def test_mapping_file_roundtrip_and_errors(spark, scratch):
     write_mapping(m, scratch + "/m.json")
     back = {r["key"]: r["value"] for r in load_mapping(spark, scratch + "/m.json").collect()}
     assert back == {"NL": "EUROPE", "JP": "ASIA", "N": None}
-    with pytest.raises(MappingLoadError):
+    with pytest.raises(BadMapping):
         load_mapping(spark, scratch + "/missing.json")
     bad = _write_text(scratch + "/bad", "x.json", "[1, 2]")
-    with pytest.raises(MappingLoadError):
+    with pytest.raises(BadMapping):
         load_mapping(spark, bad)
     bad2 = _write_text(scratch + "/bad2", "x.json", "{not json")
-    with pytest.raises(MappingLoadError):
+    with pytest.raises(BadMapping):
         load_mapping(spark, bad2)
 
 
@@ -113,3 +113,44 @@ def test_reject_decision_does_not_depend_on_projection(spark):
     assert [r["label"] for r in good.select("label").collect()] == ["k-a"]
     assert [r["id"] for r in bad.select("id").collect()] == ["9"]
     assert good.select("label").count() == 1
+
+
+def _loaded(spark, lines, layout=None):
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    good, bad = split_rejects(parse_json_lines(df))
+    return sorted(r["id"] for r in good.collect()), sorted(r["raw"] for r in bad.collect())
+
+
+def test_text_after_a_record_is_rejected(spark):
+    lines = ['{"id":1}', '{"id":2} {"id":3}', '{"id":4}garbage', ' {"id":5} ', '[{"id":6},{"id":7}]', '[{"id":8}] x']
+    good, bad = _loaded(spark, lines)
+    assert good == ["1", "5", "6", "7"]
+    assert bad == ['[{"id":8}] x', '{"id":2} {"id":3}', '{"id":4}garbage']
+
+
+def test_blank_lines_and_nulls_are_no_bookings(spark):
+    good, bad = _loaded(spark, ["\t", "  ", "", "null", '[null, {"id":1}]', '{"id":2}'])
+    assert (good, bad) == (["1", "2"], ["null", "null"])
+
+
+def test_long_numbers_keep_their_text(spark):
+    lines = ['{"id":12345678901234567.25}', '{"id":123456789012345678901234567890}']
+    df = parse_json_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    good, bad = split_rejects(df)
+    assert sorted(r["value"] for r in good.collect()) == sorted(lines)
+    assert "123456789012345678901234567890" in {r["id"] for r in good.collect()}
+    assert bad.count() == 0
+
+
+def test_array_lines_with_several_records(spark, scratch):
+    _write_text(scratch, "a.json", '[{"id":1},\n{"id":2},{"id":3},\n\t\n{"id":4},null,\n{"id":5\n{"id":6}]\n')
+    good, bad = split_rejects(read_json_array(spark, scratch, layout="lines"))
+    assert sorted(r["id"] for r in good.collect()) == ["1", "2", "3", "4", "6"]
+    assert sorted(r["raw"] for r in bad.collect()) == ["null", '{"id":5']
+
+
+def test_null_element_of_a_whole_array_is_rejected(spark, scratch):
+    _write_text(scratch, "a.json", '[{"id":1}, null]')
+    good, bad = split_rejects(read_json_array(spark, scratch, layout="whole"))
+    assert [r["id"] for r in good.collect()] == ["1"]
+    assert [r["raw"] for r in bad.collect()] == ["null"]
