@@ -1,8 +1,9 @@
 """Separate records that cannot be mapped from those that can.
 
 A parsed record is rejected when its text is not one JSON object matching
-the raw schema (the parser put the text into ``_corrupt_record``). Rejects
-keep the raw text and a best-effort id, so they can be inspected and
+the raw schema (the parser put the text into ``_corrupt_record``), or when a
+field that must be text holds an object or an array (read as a string, that
+would be booked as JSON text). Rejects keep the raw text and a best-effort id, so they can be inspected and
 replayed; they are never silently dropped.
 """
 
@@ -11,17 +12,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylake.functions.fields import safe_path
 from staylake.schemas import CORRUPT_COLUMN
 
 MALFORMED = "malformed_json"
 
+# Fields that must be text, by their path in the raw record.
+TEXT_FIELDS = ("label", "status", "start", "end", "booker.address.country")
+
 # Leading "id" key of a record whose text does not parse as a whole.
 _LEADING_ID = r'^\s*\{\s*"id"\s*:\s*"?([^",}\s]+)'
 
 
-def is_rejected() -> Column:
-    """Predicate column: true for records that cannot be mapped."""
-    return F.col(CORRUPT_COLUMN).isNotNull()
+def reject_reason(parsed: DataFrame, text_col: str = "value") -> Column:
+    """Why a record cannot be mapped, null for good records.
+
+    Only a value that starts like an object or array is looked up in the
+    record's text again, to tell it from a text that starts the same way.
+    """
+    reason = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED))
+    schema = parsed.schema
+    for path in TEXT_FIELDS:
+        found = F.try_variant_get(F.try_parse_json(F.col(text_col)), f"$.{path}", "variant")
+        nested = F.schema_of_variant(found).rlike("^(OBJECT|ARRAY)")
+        looks_nested = safe_path(schema, path, "string").rlike(r"^\s*[\[{]")
+        name = path.rsplit(".", 1)[-1]
+        reason = reason.when(F.when(looks_nested, nested), F.lit(f"{name}_not_text"))
+    return reason
 
 
 def split_rejects(parsed: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -30,13 +47,13 @@ def split_rejects(parsed: DataFrame, text_col: str = "value") -> tuple[DataFrame
     Both are lazy filters of the same input. Good rows lose the corrupt
     column and keep every other column.
     """
-    bad = is_rejected()
-    good = parsed.where(~bad).drop(CORRUPT_COLUMN)
+    reason = reject_reason(parsed, text_col)
+    good = parsed.where(reason.isNull()).drop(CORRUPT_COLUMN)
     recovered = F.nullif(F.regexp_extract(F.col(text_col), _LEADING_ID, 1), F.lit(""))
     id_col = F.coalesce(F.col("id").cast("string"), recovered) if "id" in parsed.columns else recovered
-    rejects = parsed.where(bad).select(
+    rejects = parsed.where(reason.isNotNull()).select(
         id_col.alias("id"),
-        F.lit(MALFORMED).alias("reason"),
+        reason.alias("reason"),
         F.col(text_col).alias("raw"),
     )
     return good, rejects

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.operators.rejects import is_rejected, split_rejects
+from staylake.operators.rejects import reject_reason, split_rejects
 from staylake.plans.mapping import Lookups, map_bookings
 from staylake.sinks.table import (
     WriteResult,
@@ -98,7 +98,7 @@ def run_load(
     # was rejected: a stage re-run can add a task's count twice, never turn
     # zero into more. The exact counts come from the two writes.
     seen = Observation(f"read_{uuid.uuid4().hex[:8]}")
-    counted = parsed.observe(seen, F.count_if(is_rejected()).alias("rows_rejected"))
+    counted = parsed.observe(seen, F.count_if(reject_reason(parsed).isNotNull()).alias("rows_rejected"))
     good, _ = split_rejects(counted)
     written: WriteResult = write_table(
         map_bookings(good, lookups), table, mode, location=location, history=False, run_id=run_id

@@ -32,6 +32,8 @@ from staylake.session import default_parallelism
 from staylake.sources.json_lines import json_values, parse_records
 
 LAYOUTS = ("whole", "lines")
+# Files below this size are parsed as one variant value (Spark's limit is 128 MiB).
+VARIANT_BYTES = 100 << 20
 
 # White space and array punctuation around the records of a line.
 _ARRAY_EDGES = r"^\s*[\[,]?\s*|\s*,?\s*\]?\s*$"
@@ -68,6 +70,21 @@ def normalise_json(text) -> F.Column:
     return F.coalesce(F.to_json(F.try_parse_json(text)), text)
 
 
+def _exact_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Elements of whole array files, with every number of up to 38 digits exact.
+
+    Cutting an array into texts rewrites long numbers as doubles, so a file
+    within the size limit of a variant is parsed as one. Others, and text that
+    is no array, go the way of ``array_records``.
+    """
+    files = spark.read.text(path, wholetext=True)
+    small = F.octet_length("value") < VARIANT_BYTES
+    exact = F.transform(F.try_parse_json("value").try_cast("array<variant>"), lambda v: F.coalesce(F.to_json(v), F.lit("null")))
+    texts = F.transform(F.from_json("value", "array<string>"), lambda x: F.coalesce(x, F.lit("null")))
+    elements = F.coalesce(F.when(small, exact), texts, F.array("value"))
+    return files.select(F.explode(elements).alias("value")).repartition(default_parallelism(spark))
+
+
 def rewrite_json_arrays(spark: SparkSession, src: str | list[str], dst: str, layout: str = "whole") -> int:
     """Rewrite array files as JSON Lines under ``dst``; returns the record count.
 
@@ -75,7 +92,7 @@ def rewrite_json_arrays(spark: SparkSession, src: str | list[str], dst: str, lay
     pass over the input.
     """
     obs = Observation("json_array_rewrite")
-    records = array_records(spark, src, layout)
+    records = _exact_elements(spark, src) if layout == "whole" else array_records(spark, src, layout)
     out = records.select(normalise_json(F.col("value")).alias("value")).observe(obs, F.count(F.lit(1)).alias("records"))
     out.write.mode("overwrite").text(dst)
     return int(obs.get["records"])

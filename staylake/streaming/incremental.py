@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from staylake.operators.rejects import is_rejected, split_rejects
+from staylake.operators.rejects import reject_reason, split_rejects
 from staylake.plans.load import committed_run
 from staylake.plans.mapping import Lookups, map_bookings
 from staylake.session import shared_dir
@@ -39,7 +39,7 @@ def append_batch(batch: DataFrame, lookups: Lookups, table: str, run_id: str, re
     if committed_run(spark, table, run_id) is not None:
         return
     seen = Observation(f"batch_{uuid.uuid4().hex[:8]}")
-    counted = batch.observe(seen, F.count_if(is_rejected()).alias("rows_rejected"))
+    counted = batch.observe(seen, F.count_if(reject_reason(batch).isNotNull()).alias("rows_rejected"))
     good, _ = split_rejects(counted)
     written = write_table(map_bookings(good, lookups), table, "append", history=False, run_id=run_id)
     rejected = 0

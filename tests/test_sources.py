@@ -154,3 +154,19 @@ def test_null_element_of_a_whole_array_is_rejected(spark, scratch):
     good, bad = split_rejects(read_json_array(spark, scratch, layout="whole"))
     assert [r["id"] for r in good.collect()] == ["1"]
     assert [r["raw"] for r in bad.collect()] == ["null"]
+
+
+def test_rewrite_keeps_long_numbers(spark, scratch):
+    _write_text(scratch + "/src", "a.json", '[{"id":12345678901234567890.0,"x":2.50,"y":12345678901234567.25},null]')
+    assert rewrite_json_arrays(spark, scratch + "/src", scratch + "/dst") == 2
+    texts = sorted(r["value"] for r in spark.read.text(scratch + "/dst").collect())
+    assert texts == ["null", '{"id":12345678901234567890,"x":2.5,"y":12345678901234567.25}']
+
+
+def test_nested_values_where_text_belongs_are_rejected(spark):
+    lines = ['{"id":1,"label":{"a":1}}', '{"id":2,"label":"{not nested}"}', '{"id":3,"status":["x"]}', '{"id":4,"label":5}',
+             '{"id":5,"booker":{"address":{"country":{"c":1}}}}', '{"id":6,"label":null}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    good, bad = split_rejects(parse_json_lines(df))
+    assert sorted(r["id"] for r in good.collect()) == ["2", "4", "6"]
+    assert sorted((r["id"], r["reason"]) for r in bad.collect()) == [("1", "label_not_text"), ("3", "status_not_text"), ("5", "country_not_text")]
