@@ -16,6 +16,6 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_queries_without_oracle_are_few():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert len(missing) <= 2, missing
+def test_every_booking_query_has_an_oracle():
+    """Training-data queries that SQL cannot express are held to brute force in their own tests."""
+    assert set(E.queries()) - set(E.oracle_sql()) <= set(E.LLM_QUERIES)
