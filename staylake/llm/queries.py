@@ -115,4 +115,22 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_loss_difference": op10_loss_difference,
 }
 
-ORACLE: dict[str, str] = {}
+#: The others need a hash, a trained model or a tokenizer that SQL does not have; tests hold them to brute force.
+ORACLE: dict[str, str] = {
+    "op9_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+        ok AS (
+          SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v
+          WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+          ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.9),
+        reach AS (
+          SELECT vec_id AS node, vec_id AS other FROM embeddings
+          UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+        low AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+        SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.vec_id) AS n_links, low.component_id,
+               v.vec_id = low.component_id AS kept
+        FROM v JOIN low ON low.node = v.vec_id""",
+}
