@@ -27,62 +27,76 @@ WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 10, 20, 5
 
 
-def base_stats(docs: DataFrame, text: str = "text") -> DataFrame:
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, wherever the optimizer moves the expression."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _repeat_words(hashes: Column) -> Column:
+    """Words of a text (by the array of their hashes) that lie in a window found twice or more."""
+
+    def covered(windows: Column) -> Column:
+        # Sorted by hash and place, a window that is found again is next to its like.
+        placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+
+        def repeated(w: Column) -> Column:
+            same = lambda x, k: F.coalesce(F.get(w, k)["h"] == x["h"], F.lit(False))
+            return F.transform(F.filter(w, lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"])
+
+        return F.aggregate(
+            F.sort_array(_let(placed, repeated)),
+            F.struct(F.lit(-WINDOW).alias("at"), F.lit(0).cast("long").alias("n")),
+            lambda a, i: F.struct(i.alias("at"), (a["n"] + F.least(i - a["at"], F.lit(WINDOW))).alias("n")),
+            lambda a: a["n"],
+        )
+
+    none = F.lit(0).cast("long")
+    firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - WINDOW + 1, F.lit(0)))
+    windows = F.transform(firsts, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)]))
+    count = _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), none).otherwise(covered(w)))
+    return F.when(F.size(hashes) > WINDOW, count).otherwise(none)
+
+
+def base_stats(docs: DataFrame, text: str = "text", model: "RatioModel | None" = None) -> DataFrame:
     """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed``.
 
-    Everything is computed within the row, without a shuffle. A null text has
-    no words. Words that lie in several repeated windows count once.
+    Everything is computed within the row, without a shuffle; the text is cut
+    into words once. A null text has no words. Words that lie in several
+    repeated windows count once. With a model also ``log_ratio``, the mean log
+    ratio of the text's n-grams (0 without words).
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("_words", words_of(F.col(text)))
-    n = F.size("_words")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    # Windows of five words by hash and place; a window next to an equal one is a repeat.
-    last = F.greatest(n - WINDOW, F.lit(0))
-    windows = F.array_sort(
-        F.transform(
-            F.sequence(F.lit(0), last),
-            lambda i: F.struct(F.xxhash64(F.slice(F.col("_words"), i + 1, F.lit(WINDOW))).alias("h"), i.alias("i")),
-        )
-    )
-    out = out.withColumns({"_lines": lines, "_win": F.when(n > WINDOW, windows)})
-    w = F.col("_win")
-    same = lambda x, k: F.coalesce(F.try_element_at(w, k)["h"] == x["h"], F.lit(False))
-    # try_element_at counts from 1 and takes no 0: the one before the first is asked for past the end.
-    before = lambda k: F.when(k == 0, F.size(w) + 1).otherwise(k)
-    places = F.array_sort(
-        F.transform(F.filter(w, lambda x, k: same(x, before(k)) | same(x, k + 2)), lambda x: x["i"])
-    )
-    seen = F.aggregate(
-        places,
-        F.struct(F.lit(-WINDOW).alias("at"), F.lit(0).cast("long").alias("n")),
-        lambda a, i: F.struct(i.alias("at"), (a["n"] + F.least(i - a["at"], F.lit(WINDOW))).alias("n")),
-        lambda a: a["n"],
-    )
-    out = out.withColumns(
-        {
-            "n_words": n.cast("long"),
-            "word_chars": F.length(F.translate(t, WHITE, "")).cast("long"),
-            "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": F.coalesce(seen, F.lit(0)).cast("long"),
-        }
-    )
+    columns = {
+        "word_chars": F.length(F.translate(t, WHITE, "")).cast("long"),
+        "n_symbols": F.length(F.regexp_replace(t, f"[^{SYMBOLS}]+", "")).cast("long"),
+        "n_dup_lines": _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
+    }
+
+    def of_words(h: Column) -> Column:
+        found = {"n_words": F.size(h).cast("long"), **columns, "n_repeat_words": _repeat_words(h)}
+        if model:
+            found["log_ratio"] = model.mean(h)
+        return F.struct(*[c.alias(name) for name, c in found.items()])
+
+    # The output of a generator: a filter on it stays above, so nothing is computed twice.
+    names = ["n_words", *columns, "n_repeat_words", "log_ratio", "base_failed"]
+    stats = _let(_hashes(words_of(F.col(text))), of_words)
+    out = docs.drop(*names).select("*", F.inline(F.array(stats)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    return out.withColumn("base_failed", failed).drop("_words", "_lines", "_win")
-
+    return out.withColumn("base_failed", failed)
 
-def gram_buckets(text: str, buckets: int) -> Column:
-    """Array of the cells of a text's lower-cased words and pairs of neighbouring words."""
-    cell = lambda *w: F.pmod(F.xxhash64(*w), F.lit(buckets)).cast("int")
 
-    def cells(words: Column) -> Column:
-        pairs = F.arrays_zip(words.alias("a"), F.slice(words, 2, F.size(words)).alias("b"))
-        pairs = F.transform(pairs, lambda p: F.when(p["b"].isNotNull(), cell(p["a"], p["b"])))
-        return F.array_compact(F.concat(F.transform(words, lambda w: cell(w)), pairs))
-
-    # An array of one, so that the words are split once and used three times.
-    return F.transform(F.array(words_of(F.lower(F.col(text)))), cells)[0]
+def gram_buckets(hashes: Column, buckets: int) -> Column:
+    """Array of the cells of a text's words and pairs of neighbouring words, from the hashes of its words."""
+    cell = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
+    firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0)))
+    pairs = F.transform(firsts, lambda h, i: cell(F.xxhash64(h, F.get(hashes, i + 1))))
+    return F.concat(F.transform(hashes, lambda h: cell(h)), pairs)
 
 
 @dataclass(frozen=True)
@@ -92,9 +106,15 @@ class RatioModel:
     buckets: int
     ratios: tuple[float, ...]
 
-    def column(self) -> Column:
-        """The ratios as a constant array."""
-        return F.split(F.lit(",".join(map(repr, self.ratios))), ",").cast("array<double>")
+    def mean(self, hashes: Column) -> Column:
+        """Mean ratio of a text's n-grams, from the hashes of its words; 0 without words."""
+        ratios = F.split(F.lit(",".join(map(repr, self.ratios))), ",").cast("array<double>")  # a constant
+
+        def mean(cells: Column) -> Column:
+            total = F.aggregate(cells, F.lit(0.0), lambda a, c: a + F.element_at(ratios, c + 1))
+            return F.when(F.size(cells) > 0, total / F.size(cells)).otherwise(F.lit(0.0))
+
+        return _let(gram_buckets(hashes, self.buckets), mean)
 
 
 def fit_ratio(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> RatioModel:
@@ -107,7 +127,8 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text:
     """
     ids = trusted.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct().withColumn("_t", F.lit(1))
     own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    grams = own.join(ids.hint("shuffle_hash"), "_id", "left").select("_t", F.explode(gram_buckets("_text", buckets)).alias("cell"))
+    cells = _let(_hashes(words_of(F.col("_text"))), lambda h: gram_buckets(h, buckets))
+    grams = own.join(ids.hint("shuffle_hash"), "_id", "left").select("_t", F.explode(cells).alias("cell"))
     rows = grams.groupBy("cell").agg(F.count("*").alias("raw"), F.count("_t").alias("good")).collect()
     raw, good = [0] * buckets, [0] * buckets
     for r in rows:
@@ -121,14 +142,6 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text:
     )
 
 
-def with_ratio(docs: DataFrame, model: RatioModel, text: str = "text", out: str = "log_ratio") -> DataFrame:
-    """``docs`` with the mean log ratio of each whole text's n-grams (0 without words)."""
-    cells = docs.withColumn("_cells", gram_buckets(text, model.buckets))
-    total = F.aggregate("_cells", F.lit(0.0), lambda a, c: a + F.element_at(model.column(), c + 1))
-    mean = F.when(F.size("_cells") > 0, total / F.size("_cells")).otherwise(F.lit(0.0))
-    return cells.withColumn(out, mean).drop("_cells")
-
-
 def quality_rules(
     docs: DataFrame,
     trusted: DataFrame,
@@ -145,5 +158,5 @@ def quality_rules(
     rules. Columns of these names are replaced.
     """
     model = fit_ratio(docs, trusted, doc_id, text, buckets)
-    scored = with_ratio(base_stats(docs, text), model, text)
+    scored = base_stats(docs, text, model)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= min_ratio))
