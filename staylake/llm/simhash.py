@@ -3,11 +3,11 @@
 The Hamming distance is a metric, so for any reference fingerprint p (a
 pivot) ``|d(x, p) - d(y, p)| <= d(x, y)``. Two tables of distances are used:
 
-* Distances within blocks. The 64 bits are cut into ``max_bits + 2`` blocks,
+* Distances within blocks. The 64 bits are cut into ``max_bits + SPARE`` blocks,
   each with its own pivots. Two fingerprints that differ in at most
-  ``max_bits`` bits agree on all of at least two blocks, so there the maximum
-  coordinate difference is 0: the coordinates of each pair of blocks make a
-  join key, and no linked pair is without a common key.
+  ``max_bits`` bits agree on all of at least ``SPARE`` blocks, so there the
+  maximum coordinate difference is 0: the coordinates of each choice of
+  ``SPARE`` blocks make a join key, and no linked pair is without a common key.
 * Distances over all 64 bits to ``PIVOTS`` pivots. Among the fingerprints that
   share a key, a pair whose maximum coordinate difference is over ``max_bits``
   is discarded; the survivors are verified by their distance.
@@ -19,6 +19,7 @@ fingerprints all lie near 32, so a cell of width ``max_bits`` holds most rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -29,8 +30,13 @@ from pyspark.sql import types as T
 from staylake.llm.common import bounded_blocks, cut, segments, spanning_links
 from staylake.llm.components import connected_components
 
-#: Full-width reference fingerprints, and those of each block.
-PIVOTS, BLOCK_PIVOTS = 16, 6
+#: Full-width reference fingerprints, and those of each block (so many that few
+#: different patterns of a block have the same distances to all).
+PIVOTS, BLOCK_PIVOTS = 16, 16
+#: Blocks in a join key. With 2, and 4 bits, there are 15 keys of about 21 bits,
+#: enough for some ten million different texts; 3 gives 35 keys of 27 bits, 4
+#: gives 70 of 32 bits, for as many more texts. The links are the same.
+SPARE = 2
 #: Members of a key that one task compares at a time (more are cut into pairs of chunks).
 BLOCK_LIMIT = 1024
 #: Shingle hashes held at a time.
@@ -82,29 +88,30 @@ def block_masks(blocks: int) -> list[int]:
     return [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
 
 
-def block_keys(fps: np.ndarray, max_bits: int) -> np.ndarray:
-    """Join keys, one column for each pair of blocks, from distances to the blocks' pivots.
+def block_keys(fps: np.ndarray, max_bits: int, spare: int = SPARE) -> np.ndarray:
+    """Join keys, one column for each choice of ``spare`` blocks, from distances to the blocks' pivots.
 
-    A block's coordinates are at most 64 bits / (max_bits + 2) wide; they are
-    mixed into one 64-bit number with the number of the pair. Different
-    coordinates may share a key; that only adds a pair to verify.
+    The coordinates of the blocks are mixed into one 64-bit number with the
+    number of the choice. Different coordinates may share a key; that only
+    adds a pair to verify.
     """
-    masks = block_masks(max_bits + 2)
+    masks = block_masks(max_bits + spare)
     rng = np.random.default_rng(11)
     coords = []
     for m in masks:
-        mask = np.uint64(m)
+        mask, base = np.uint64(m), np.uint64(m.bit_count() + 1)
         pivots = rng.integers(0, 2**64, BLOCK_PIVOTS, dtype=np.uint64) & mask
         code = np.zeros(len(fps), np.uint64)
         for p in pivots:
-            code = code * np.uint64(65) + np.bitwise_count((fps & mask) ^ p).astype(np.uint64)
+            code = code * base + np.bitwise_count((fps & mask) ^ p).astype(np.uint64)
         coords.append(code)
     out = []
-    for i in range(len(masks)):
-        for j in range(i + 1, len(masks)):
-            k = coords[i] * np.uint64(0x9E3779B97F4A7C15) + coords[j] + np.uint64(len(out))
-            k = (k ^ (k >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            out.append(k ^ (k >> np.uint64(29)))
+    for number, chosen in enumerate(combinations(coords, spare)):
+        k = np.full(len(fps), number + 1, np.uint64)
+        for c in chosen:
+            k = (k ^ c) * np.uint64(0x9E3779B97F4A7C15)
+            k ^= k >> np.uint64(31)
+        out.append(k * np.uint64(0xBF58476D1CE4E5B9))
     return np.stack(out, 1)
 
 
@@ -126,7 +133,7 @@ def links_of(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return spanning_links(len(fps), near)
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
+def fingerprint_links(fps: DataFrame, max_bits: int = 4, spare: int = SPARE) -> DataFrame:
     """``a, b``: links between the distinct values of the long column ``fp``.
 
     Not every pair within ``max_bits`` bits is listed, but any two such
@@ -136,7 +143,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             fp = f["fp"].to_numpy(np.int64)
-            k = block_keys(fp.view(np.uint64), max_bits)
+            k = block_keys(fp.view(np.uint64), max_bits, spare)
             yield pd.DataFrame({"key": k.view(np.int64).ravel(), "fp": np.repeat(fp, k.shape[1])})
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -156,16 +163,15 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
                 a, b = [], []
         yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    # Distinct per key: two block pairs of one fingerprint could only share a key by chance.
     rows = fps.select("fp").mapInPandas(keys, "key long, fp long")
     blocks = bounded_blocks(rows, ["key"], "fp", BLOCK_LIMIT)
     blocks = blocks.repartition("key", "ca", "cb").sortWithinPartitions("key", "ca", "cb")
     return blocks.mapInPandas(link, "a long, b long").distinct()
 
 
-def fingerprint_groups(fps: DataFrame, max_bits: int = 4) -> DataFrame:
+def fingerprint_groups(fps: DataFrame, max_bits: int = 4, spare: int = SPARE) -> DataFrame:
     """``fp, root``: a long that is shared by the fingerprints that links connect."""
-    comps = connected_components(fingerprint_links(fps, max_bits), "a", "b")
+    comps = connected_components(fingerprint_links(fps, max_bits, spare), "a", "b")
     return fps.select("fp").join(comps.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root")
     )
