@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Distinct words whose encoding a task keeps; when full, the memory starts anew.
-WORD_MEMORY = 200_000
+WORD_MEMORY = 400_000
 #: Longest run of symbols encoded in one go; more words take another go.
 FLAT_LIMIT = 2_000_000
 MARK = "▁"  # stands for a space in pieces (fixed by the format)
@@ -53,11 +54,11 @@ class PieceCodec:
             raise ValueError("a piece holds the space mark after another character")
         rank = {i: r for r, i in enumerate(order)}
         by_text = {self.pieces[i]: i for i in plain}
-        # Symbols: piece ids, and above them one number for each character that is no piece.
-        self.chars = {self.pieces[i]: i for i in plain if len(self.pieces[i]) == 1}
-        self.others: dict[str, int] = {}
-        self.other_chars: list[str] = []
+        # Symbols: piece ids, and above them the code points of characters that are no piece.
         self.base = n
+        self.symbol = np.arange(n, n + 0x110000, dtype=np.int64)
+        chars = {self.pieces[i]: i for i in plain if len(self.pieces[i]) == 1}
+        self.symbol[[ord(c) for c in chars]] = list(chars.values())
         pairs = []
         for text, i in by_text.items():
             for k in range(1, len(text)):
@@ -69,18 +70,11 @@ class PieceCodec:
         self.pair_rank = np.array([p[1] for p in pairs], np.int64)
         self.pair_to = np.array([p[2] for p in pairs], np.int64)
         # Two characters that are no pieces may still form one.
-        if any(len(t) > 1 and not all(c in self.chars for c in t) for t in by_text):
+        if any(len(t) > 1 and not all(c in chars for c in t) for t in by_text):
             raise ValueError("a piece holds a character that is no piece")
         self.known: dict[str, tuple[int, str, str]] = {}
-
-    def symbol(self, c: str) -> int:
-        i = self.chars.get(c)
-        if i is None:
-            i = self.others.get(c)
-            if i is None:
-                i = self.others[c] = self.base + len(self.other_chars)
-                self.other_chars.append(c)
-        return i
+        self.id_text = [str(i) for i in range(n)]
+        self.shown = [" ⁇ " if lib.is_unknown(i) else "" if special[i] else t.replace(MARK, " ") for i, t in enumerate(self.pieces)]
 
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Index into the pair table for each adjacent pair, -1 where there is none."""
@@ -88,9 +82,9 @@ class PieceCodec:
         at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
         return np.where(self.pair_key[at] == key, at, -1)
 
-    def merge_words(self, words: list[str]) -> list[np.ndarray]:
+    def merge_words(self, words: list[str]) -> list[list[int]]:
         """Symbols of each word after all merges."""
-        sym = np.fromiter((self.symbol(c) for w in words for c in w), np.int64)
+        sym = self.symbol[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         done_sym, done_word = [], []
         while len(sym) > 1:
@@ -126,8 +120,9 @@ class PieceCodec:
         sym, word = np.concatenate(done_sym), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
         sym, word = sym[order], word[order]
-        bounds = np.searchsorted(word, np.arange(len(words) + 1))
-        return [sym[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        bounds = np.searchsorted(word, np.arange(len(words) + 1)).tolist()
+        symbols = sym.tolist()
+        return [symbols[a:b] for a, b in zip(bounds, bounds[1:])]
 
     @staticmethod
     def _leftmost(hit: np.ndarray) -> np.ndarray:
@@ -174,14 +169,16 @@ class PieceCodec:
         hit[i[np.isin(w, slow) & ~first]] = False
         return hit
 
-    def ids(self, symbols: np.ndarray) -> list[int]:
+    def ids(self, symbols: list[int]) -> list[int]:
         """Piece ids of merged symbols; a character that is no piece gives its UTF-8 byte pieces."""
+        if max(symbols) < self.base:
+            return symbols
         out = []
-        for s in symbols.tolist():
+        for s in symbols:
             if s < self.base:
                 out.append(s)
             else:
-                out.extend(self.byte_id[b] for b in self.other_chars[s - self.base].encode("utf-8"))
+                out.extend(self.byte_id[b] for b in chr(s - self.base).encode("utf-8"))
         return out
 
     def decode_pieces(self, ids: list[int]) -> str:
@@ -190,6 +187,8 @@ class PieceCodec:
         Runs of byte pieces are read as UTF-8; a byte that does not fit gives
         U+FFFD. Control pieces give nothing.
         """
+        if self.byte_of.keys().isdisjoint(ids):
+            return "".join([self.shown[i] for i in ids])
         out, run = [], bytearray()
         for i in [*ids, None]:
             if i in self.byte_of:
@@ -198,8 +197,8 @@ class PieceCodec:
             if run:
                 out.append(_utf8(bytes(run)))
                 run.clear()
-            if i is not None and not self.lib.is_control(i):
-                out.append(" ⁇ " if self.lib.is_unknown(i) else self.pieces[i].replace(MARK, " "))
+            if i is not None:
+                out.append(self.shown[i])
         return "".join(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -221,7 +220,7 @@ class PieceCodec:
                 part = words[start : k + 1]
                 for x, symbols in zip(part, self.merge_words(part)):
                     ids = self.ids(symbols)
-                    self.known[x] = (len(ids), " ".join(map(str, ids)), self.decode_pieces(ids))
+                    self.known[x] = (len(ids), " ".join([self.id_text[i] for i in ids]), self.decode_pieces(ids))
                 start, size = k + 1, 0
 
     def encode(self, text: str | None) -> list[int]:
@@ -234,8 +233,8 @@ class PieceCodec:
         split = [self.words(t or "") for t in texts]
         if len(self.known) > WORD_MEMORY:
             self.known.clear()
-        self.learn(list(dict.fromkeys(w for ws in split for w in ws if w not in self.known)))
         known, out = self.known, []
+        self.learn([w for w in dict.fromkeys(chain.from_iterable(split)) if w not in known])
         for ws in split:
             found = [known[w] for w in ws]
             ids = " ".join([f[1] for f in found] + [str(self.end)])
@@ -282,8 +281,8 @@ def piece_digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         codec = PieceCodec(path)
         for s in batches:
             rows = []
-            for k in range(0, len(s), 500):
-                rows += codec.digests(s.iloc[k : k + 500].tolist())
+            for k in range(0, len(s), 1000):
+                rows += codec.digests(s.iloc[k : k + 1000].tolist())
             yield pd.DataFrame(rows, columns=["n", "ids", "dec"])
 
     out = docs.withColumn("_digest", digest(F.col(text)))
