@@ -4,6 +4,13 @@ A target model (trusted documents) and a background model (all documents) are
 word-pair models of the same order, smoothing and vocabulary. A document's
 score is the mean over its words of the target loss less the background loss:
 the lower, the more the document is like the target.
+
+Words and pairs are told apart by 64-bit hashes, each with its own counts. No
+driver or task holds the models: a document's pairs go to buckets, each of
+which holds all occurrences of its words and pairs, counts them and scores
+them there. Only a fixed number of the most frequent words and pairs (``FREQUENT``,
+``HOT``) is counted beforehand and sent to all tasks, with their full counts, so
+that none of them fills a bucket.
 """
 
 from __future__ import annotations
@@ -12,21 +19,29 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Weight, in words, of the single-word model in a pair's probability.
 SMOOTH = 10.0
-#: The count tables have the power of two next above a cell for each so many
-#: bytes of text, up to 2 ** MAX_BITS: they grow with the corpus to a bound that
-#: the driver and every task can hold (two numbers of four bytes a cell and table).
-BYTES_PER_CELL, MIN_BITS, MAX_BITS = 16, 12, 22
+#: Most frequent words and pairs known to all tasks; bounds of what is sent, not of the models.
+FREQUENT, HOT = 65_535, 65_536
+#: Documents of the sample that names the candidates for hot pairs (their counts are of all documents).
+SAMPLE = 4_000
+#: Bytes of text per bucket at most, on average; with less text, a bucket for each shuffle partition.
+BYTES_PER_BUCKET = 16 << 20
 #: Hashes of distinct words kept by a task; when full, the memory starts anew.
 WORD_MEMORY = 400_000
-#: Words of one text counted at a time.
-CHUNK = 1_000_000
+#: Words of one text taken at a time, of a counting step, and of a group of documents dealt at a time.
+CHUNK, COUNTED, DEALT = 1_000_000, 2_000_000, 200_000
+#: What a document counts for: the background, the target, a score; and that its last word lies in the bucket.
+BACKGROUND, TARGET, SCORED, TAIL = 1, 2, 4, 8
+
+_DEALT = (
+    "bucket int, keys binary, flags binary, sizes binary, pairs binary, ids binary, words binary, "
+    "n binary, target binary, background binary"
+)
 
 
 class _Words:
@@ -48,130 +63,316 @@ class _Words:
             out.append(h)
         return np.array(out, np.uint64)
 
-    def chunks(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``(previous, word)`` hashes of each word of a text."""
+    def chunks(self, text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """``(previous, word)`` hashes of each word of a text, and whether these are its last."""
         words, last = (text or "").lower().encode("utf-8").split(), np.zeros(1, np.uint64)
         for k in range(0, len(words), CHUNK):
             h = self.hashes(words[k : k + CHUNK])
-            yield np.concatenate([last, h[:-1]]), h
+            yield np.concatenate([last, h[:-1]]), h, k + CHUNK >= len(words)
             last = h[-1:]
 
 
-def _cells(before: np.ndarray, word: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the words and of the pairs."""
-    pair = (before * np.uint64(0x9E3779B97F4A7C15)) ^ word
-    pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (word >> np.uint64(64 - bits)).astype(np.int64), (pair >> np.uint64(64 - bits)).astype(np.int64)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def _pairs(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of each pair."""
+    return _mixed((before * np.uint64(0x9E3779B97F4A7C15)) ^ word)
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted ``known``, and which of ``wanted`` are there."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
+def _signed(a: np.ndarray) -> np.ndarray:
+    return a.view(np.int64)
 
 
 @dataclass
 class PairModels:
-    """Counts of both models by cell: words, words as a context, pairs; and the words in all."""
+    """Both models of ``docs`` (``key, text, flags``): sums, and the counts of the most frequent words and pairs.
+
+    All other counts are made where they are needed, see ``with_loss_difference``.
+    """
 
-    bits: int
-    word: np.ndarray  # [2, cells]: target, background
-    pair: np.ndarray
-    total: np.ndarray  # [2]
+    source: DataFrame
+    docs: DataFrame
+    text: str
+    size: int  # bytes of text
+    total: np.ndarray  # [2] words: target, background
     begins: np.ndarray  # [2]: texts, the count of the beginning as a context
-    vocabulary: int  # words of the background (word cells in use)
-
-    def losses(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """``[2, n]``: loss (nats) of each word under the target and the background model.
-
-        A word's probability after another is its pair count plus ``SMOOTH``
-        times its own probability, over the count of the word before plus
-        ``SMOOTH``. Both models spread their single-word counts over one
-        vocabulary, the words of the background, by adding one to each.
-        """
-        w, p = _cells(before, word, self.bits)
-        first = before == 0
-        size = self.vocabulary + 1
-        out = np.empty((2, len(word)))
+    vocabulary: int  # words of the background
+    words: np.ndarray  # sorted hashes of frequent words
+    word_counts: np.ndarray  # [2, n]
+    pairs: np.ndarray  # sorted hashes of hot pairs, their word frequent
+    pair_losses: np.ndarray  # [2, n], without the context
+
+    def shared(self) -> "_Shared":
+        return _Shared(self.total, self.begins, self.vocabulary, self.words, self.word_counts, self.pairs, self.pair_losses)
+
+
+@dataclass
+class _Shared:
+    """What every task knows of the models; its size has a bound.
+
+    A word's probability after another is its pair count plus ``SMOOTH``
+    times its own probability, over the count of the word before plus
+    ``SMOOTH``. Both models spread their single-word counts over one
+    vocabulary, the words of the background, by adding one to each. A loss is
+    the sum of a part of the pair and its word, and a part of the context.
+    """
+
+    total: np.ndarray
+    begins: np.ndarray
+    vocabulary: int
+    words: np.ndarray
+    word_counts: np.ndarray
+    pairs: np.ndarray
+    pair_losses: np.ndarray
+
+    def pair_part(self, both: np.ndarray, one: np.ndarray) -> np.ndarray:
+        single = (one + 1.0) / (self.total[:, None] + self.vocabulary + 1)
+        return -np.log(both + SMOOTH * single)
+
+    def deal(self, buckets: int, docs: list[tuple]) -> Iterator[dict]:
+        """Rows for the buckets of some documents (or parts): ``key, flags, before, word, first, last``."""
+        keys, flags = (np.array([d[i] for d in docs], t) for i, t in ((0, np.int64), (1, np.uint8)))
+        first, last = (np.array([d[i] for d in docs], bool) for i in (4, 5))
+        size = np.array([len(d[3]) for d in docs])
+        before, word = (np.concatenate([d[i] for d in docs]) for i in (2, 3))
+        at = np.repeat(np.arange(len(docs)), size)
+        tail = np.zeros(len(word), bool)
+        tail[np.cumsum(size)[last] - 1] = True
+        pair = _pairs(before, word)
+        f, frequent = _find(self.words, word)
+        h, hot = _find(self.pairs, pair)
+        context = frequent & ~tail
+        here = np.zeros((2, len(docs)))
         for m in (0, 1):
-            single = (self.word[m, w] + 1.0) / (self.total[m] + size)
-            context = np.where(first, self.begins[m], self.word[m, _cells(before, before, self.bits)[0]]).astype(float)
-            # A cell may hold several pairs; none is more frequent than its words.
-            both = np.minimum(np.minimum(self.pair[m, p], context), self.word[m, w])
-            out[m] = -np.log((both + SMOOTH * single) / (context + SMOOTH))
-        return out
+            here[m] += np.bincount(at[hot], self.pair_losses[m, h[hot]], len(docs))
+            here[m] += np.bincount(at[context], np.log(self.word_counts[m, f[context]] + SMOOTH), len(docs))
+            here[m] += first * np.log(self.begins[m] + SMOOTH)
+        # A frequent word is dealt by its pairs, any other whole.
+        bucket = ((np.where(frequent, pair, _mixed(word)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+        scored = flags & SCORED > 0
+        if scored.any():
+            yield {"bucket": int(keys[0] % buckets), "keys": keys[scored].tobytes(), "n": size[scored].astype(np.int64).tobytes(),
+                   "target": here[0, scored].tobytes(), "background": here[1, scored].tobytes()}
+        rest = np.flatnonzero(~hot)
+        rest = rest[np.argsort(bucket[rest], kind="stable")]
+        bucket = bucket[rest]
+        for r in np.split(rest, np.flatnonzero(bucket[1:] != bucket[:-1]) + 1) if len(rest) else ():
+            d = at[r]
+            ends = np.append(np.flatnonzero(d[1:] != d[:-1]), len(d) - 1)
+            own = d[ends]
+            ids = np.where(frequent[r], f[r], FREQUENT).astype(np.uint16)
+            k = int((pair[r[0]] if frequent[r[0]] else _mixed(word[r[:1]])[0]) >> np.uint64(20)) % buckets
+            yield {"bucket": k, "keys": keys[own].tobytes(), "flags": (flags[own] | TAIL * tail[r[ends]]).astype(np.uint8).tobytes(),
+                   "sizes": np.diff(ends, prepend=-1).astype(np.uint32).tobytes(), "pairs": pair[r].tobytes(),
+                   "ids": ids.tobytes(), "words": word[r[~frequent[r]]].tobytes()}
 
+    def sums(self, bucket: pa.Table) -> tuple[np.ndarray, ...]:
+        """``key, n, target, background``: sums by document of the rows of one bucket."""
+        rows = bucket.to_pydict()
+        local = [i for i, p in enumerate(rows["pairs"]) if p is None]
+        dealt = [i for i, p in enumerate(rows["pairs"]) if p is not None]
+
+        def joined(name: str, kind, at: list[int]) -> np.ndarray:
+            return np.frombuffer(b"".join([rows[name][i] for i in at]), kind)
+
+        out = [joined("keys", np.int64, local), joined("n", np.int64, local), joined("target", float, local), joined("background", float, local)]
+        if not dealt:
+            return tuple(out)
+        keys, flags, sizes = joined("keys", np.int64, dealt), joined("flags", np.uint8, dealt), joined("sizes", np.uint32, dealt)
+        pair, ids, rare = joined("pairs", np.uint64, dealt), joined("ids", np.uint16, dealt), joined("words", np.uint64, dealt)
+        del rows
+        at = np.repeat(np.arange(len(keys)), sizes)
+        weights = [(flags & b > 0).astype(float)[at] for b in (TARGET, BACKGROUND)]
+        tail = np.zeros(len(at), bool)
+        tail[np.cumsum(sizes.astype(np.int64))[flags & TAIL > 0] - 1] = True
+        known, is_rare = ids != FREQUENT, ids == FREQUENT
+        _, pair_at = np.unique(pair, return_inverse=True)
+        _, word_at = np.unique(rare, return_inverse=True)
+        loss = np.empty((2, len(at)))
+        for m in (0, 1):
+            both = np.bincount(pair_at, weights[m])[pair_at]
+            one = np.empty(len(at))
+            one[known] = self.word_counts[m, ids[known]]
+            one[is_rare] = np.bincount(word_at, weights[m][is_rare])[word_at] if len(rare) else 0
+            single = (one + 1.0) / (self.total[m] + self.vocabulary + 1)
+            loss[m] = -np.log(both + SMOOTH * single)
+            context = is_rare & ~tail
+            loss[m, context] += np.log(one[context] + SMOOTH)
+        part = [np.bincount(at, loss[m], len(keys)) for m in (0, 1)]
+        scored = flags & SCORED > 0
+        found = [keys[scored], np.zeros(int(scored.sum()), np.int64), part[0][scored], part[1][scored]]
+        return tuple(np.concatenate([a, b]) for a, b in zip(out, found))
 
-def fit_pair_models(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> PairModels:
-    """Count all words and pairs of all of ``docs``; ``trusted`` (column ``doc_id``) names the target documents.
 
-    Each task adds up its documents and emits its non-empty cells; these are
-    summed by cell, so what is gathered grows with the input, while the driver
-    receives one row for each cell in use.
+def _count(rows: DataFrame, candidates: np.ndarray | None = None) -> DataFrame:
+    """``pair, word, target, background`` of ``rows`` (``text, flags``), summed.
+
+    Counts of all words (``pair`` null), of the pairs in ``candidates`` (all
+    pairs if None), and of the beginnings (both null).
     """
-    ids = trusted.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct().withColumn("_t", F.lit(True))
-    own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    size = own.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    bits = min(max((size // BYTES_PER_CELL).bit_length(), MIN_BITS), MAX_BITS)
-    marked = own.join(ids.hint("shuffle_hash"), "_id", "left").select("_text", F.col("_t").isNotNull().alias("_t"))
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, n = _Words(), 1 << bits
-        counts = np.zeros((2, 2 * n), np.int32)  # words, then pairs, of one task
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        held: list[tuple[np.ndarray, np.ndarray, bool]] = []
         begins = np.zeros(2, np.int64)
-        for f in frames:
-            for t, good in zip(f["_text"], f["_t"]):
-                for k, (before, word) in enumerate(words.chunks(t)):
-                    w, p = _cells(before, word, bits)
-                    for m in (0, 1) if good else (1,):
-                        np.add.at(counts[m], w, 1)
-                        np.add.at(counts[m], p + n, 1)
-                        begins[m] += k == 0
-        cell = np.flatnonzero(counts[1])
-        for k in range(0, len(cell), 200_000):
-            c = cell[k : k + 200_000]
-            yield pd.DataFrame({"cell": c.astype(np.int32), "target": counts[0, c], "background": counts[1, c]})
+
+        def summed(pair: np.ndarray | None, word: np.ndarray, good: np.ndarray) -> Iterator[pa.RecordBatch]:
+            _, first, inverse, n = np.unique(word if pair is None else pair, return_index=True, return_inverse=True, return_counts=True)
+            target = np.bincount(inverse, good, len(n)).astype(np.int64)
+            none = pa.nulls(len(n), pa.int64())
+            for k in range(0, len(n), 200_000):
+                s = slice(k, k + 200_000)
+                yield pa.RecordBatch.from_arrays(
+                    [none[s] if pair is None else pa.array(_signed(pair[first[s]])), pa.array(_signed(word[first[s]])), pa.array(target[s]), pa.array(n[s])],
+                    names=["pair", "word", "target", "background"],
+                )
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            before, word = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            good = np.repeat([float(h[2]) for h in held], [len(h[1]) for h in held])
+            held.clear()
+            yield from summed(None, word, good)
+            pair = _pairs(before, word)
+            if candidates is not None:
+                _, kept = _find(candidates, pair)
+                pair, word, good = pair[kept], word[kept], good[kept]
+            if len(pair):
+                yield from summed(pair, word, good)
+
+        n = 0
+        for b in batches:
+            for t, flags in zip(b.column("text").to_pylist(), b.column("flags").to_pylist()):
+                for k, (before, word, _) in enumerate(words.chunks(t)):
+                    held.append((before, word, bool(flags & TARGET)))
+                    n += len(word)
+                    begins += (k == 0) * np.array([bool(flags & TARGET), 1])
+                    if n >= COUNTED:
+                        yield from flush()
+                        n = 0
+        if held:
+            yield from flush()
         if begins[1]:
-            yield pd.DataFrame({"cell": [-1], "target": begins[:1], "background": begins[1:]}, dtype="int32")
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(begins[:1]), pa.array(begins[1:])], names=["pair", "word", "target", "background"])
+
+    found = rows.select("text", "flags").mapInArrow(count, "pair long, word long, target long, background long")
+    return found.groupBy("pair", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def _top(counts: DataFrame, column: str, n: int) -> pa.Table:
+    """The ``n`` rows of highest background count."""
+    return counts.orderBy(F.desc("background"), column).limit(n).toArrow()
+
 
-    found = marked.mapInPandas(count, "cell int, target int, background int")
-    found = found.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-    got = found.toArrow()
-    cell = got["cell"].to_numpy()
-    both = np.stack([got["target"].to_numpy(), got["background"].to_numpy()])
-    begins = both[:, cell == -1].sum(1)
-    n, kept = 1 << bits, cell >= 0
-    counts = np.zeros((2, 2 * n), np.uint32)
-    counts[:, cell[kept]] = np.minimum(both[:, kept], 2**32 - 1)
-    word = both[:, kept & (cell < n)]
-    return PairModels(bits, counts[:, :n], counts[:, n:], word.sum(1), begins, int(word.shape[1]))
+def _columns(got: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``got`` by their sorted unsigned ``column``: it, counts, word."""
+    key = got[column].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    counts = np.stack([got["target"].to_numpy(), got["background"].to_numpy()]).astype(float)
+    return key[order], counts[:, order], got["word"].to_numpy().astype(np.int64).view(np.uint64)[order]
+
+
+def fit_pair_models(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> PairModels:
+    """Models of all words and pairs of all of ``docs``; ``trusted`` (column ``doc_id``) names the target documents.
+
+    The words and the hot pairs are counted here, each task adding up its
+    documents; the driver receives the sums and the most frequent ones.
+    """
+    from staylake.session import scratch_path
+
+    spark = docs.sparkSession
+    ids = trusted.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct().withColumn("_t", F.lit(TARGET))
+    own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
+    n, size = own.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    flags = (F.coalesce("_t", F.lit(0)) + BACKGROUND).cast("int").alias("flags")
+    marked = own.join(ids.hint("shuffle_hash"), "_id", "left").select(F.xxhash64("text").alias("key"), "text", flags)
+
+    part = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(max(1, n // SAMPLE))) == 0
+    sample = own.where(part).select("text", F.lit(BACKGROUND).alias("flags"))
+    candidates = np.sort(_columns(_top(_count(sample).where("pair is not null and background > 1"), "pair", HOT), "pair")[0])
+    path = scratch_path(spark, "loss_words")
+    _count(marked, candidates).write.parquet(path)
+    counts = spark.read.parquet(path)
+    of_words = counts.where("pair is null and word is not null")
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    vocabulary, *total = of_words.agg(F.count("*"), zero("target"), zero("background")).first()
+    begins = counts.where("word is null").agg(zero("target"), zero("background")).first()
+    words, word_counts, _ = _columns(_top(of_words, "word", FREQUENT), "word")
+    pairs, both, last = _columns(counts.where("pair is not null").toArrow(), "pair")
+    at, frequent = _find(words, last)
+    pairs, both, at = pairs[frequent], both[:, frequent], at[frequent]
+    know = _Shared(np.array(total, float), np.array(begins, float), vocabulary, words, word_counts, pairs, both)
+    return PairModels(docs, marked, text, size or 0, know.total, know.begins, vocabulary, words, word_counts, pairs, know.pair_part(both, word_counts[:, at]))
 
 
 def with_loss_difference(docs: DataFrame, models: PairModels, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens``, ``target_loss``, ``background_loss`` and ``score`` (their difference), means per word.
 
-    One pass, no shuffle; the models are broadcast (their size has a bound). A
+    The words and pairs of the models' documents and of ``docs`` are dealt to
+    buckets, counted and scored there, and summed by text (64-bit hash). A
     null or blank text has 0 tokens and null losses. Columns of these names
     are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    kind = T.StructType(
-        [T.StructField("n", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("background", T.DoubleType())]
-    )
+    spark = docs.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-models.size // BYTES_PER_BUCKET))
+    shared = spark.sparkContext.broadcast(models.shared())
+    fields = [f.split()[0] for f in _DEALT.split(", ")]
+    kinds = pa.schema([(f, pa.int32() if f == "bucket" else pa.binary()) for f in fields])
 
-    @F.pandas_udf(kind)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = _Words()
-        for s in batches:
-            rows = []
-            for t in s:
-                n, total = 0, np.zeros(2)
-                for before, word in words.chunks(t):
-                    total += shared.value.losses(before, word).sum(1)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, held, n = _Words(), [], 0
+
+        def flush() -> pa.RecordBatch:
+            rows = list(shared.value.deal(buckets, held))
+            held.clear()
+            return pa.RecordBatch.from_pylist(rows, kinds)
+
+        for b in batches:
+            for key, t, flags in zip(*[b.column(c).to_pylist() for c in ("key", "text", "flags")]):
+                for k, (before, word, last) in enumerate(words.chunks(t)):
+                    held.append((key, flags, before, word, k == 0, last))
                     n += len(word)
-                rows.append((n, *(total / n if n else (None, None))))
-            yield pd.DataFrame(rows, columns=["n", "target", "background"])
+                    if n >= DEALT:
+                        yield flush()
+                        n = 0
+        if held:
+            yield flush()
+
+    def score(bucket: pa.Table) -> pa.Table:
+        return pa.table(dict(zip(("key", "n", "target", "background"), shared.value.sums(bucket))))
 
-    out = docs.withColumn("_losses", score(F.col(text)))
+    if text == models.text and docs.sameSemantics(models.source):
+        rows = models.docs.withColumn("flags", F.col("flags") + SCORED)
+    else:
+        other = docs.select(F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text"), F.lit(SCORED).alias("flags"))
+        rows = models.docs.union(other)
+    # Each bucket is in a partition of its own.
+    n = buckets
+    place = spark.range(30 * n).select(F.col("id").cast("int").alias("id"))
+    place = place.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
+    spread = {r.p: r.id for r in place}
+    name = F.lit(",".join(str(spread.get(i, i)) for i in range(n)))
+    dealt = rows.mapInArrow(deal, _DEALT)
+    dealt = dealt.withColumn("bucket", F.element_at(F.split(name, ",").cast("array<int>"), F.col("bucket") + 1))
+    parts = dealt.repartition(n, "bucket").groupBy("bucket").applyInArrow(score, "key long, n long, target double, background double")
+    sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "target", "background")])
+    sums = sums.select(F.col("key").alias("_loss_key"), F.struct("n", "target", "background").alias("_losses"))
+    out = docs.withColumn("_loss_key", F.xxhash64(F.col(text))).join(sums, "_loss_key", "left").drop("_loss_key")
     return out.withColumns(
         {
-            "n_tokens": F.col("_losses.n"),
-            "target_loss": F.col("_losses.target"),
-            "background_loss": F.col("_losses.background"),
-            "score": F.col("_losses.target") - F.col("_losses.background"),
+            "n_tokens": F.coalesce("_losses.n", F.lit(0)).cast("long"),
+            "target_loss": F.col("_losses.target") / F.col("_losses.n"),
+            "background_loss": F.col("_losses.background") / F.col("_losses.n"),
+            "score": (F.col("_losses.target") - F.col("_losses.background")) / F.col("_losses.n"),
         }
     ).drop("_losses")

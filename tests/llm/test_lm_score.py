@@ -54,3 +54,24 @@ def test_edges(spark):
     empty = fit_pair_models(no_documents(spark), no_documents(spark).select("doc_id"))
     assert with_loss_difference(no_documents(spark), empty).count() == 0
     assert with_loss_difference(docs, empty).count() == 11
+
+
+def test_rare_words_keep_their_own_counts(spark, monkeypatch):
+    """Exact losses whatever is known to all tasks, with more words and pairs than any fixed table holds."""
+    from staylake.llm import lm_score
+
+    texts = [" ".join(f"w{(i * 7919 + j * j) % 5003} the x{j % 7}" for j in range(40)) for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trusted = spark.range(0, 200, 3).withColumnRenamed("id", "doc_id")
+    for frequent, hot in ((65_535, 65_536), (4, 2)):
+        monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+        monkeypatch.setattr(lm_score, "HOT", hot)
+        models = fit_pair_models(df, trusted)
+        assert models.vocabulary == len({w for t in texts for w in t.split()})
+        rows = {r["doc_id"]: r for r in with_loss_difference(df, models).collect()}
+        for i in (0, 1, 77, 198):
+            assert rows[i]["target_loss"] == pytest.approx(brute_loss(texts, texts[::3], texts[i]))
+            assert rows[i]["background_loss"] == pytest.approx(brute_loss(texts, texts, texts[i]))
+    seen = spark.createDataFrame([(1, "the the nowhere x1 the w1")], "doc_id long, text string")
+    r = with_loss_difference(seen, models).first()
+    assert r["n_tokens"] == 6 and r["target_loss"] == pytest.approx(brute_loss(texts, texts[::3], "the the nowhere x1 the w1"))
