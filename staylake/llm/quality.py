@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylake.llm.common import words_of
+from staylake.session import scratch_path
 
-#: Cells of the hash; the model has this many numbers whatever the corpus holds.
-BUCKETS = 10_000
+#: Least number of cells of the hash, and bytes of text per cell beyond it: the cells grow with the corpus.
+BUCKETS, BYTES_PER_CELL = 10_000, 256
+#: Slots of the most frequent cells, whose ratios are in the plan; all others are joined.
+SLOTS = 1 << 14
 #: Added to the count of each cell of both multinomials.
 SMOOTH = 1.0
 #: Lowest mean log ratio (nats per n-gram) of a kept document: on average its n-grams may
@@ -67,7 +70,8 @@ def base_stats(docs: DataFrame, text: str = "text", model: "RatioModel | None" =
     Everything is computed within the row, without a shuffle; the text is cut
     into words once. A null text has no words. Words that lie in several
     repeated windows count once. With a model also ``log_ratio``, the mean log
-    ratio of the text's n-grams (0 without words).
+    ratio of the text's n-grams (0 without words); the ratios of cells that the
+    model does not hold in the plan are joined, and summed by text (its hash).
     """
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -80,66 +84,111 @@ def base_stats(docs: DataFrame, text: str = "text", model: "RatioModel | None" =
     def of_words(h: Column) -> Column:
         found = {"n_words": F.size(h).cast("long"), **columns, "n_repeat_words": _repeat_words(h)}
         if model:
-            found["log_ratio"] = model.mean(h)
+            found["_ratio_near"] = model.near(h)
         return F.struct(*[c.alias(name) for name, c in found.items()])
 
     # The output of a generator: a filter on it stays above, so nothing is computed twice.
     names = ["n_words", *columns, "n_repeat_words", "log_ratio", "base_failed"]
     stats = _let(_hashes(words_of(F.col(text))), of_words)
-    out = docs.drop(*names).select("*", F.inline(F.array(stats)))
+    out = docs.drop(*names)
+    if model:
+        out = out.withColumn("_ratio_key", F.xxhash64(F.col(text)))
+    out = out.select("*", F.inline(F.array(stats)))
+    if model:
+        grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+        mean = (F.col("_ratio_near") + F.coalesce("_ratio_far", F.lit(0.0))) / grams
+        out = out.join(model.far(docs, text), "_ratio_key", "left").withColumn("log_ratio", mean)
+        out = out.drop("_ratio_key", "_ratio_near", "_ratio_far")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
 
 def gram_buckets(hashes: Column, buckets: int) -> Column:
     """Array of the cells of a text's words and pairs of neighbouring words, from the hashes of its words."""
-    cell = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
+    cell = lambda h: F.pmod(h, F.lit(buckets)).cast("long")
     firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0)))
     pairs = F.transform(firsts, lambda h, i: cell(F.xxhash64(h, F.get(hashes, i + 1))))
     return F.concat(F.transform(hashes, lambda h: cell(h)), pairs)
 
 
-@dataclass(frozen=True)
-class RatioModel:
-    """Log ratio of each cell, trusted against raw."""
+def _constant(values, kind: str) -> Column:
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
 
-    buckets: int
-    ratios: tuple[float, ...]
 
-    def mean(self, hashes: Column) -> Column:
-        """Mean ratio of a text's n-grams, from the hashes of its words; 0 without words."""
-        ratios = F.split(F.lit(",".join(map(repr, self.ratios))), ",").cast("array<double>")  # a constant
+@dataclass(frozen=True)
+class RatioModel:
+    """Log ratio of each cell, trusted against raw: ``table`` (``cell, ratio``), none if all are 0.
 
-        def mean(cells: Column) -> Column:
-            total = F.aggregate(cells, F.lit(0.0), lambda a, c: a + F.element_at(ratios, c + 1))
-            return F.when(F.size(cells) > 0, total / F.size(cells)).otherwise(F.lit(0.0))
+    Each slot holds the most frequent of the cells that fall into it.
+    """
 
-        return _let(gram_buckets(hashes, self.buckets), mean)
+    buckets: int
+    table: DataFrame | None
+    cells: tuple[int, ...] = ()
+    ratios: tuple[float, ...] = ()
+
+    def _slot(self, cell: Column) -> Column:
+        return F.pmod(cell, F.lit(SLOTS)).cast("int") + 1
+
+    def near(self, hashes: Column) -> Column:
+        """Sum of the ratios of a text's n-grams whose cells have a slot, from the hashes of its words."""
+        if self.table is None:
+            return F.lit(0.0)
+        cells, ratios = _constant(self.cells, "long"), _constant(self.ratios, "double")
+
+        def one(c: Column) -> Column:
+            return F.when(F.element_at(cells, self._slot(c)) == c, F.element_at(ratios, self._slot(c))).otherwise(F.lit(0.0))
+
+        return F.aggregate(gram_buckets(hashes, self.buckets), F.lit(0.0), lambda a, c: a + one(c))
+
+    def far(self, docs: DataFrame, text: str) -> DataFrame:
+        """``_ratio_key, _ratio_far``: the sum over all other n-grams, of each text."""
+        key = F.xxhash64(F.col(text)).alias("_ratio_key")
+        if self.table is None:
+            return docs.sparkSession.createDataFrame([], "_ratio_key long, _ratio_far double")
+        held = _constant(self.cells, "long")
+        rest = F.filter(
+            _let(_hashes(words_of(F.col(text))), lambda h: gram_buckets(h, self.buckets)),
+            lambda c: F.element_at(held, self._slot(c)) != c,
+        )
+        # A mark for each document, below all cells and spread like them, counts the copies of a text.
+        mark = -1 - F.pmod(F.xxhash64(F.xxhash64(F.col(text))), F.lit(self.buckets))
+        grams = docs.select(key, F.explode(F.concat(rest, F.array(mark.cast("long")))).alias("cell"))
+        ratio = F.coalesce(F.col("ratio"), F.lit(0.0))
+        total, copies = F.sum(ratio), F.count(F.when(F.col("cell") < 0, 1))
+        return grams.join(self.table.hint("merge"), "cell", "left").groupBy("_ratio_key").agg((total / copies).alias("_ratio_far"))
 
 
-def fit_ratio(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> RatioModel:
+def fit_ratio(
+    docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None
+) -> RatioModel:
     """Both multinomials over all of ``docs``; ``trusted`` names the trusted ids (column ``doc_id``).
 
-    Every n-gram of every document is counted, on the executors; only the two
-    counts of each cell reach the driver. Without a trusted document all
-    ratios are 0. Null ids are never trusted, repeats in ``trusted`` do not
-    count twice.
+    Every n-gram of every document is counted, on the executors, in a cell
+    for each ``BYTES_PER_CELL`` bytes of text (at least ``BUCKETS``) unless
+    ``buckets`` are given. The ratios are a table; only the sums and one cell
+    of each slot reach the driver. Without a trusted document all ratios are
+    0. Null ids are never trusted, repeats in ``trusted`` do not count twice.
     """
     ids = trusted.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct().withColumn("_t", F.lit(1))
     own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    if buckets is None:
+        buckets = max(BUCKETS, (own.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // BYTES_PER_CELL)
     cells = _let(_hashes(words_of(F.col("_text"))), lambda h: gram_buckets(h, buckets))
     grams = own.join(ids.hint("shuffle_hash"), "_id", "left").select("_t", F.explode(cells).alias("cell"))
-    rows = grams.groupBy("cell").agg(F.count("*").alias("raw"), F.count("_t").alias("good")).collect()
-    raw, good = [0] * buckets, [0] * buckets
-    for r in rows:
-        raw[r.cell], good[r.cell] = r.raw, r.good
-    if not sum(good):
-        return RatioModel(buckets, (0.0,) * buckets)
-    all_raw, all_good = sum(raw) + SMOOTH * buckets, sum(good) + SMOOTH * buckets
-    base = math.log(all_raw) - math.log(all_good)
-    return RatioModel(
-        buckets, tuple(math.log(g + SMOOTH) - math.log(r + SMOOTH) + base for g, r in zip(good, raw))
-    )
+    path = scratch_path(docs.sparkSession, "quality_cells")
+    grams.groupBy("cell").agg(F.count("*").alias("raw"), F.count("_t").alias("good")).write.parquet(path)
+    counts = docs.sparkSession.read.parquet(path)
+    raw, good = counts.agg(F.sum("raw"), F.sum("good")).first()
+    if not good:
+        return RatioModel(buckets, None)
+    base = math.log(raw + SMOOTH * buckets) - math.log(good + SMOOTH * buckets)
+    ratio = F.log(F.col("good") + SMOOTH) - F.log(F.col("raw") + SMOOTH) + F.lit(base)
+    table = counts.select("cell", ratio.alias("ratio"), "raw")
+    top = table.groupBy(F.pmod("cell", F.lit(SLOTS)).alias("slot")).agg(F.max(F.struct("raw", "cell", "ratio")).alias("top"))
+    held = {r.slot: (r.top.cell, r.top.ratio) for r in top.collect()}
+    first, second = zip(*[held.get(k, (-1, 0.0)) for k in range(SLOTS)])
+    return RatioModel(buckets, table.drop("raw"), first, second)
 
 
 def quality_rules(
@@ -147,7 +196,7 @@ def quality_rules(
     trusted: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     min_ratio: float = MIN_RATIO,
 ) -> DataFrame:
     """``docs`` with the columns of ``base_stats``, ``log_ratio`` and ``kept``.

@@ -94,3 +94,17 @@ def test_edges_and_no_python(spark):
     assert quality_rules(no_documents(spark), trusted).count() == 0
     # a filter on the verdict gives the same rows
     assert sorted(str(r["doc_id"]) for r in out.where("kept").collect()) == sorted(str(r["doc_id"]) for r in rows if r["kept"])
+
+
+def test_junk_is_rejected_in_every_language(spark):
+    """The junk of the smaller languages does not hide in cells ruled by frequent words of the larger ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    out = quality_rules(docs, labels.where("quality = 1")).join(labels, "doc_id")
+    rows = out.where("not base_failed").select("lang", "quality", "kept", "log_ratio").collect()
+    for lang in ("en", "de", "es", "fr"):
+        junk = [r["kept"] for r in rows if r["lang"] == lang and r["quality"] == 0]
+        assert len(junk) > 10 and sum(junk) <= 0.15 * len(junk), (lang, sum(junk), len(junk))
+    good = [r["kept"] for r in rows if r["quality"] == 1]
+    print("good", len(good), "lost", len(good) - sum(good), "junk", [(x, sum(r["kept"] for r in rows if r["quality"] == 0 and r["lang"] == x), sum(r["quality"] == 0 and r["lang"] == x for r in rows)) for x in ("en", "de", "es", "fr")])
+    assert sum(good) >= 0.998 * len(good)
