@@ -14,7 +14,10 @@ Two layouts are handled:
 Spark's own ``multiLine`` JSON reader streams an array without holding it,
 but it judges the file as one document: one element of the wrong shape
 marks every element of that file corrupt, each carrying the whole file text.
-Parsing element by element keeps rejects per record.
+The text is cut at the commas of the array instead, without being parsed, so
+each element keeps its own text, numbers included, and a broken element is one
+reject. An element that lacks a closing bracket ends where an object could not
+go on: at a comma that another object follows, or at the array's end.
 
 The rewrite normalises every record through ``parse_json``/``to_json``, so
 whole-valued decimals are written as integers (``10.0`` -> ``10``) and other
@@ -32,19 +35,72 @@ from staylake.session import default_parallelism
 from staylake.sources.json_lines import json_values, parse_records
 
 LAYOUTS = ("whole", "lines")
-# Files below this size are parsed as one variant value (Spark's limit is 128 MiB).
-VARIANT_BYTES = 100 << 20
-
 # White space and array punctuation around the records of a line.
 _ARRAY_EDGES = r"^\s*[\[,]?\s*|\s*,?\s*\]?\s*$"
 
 
+def _cutter():
+    """Function for ``mapInArrow``: texts of whole files to the texts of their elements.
+
+    A local function, so that workers need not import this library.
+    """
+
+    def elements(text):
+        import re
+
+        start = re.match(r"\ufeff?\s*\[", text)
+        if not start:
+            yield text
+            return
+        marks = re.compile(r'"(?:[^"\\\n]|\\.)*"|[\[\]{},]')
+        next_object = re.compile(r"\s*\{")
+        open_, begin, cut = ["["], start.end(), False
+        for m in marks.finditer(text, begin):
+            c = m.group()
+            if c == "[" or c == "{":
+                open_.append(c)
+            elif c == ",":
+                if len(open_) > 1 and open_[-1] == "{" and next_object.match(text, m.end()):
+                    del open_[1:]  # no key: the element was not closed
+                if len(open_) == 1:
+                    yield text[begin : m.start()].strip()
+                    begin, cut = m.end(), True
+            elif c == "]" or c == "}":
+                pair = "[" if c == "]" else "{"
+                if pair in open_:
+                    while open_.pop() != pair:
+                        pass
+                if not open_:
+                    last = text[begin : m.start()].strip()
+                    if last or cut:
+                        yield last
+                    rest = text[m.end() :].strip()
+                    if rest:
+                        yield rest
+                    return
+        yield text[begin:].strip()  # the array is not closed
+
+    def cut_files(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for value in b.column(0):
+                held = []
+                for e in elements(value.as_py()):
+                    held.append(e)
+                    if len(held) == 1000:
+                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+                        held = []
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+
+    return cut_files
+
+
 def array_records(spark: SparkSession, path: str | list[str], layout: str = "whole") -> DataFrame:
     """One row per array element, ``value`` = the element's JSON text."""
     if layout == "whole":
-        files = spark.read.text(path, wholetext=True)
-        elements = F.transform(F.from_json("value", "array<string>"), lambda x: F.coalesce(x, F.lit("null")))
-        elems = files.select(F.explode(F.coalesce(elements, F.array("value"))).alias("value"))
+        elems = spark.read.text(path, wholetext=True).mapInArrow(_cutter(), "value string")
         # One file is one task; spread its records before any further work.
         # Round-robin, not a hash of the text: identical copies of a record
         # would all hash to one partition. Spark sorts rows before a
@@ -66,23 +122,8 @@ def read_json_array(
 
 
 def normalise_json(text) -> F.Column:
-    """Re-serialise one JSON value; text that does not parse is kept as it is."""
-    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
-
-
-def _exact_elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Elements of whole array files, with every number of up to 38 digits exact.
-
-    Cutting an array into texts rewrites long numbers as doubles, so a file
-    within the size limit of a variant is parsed as one. Others, and text that
-    is no array, go the way of ``array_records``.
-    """
-    files = spark.read.text(path, wholetext=True)
-    small = F.octet_length("value") < VARIANT_BYTES
-    exact = F.transform(F.try_parse_json("value").try_cast("array<variant>"), lambda v: F.coalesce(F.to_json(v), F.lit("null")))
-    texts = F.transform(F.from_json("value", "array<string>"), lambda x: F.coalesce(x, F.lit("null")))
-    elements = F.coalesce(F.when(small, exact), texts, F.array("value"))
-    return files.select(F.explode(elements).alias("value")).repartition(default_parallelism(spark))
+    """Re-serialise one JSON value; text that does not parse is kept, on one line."""
+    return F.coalesce(F.to_json(F.try_parse_json(text)), F.regexp_replace(text, r"[\r\n]+", " "))
 
 
 def rewrite_json_arrays(spark: SparkSession, src: str | list[str], dst: str, layout: str = "whole") -> int:
@@ -92,7 +133,7 @@ def rewrite_json_arrays(spark: SparkSession, src: str | list[str], dst: str, lay
     pass over the input.
     """
     obs = Observation("json_array_rewrite")
-    records = _exact_elements(spark, src) if layout == "whole" else array_records(spark, src, layout)
+    records = array_records(spark, src, layout)
     out = records.select(normalise_json(F.col("value")).alias("value")).observe(obs, F.count(F.lit(1)).alias("records"))
     out.write.mode("overwrite").text(dst)
     return int(obs.get["records"])

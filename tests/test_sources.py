@@ -170,3 +170,15 @@ def test_nested_values_where_text_belongs_are_rejected(spark):
     good, bad = split_rejects(parse_json_lines(df))
     assert sorted(r["id"] for r in good.collect()) == ["2", "4", "6"]
     assert sorted((r["id"], r["reason"]) for r in bad.collect()) == [("1", "label_not_text"), ("3", "status_not_text"), ("5", "country_not_text")]
+
+
+def test_broken_element_is_one_reject_and_texts_stay(spark, scratch):
+    recs = ['{"id":12345678901234567.25}', '{"id":2,"label":"a],[{\\"b"}', '{"id":3,"label":', '{"id":4}', '{"id":5\n,"x":1', '{"id":6}}', '{"id":7,\n"label":"k-a"}', "null"]
+    _write_text(scratch + "/src", "a.json", " [\n" + ",\n".join(recs) + "\n]\n")
+    _write_text(scratch + "/src", "b.json", "[ ]")
+    good, bad = split_rejects(read_json_array(spark, scratch + "/src", layout="whole"))
+    assert sorted(r["value"] for r in good.collect()) == sorted([recs[0], recs[1], recs[3], recs[6]])
+    assert sorted(r["raw"] for r in bad.collect()) == sorted([recs[2], recs[4], recs[5], "null"])
+    assert rewrite_json_arrays(spark, scratch + "/src", scratch + "/dst") == len(recs)
+    texts = [r["value"] for r in spark.read.text(scratch + "/dst").collect()]
+    assert len(texts) == len(recs) and '{"id":12345678901234567.25}' in texts
