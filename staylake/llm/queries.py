@@ -20,9 +20,12 @@ from staylake.llm.lang_id import fit_languages, held_out, with_language
 from staylake.llm.lm_score import fit_pair_models, with_loss_difference
 from staylake.llm.packing import pack_documents
 from staylake.llm.piece_codec import piece_digests
+from staylake.llm.pii import base_spans, listed, with_pii
 from staylake.llm.quality import quality_rules
+from staylake.llm.resample import importance_sample
 from staylake.llm.sharding import shard_documents
 from staylake.llm.simhash import near_duplicates
+from staylake.llm.whitening import whitened
 
 
 def tokenizer_file(name: str) -> str:
@@ -102,6 +105,25 @@ def op10_loss_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_loss_difference(docs, fit_pair_models(docs, trusted)).drop("text")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document against the benchmark texts; 5 % of those with 20 words are drawn."""
+    out = importance_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of all usable vectors."""
+    return whitened(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and a digest of the base spans, and all spans."""
+    out = with_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = base_spans(F.col("pii"))
+    counts = [F.size(base_spans(F.col("pii"), k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return out.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_balanced_sharding": op1_balanced_sharding,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -113,6 +135,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_codec": op8_piece_codec,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_loss_difference": op10_loss_difference,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_personal_data": op13_personal_data,
 }
 
 #: The others need a hash, a trained model or a tokenizer that SQL does not have; tests hold them to brute force.
