@@ -1,129 +1,192 @@
 """JSON array files: scan them, or rewrite them once into JSON Lines.
 
-Two layouts are handled:
-
-* ``"whole"``: each file is one JSON array, laid out any way. A file is read
-  as one string by one task (``wholetext``), so a single file must fit in a
-  task's memory; many files read in parallel. Records are spread over the
-  cluster right after the explode.
+Two layouts are handled, both splittably and as DataFrame expressions:
+
+* ``"whole"``: each file is one JSON array, laid out any way. What stands
+  between the first two records (``},``, white space, ``{`` and the first key)
+  is taken as the line separator of Spark's text source, so a file of any size
+  is read by many tasks, a record a row. The cut is proven, not assumed: if
+  every piece is one JSON value, the pieces are the array's elements, for JSON
+  can be read in one way only. A piece that is not goes through ``cut_values``
+  (other white space, other first key, a broken record). Where an array inside
+  a record holds objects with the same separator between them, pieces are put
+  together again by their brackets.
 * ``"lines"``: each line holds one or more whole records (``[``, records each
-  followed by ``,``, ``]``). Each line is read on its own, so the file splits
-  like JSON Lines and size is no limit. A line that is anything else, such as
-  part of a record, is rejected.
-
-Spark's own ``multiLine`` JSON reader streams an array without holding it,
-but it judges the file as one document: one element of the wrong shape
-marks every element of that file corrupt, each carrying the whole file text.
-The text is cut at the commas of the array instead, without being parsed, so
-each element keeps its own text, numbers included, and a broken element is one
-reject. An element that lacks a closing bracket ends where an object could not
-go on: at a comma that another object follows, or at the array's end.
-
-The rewrite normalises every record through ``parse_json``/``to_json``, so
-whole-valued decimals are written as integers (``10.0`` -> ``10``) and other
-decimals without trailing zeros (``2.50`` -> ``2.5``).
+  followed by ``,``, ``]``). Each line is read on its own. A line that is
+  anything else, such as part of a record, is rejected.
+
+Spark's own ``multiLine`` JSON reader takes a file as one task, and one element
+of the wrong shape marks every element of that file corrupt, each carrying the
+whole file text. Here each element keeps its own text, numbers included, and a
+broken element is one reject: a string or bracket that is not closed ends with
+its piece. Only a file without a separator (other layouts than the first file,
+a single record) is one row.
+
+The rewrite writes whole-valued numbers as integers (``10.0``, ``1e1`` ->
+``10``) and other numbers as plain decimals without trailing zeros (``2.50``
+-> ``2.5``), on their digits, whatever their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from staylake.schemas import RAW_BOOKING
-from staylake.session import default_parallelism
-from staylake.sources.json_lines import json_values, parse_records
+from staylake.sources.json_lines import STRING, cut_values, one_value, parse_records
 
 LAYOUTS = ("whole", "lines")
+#: Pieces between closing braces that are looked at to find the separator.
+HEAD = 2_000
 # White space and array punctuation around the records of a line.
-_ARRAY_EDGES = r"^\s*[\[,]?\s*|\s*,?\s*\]?\s*$"
-
-
-def _cutter():
-    """Function for ``mapInArrow``: texts of whole files to the texts of their elements.
-
-    A local function, so that workers need not import this library.
-    """
-
-    def elements(text):
-        import re
-
-        start = re.match(r"\ufeff?\s*\[", text)
-        if not start:
-            yield text
-            return
-        marks = re.compile(r'"(?:[^"\\\n]|\\.)*"|[\[\]{},]')
-        next_object = re.compile(r"\s*\{")
-        open_, begin, cut = ["["], start.end(), False
-        for m in marks.finditer(text, begin):
-            c = m.group()
-            if c == "[" or c == "{":
-                open_.append(c)
-            elif c == ",":
-                if len(open_) > 1 and open_[-1] == "{" and next_object.match(text, m.end()):
-                    del open_[1:]  # no key: the element was not closed
-                if len(open_) == 1:
-                    yield text[begin : m.start()].strip()
-                    begin, cut = m.end(), True
-            elif c == "]" or c == "}":
-                pair = "[" if c == "]" else "{"
-                if pair in open_:
-                    while open_.pop() != pair:
-                        pass
-                if not open_:
-                    last = text[begin : m.start()].strip()
-                    if last or cut:
-                        yield last
-                    rest = text[m.end() :].strip()
-                    if rest:
-                        yield rest
-                    return
-        yield text[begin:].strip()  # the array is not closed
-
-    def cut_files(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            for value in b.column(0):
-                held = []
-                for e in elements(value.as_py()):
-                    held.append(e)
-                    if len(held) == 1000:
-                        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
-                        held = []
-                if held:
-                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
-
-    return cut_files
-
-
-def array_records(spark: SparkSession, path: str | list[str], layout: str = "whole") -> DataFrame:
-    """One row per array element, ``value`` = the element's JSON text."""
+_BEFORE, _AFTER = r"^\s*[\[,]?\s*", r"\s*,?\s*\]?\s*$"
+_ARRAY_START = r"^\x{FEFF}?\s*\[\s*"
+# A separator that no text file holds: the file is one row.
+_NEVER = "}\x00{"
+
+
+def _separator(spark: SparkSession, path: str | list[str]) -> tuple[str, str]:
+    """What is between two records of the first file, and its part from the second record on."""
+    meta = F.col("_metadata")
+    pieces = spark.read.option("lineSep", "}").text(path).where(meta["file_block_start"] == 0)
+    rows = pieces.select("value", meta["file_path"].alias("file")).take(HEAD)
+    head = "}".join(r["value"] for r in rows if r["file"] == rows[0]["file"]) + "}"
+    first = re.match(r'﻿?\s*\[\s*\{\s*("(?:[^"\\]|\\.)*")\s*:', head)
+    found = re.search(r"\}\s*,\s*(\{\s*" + re.escape(first[1]) + r"\s*:)", head) if first else None
+    return (found[0], found[1]) if found else (_NEVER, "")
+
+
+def _brackets(text: Column) -> Column:
+    """Opening less closing square brackets outside the strings of a text."""
+    bare = F.regexp_replace(text, STRING, "")
+    return F.length(F.translate(bare, "]", "")) - F.length(F.translate(bare, "[", ""))
+
+
+def _pieces(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, str]:
+    """``value`` (an element's text, or what holds several or a part), ``one`` (it is one value), ``file, at``; the comma."""
+    sep, lead = _separator(spark, path)
+    raw = spark.read.option("lineSep", sep).text(path)
+    if not lead:
+        text = F.regexp_replace(F.regexp_replace("value", _ARRAY_START, ""), r"\s*\]\s*$", "")
+        return raw.select(text.alias("value"), F.lit(False).alias("one"), F.lit("").alias("file"), F.lit(0).cast("long").alias("at")), ","
+    value, meta = F.col("value"), F.col("_metadata")
+    # The first piece holds the array's start, the last one its end (or, not closed, nothing more).
+    first = (meta["file_block_start"] == 0) & value.rlike(_ARRAY_START + r"(\{|\]|$)")
+    start = F.when(first, F.regexp_replace(value, _ARRAY_START, "")).otherwise(F.concat(F.lit(lead), value))
+    closed, stripped = F.concat(start, F.lit("}")), F.regexp_replace(start, r"\s*\]\s*$", "")
+    last = (stripped != start) & (start.rlike(r"\}\s*\]\s*$") | F.forall(cut_values(stripped), one_value))
+    edge = F.when(one_value(start), start).when(last, stripped).otherwise(closed)
+    place = F.struct(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"))
+    rows = raw.select(closed.alias("closed"), edge.alias("edge"), one_value(closed).alias("ok"), place.alias("place"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.select(F.when(F.col("ok"), F.col("closed")).otherwise(F.col("edge")).alias("value"), "ok", "place", "row")
+    one = F.col("ok") | one_value(F.col("value"))
+    rows = rows.select("value", one.alias("one"), "place.file", F.struct("place.block", "row").alias("at"))
+    return rows, sep[1 : len(sep) - len(lead)]
+
+
+def _kind(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``kind``: 1 if arrays stay open in it, -1 if more are closed than opened, else null."""
+    net = F.when(~F.col("one"), _brackets(F.col("value")))
+    return pieces.withColumn("kind", F.when(net > 0, 1).when(net < 0, -1))
+
+
+def _joined(pieces: DataFrame, comma: str) -> DataFrame:
+    """``value, one``: a piece that leaves an array open, up to the one that closes it, as one text if that is one value."""
+    forward = Window.partitionBy("file").orderBy("at")
+    back = Window.partitionBy("file").orderBy(F.desc("at"))
+    before = F.last("kind", True).over(forward.rowsBetween(Window.unboundedPreceding, -1))
+    opened = F.last(F.when(F.col("kind").isNotNull(), F.col("at")), True).over(forward.rowsBetween(Window.unboundedPreceding, 0))
+    began = F.last(F.when(F.col("kind").isNotNull(), F.col("at")), True).over(forward.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.last("kind", True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    rows = _kind(pieces).select("*", before.alias("before"), opened.alias("opened"), began.alias("began"), after.alias("after"))
+    plain = F.col("kind").isNull()
+    run = F.when((F.col("kind") == 1) & (F.col("after") == -1), F.col("at"))
+    run = run.when(plain & (F.col("before") == 1) & (F.col("after") == -1), F.col("opened"))
+    run = run.when((F.col("kind") == -1) & (F.col("before") == 1), F.col("began"))
+    rows = rows.withColumn("run", F.coalesce(run, F.col("at")))
+    parts = rows.groupBy("file", "run").agg(F.sort_array(F.collect_list(F.struct("at", "value")))["value"].alias("parts"))
+    glued = F.array_join("parts", comma)
+    parts = parts.withColumn("glued", glued).withColumn("whole", one_value(F.col("glued")))
+    texts = F.when(F.col("whole"), F.array("glued")).otherwise(F.flatten(F.transform("parts", cut_values)))
+    return parts.select(F.explode(texts).alias("value"), F.col("whole").alias("one")).withColumn("one", F.col("one") | one_value(F.col("value")))
+
+
+def _elements(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``value, one`` of each element of whole-array files."""
+    pieces, comma = _pieces(spark, path)
+    loose = _kind(pieces).agg(F.count_if(F.col("kind") == 1).alias("open"), F.count_if(F.col("kind") == -1).alias("closed")).first()
+    if comma.strip() == "," and loose["open"] and loose["closed"] and pieces.schema["at"].dataType.typeName() == "struct":
+        return _joined(pieces, comma)
+    each = F.when(F.col("one"), F.array(F.struct("value", "one"))).otherwise(
+        F.transform(cut_values(F.col("value")), lambda t: F.struct(t.alias("value"), F.lit(None).cast("boolean").alias("one")))
+    )
+    return pieces.select(F.inline(each)).withColumn("one", F.coalesce("one", one_value(F.col("value"))))
+
+
+def _records(spark: SparkSession, path: str | list[str], layout: str) -> DataFrame:
+    """``value, one``: the text of each array element, and whether it is one JSON value."""
     if layout == "whole":
-        elems = spark.read.text(path, wholetext=True).mapInArrow(_cutter(), "value string")
-        # One file is one task; spread its records before any further work.
-        # Round-robin, not a hash of the text: identical copies of a record
-        # would all hash to one partition. Spark sorts rows before a
-        # round-robin split, so a recomputed task places them the same way.
-        return elems.repartition(default_parallelism(spark))
+        return _elements(spark, path)
     if layout == "lines":
         lines = spark.read.text(path)
-        stripped = F.regexp_replace("value", _ARRAY_EDGES, "")
+        stripped = F.regexp_replace(F.regexp_replace("value", _BEFORE, ""), _AFTER, "")
         records = lines.select(stripped.alias("value")).where(F.col("value") != "")
-        return records.select(F.explode(F.coalesce(json_values(F.col("value")), F.array("value"))).alias("value"))
+        each = F.when(one_value(F.col("value")), F.array("value")).otherwise(cut_values(F.col("value")))
+        return records.select(F.explode(each).alias("value")).withColumn("one", one_value(F.col("value")))
     raise ValueError(f"unknown layout {layout!r}; use one of {LAYOUTS}")
 
 
+def array_records(spark: SparkSession, path: str | list[str], layout: str = "whole") -> DataFrame:
+    """One row per array element, ``value`` = the element's JSON text."""
+    return _records(spark, path, layout).select("value")
+
+
 def read_json_array(
     spark: SparkSession, path: str | list[str], schema: StructType = RAW_BOOKING, layout: str = "whole"
 ) -> DataFrame:
     """Array-file scan: ``value`` + schema columns + ``_corrupt_record``."""
-    return parse_records(array_records(spark, path, layout), schema)
+    return parse_records(_records(spark, path, layout), schema, one=F.col("one"))
 
 
-def normalise_json(text) -> F.Column:
-    """Re-serialise one JSON value; text that does not parse is kept, on one line."""
-    return F.coalesce(F.to_json(F.try_parse_json(text)), F.regexp_replace(text, r"[\r\n]+", " "))
+#: Exponents beyond which a number keeps its text (its digits would fill pages).
+MAX_EXPONENT = 5_000
+_NUMBER = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]{1,9}))?$"
+_TOKEN = STRING + r'|[{}\[\]:,]|[^\s"{}\[\]:,]++'
+
+
+def plain_number(token: Column) -> Column:
+    """A JSON number as an integer if it is whole, else as a plain decimal; anything else stays.
+
+    The digits are moved as text, so no number is too long to stay exact.
+    """
+    part = lambda k: F.regexp_extract(token, _NUMBER, k)
+    exponent = F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0))
+    digits = F.concat(part(2), part(3))
+    scale = F.length(part(3)) - exponent
+    padded = F.concat(digits, F.repeat(F.lit("0"), F.greatest(-scale, F.lit(0))))
+    padded = F.when(F.length(padded) > scale, padded).otherwise(F.lpad(padded, scale + 1, F.lit("0")))
+    places = F.greatest(scale, F.lit(0))
+    whole = F.regexp_replace(F.substring(padded, F.lit(1), F.length(padded) - places), "^0+(?=[0-9])", "")
+    rest = F.regexp_replace(F.substring(padded, F.length(padded) - places + 1, places), "0+$", "")
+    text = F.concat(whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")))
+    text = F.when(text == "0", text).otherwise(F.concat(part(1), text))
+    return F.when(token.rlike(_NUMBER) & (F.abs(exponent) <= MAX_EXPONENT), text).otherwise(token)
+
+
+def normalise_json(text: Column) -> Column:
+    """One JSON value on one line, without white space outside strings, numbers by ``plain_number``.
+
+    Text that is not one value is kept, on one line.
+    """
+    tight = F.regexp_replace(text, rf"({STRING})|\s++", "$1")
+    tokens = F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), lambda t: F.when(t.rlike("^-?[0-9]"), plain_number(t)).otherwise(t))
+    # Digits with a point, an exponent or a signed zero, in or outside strings.
+    written = F.when(text.rlike(r"[0-9][.eE]|-0"), F.array_join(tokens, "")).otherwise(tight)
+    return F.when(one_value(text), written).otherwise(F.regexp_replace(text, r"[\r\n]+", " "))
 
 
 def rewrite_json_arrays(spark: SparkSession, src: str | list[str], dst: str, layout: str = "whole") -> int:

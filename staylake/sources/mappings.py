@@ -21,7 +21,8 @@ def load_mapping(spark: SparkSession, path: str) -> DataFrame:
 
     Raises ``BadMapping`` when the path does not exist, holds no file,
     or a file is not one flat JSON object. Non-string values keep their JSON
-    text; a null value stays null.
+    text; a null value stays null. Of a key that is given several times, the
+    last value counts.
     """
     try:
         files = spark.read.text(path, wholetext=True)
@@ -36,7 +37,8 @@ def load_mapping(spark: SparkSession, path: str) -> DataFrame:
         raise BadMapping(f"no mapping at {path}")
     if stats["bad"]:
         raise BadMapping(f"mapping {path} is not one JSON object")
-    return parsed.select(F.explode("m").alias("key", "value"))
+    entries = parsed.select(F.posexplode("m").alias("pos", "key", "value"))
+    return entries.groupBy("key").agg(F.max_by("value", "pos").alias("value"))
 
 
 def mapping_from_dict(spark: SparkSession, mapping: Mapping[str, str | None]) -> DataFrame:

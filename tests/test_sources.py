@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from decimal import Decimal, localcontext
 
 import pytest
+from pyspark.sql import functions as F
 
 from staylake.errors import BadMapping
 from staylake.operators.rejects import split_rejects
-from staylake.sources.json_arrays import read_json_array, rewrite_json_arrays
+from staylake.sources.json_arrays import normalise_json, plain_number, read_json_array, rewrite_json_arrays
 from staylake.sources.json_lines import parse_json_lines, read_json_lines
 from staylake.sources.mappings import load_mapping, mapping_from_dict, write_mapping
 
@@ -182,3 +184,100 @@ def test_broken_element_is_one_reject_and_texts_stay(spark, scratch):
     assert rewrite_json_arrays(spark, scratch + "/src", scratch + "/dst") == len(recs)
     texts = [r["value"] for r in spark.read.text(scratch + "/dst").collect()]
     assert len(texts) == len(recs) and '{"id":12345678901234567.25}' in texts
+
+
+def _texts(spark, scratch, text, name="a.json", **conf):
+    _write_text(scratch + "/src", name, text)
+    good, bad = split_rejects(read_json_array(spark, scratch + "/src", layout="whole"))
+    return sorted(r["value"] for r in good.collect()), sorted(r["raw"] for r in bad.collect())
+
+
+def test_nothing_after_a_record_is_lost(spark, scratch):
+    """What follows a record on its line makes a reject that holds it, in lines and in arrays of lines."""
+    lines = ['{"id":"1"}],[{"id":"2"}', '{"id":"3"}]garbage', '[{"id":"5"}]] {"id":"6"}', '{"id":"7"},{"id":"8"}', '{"id":"9"},"x":1']
+    good, bad = _loaded(spark, lines)
+    assert good == [] and bad == sorted(lines)
+    _write_text(scratch, "a.json", '[{"id":"1"}],[{"id":"2"}]\n{"id":"8"}],[{"id":"9"}\n{"id":5},null\n')
+    good, bad = split_rejects(read_json_array(spark, scratch, layout="lines"))
+    assert [r["id"] for r in good.collect()] == ["5"]
+    assert sorted(r["raw"] for r in bad.collect()) == ["null", '{"id":"1"}],[{"id":"2"}', '{"id":"8"}],[{"id":"9"}']
+
+
+def test_ids_of_several_records_on_a_line_keep_their_text(spark, scratch):
+    long = "98765432109876543.25"
+    df = spark.createDataFrame([(f'[{{"id":{long}}}, {{"id": 1e5}}]',)], "value string")
+    assert sorted(r["value"] for r in split_rejects(parse_json_lines(df))[0].collect()) == ['{"id": 1e5}', f'{{"id":{long}}}']
+    _write_text(scratch, "a.json", f'[{{"id":{long}}},{{"id":{long}}}]\n')
+    for layout in ("lines", "whole"):
+        assert [r["value"] for r in split_rejects(read_json_array(spark, scratch, layout=layout))[0].collect()] == [f'{{"id":{long}}}'] * 2
+
+
+def test_broken_elements_cost_one_element_each(spark, scratch):
+    recs = ['{"id":"1","x":[{"id":"7"}]}', '{"id":"2","label":"abc}', '{"id":"3"}', '{"id":"4","label":', '{"id":"5"]}', '{"id":"6"}']
+    for k, comma in enumerate((",", ",\n", " , ")):
+        got = _texts(spark, f"{scratch}/{k}", "[" + comma.join(recs) + "]")
+        assert got == (sorted([recs[0], recs[2], recs[5]]), sorted([recs[1], recs[3], recs[4]])), comma
+    assert _texts(spark, scratch + "/cut", "[" + ",".join(recs[:1] * 3)) == (recs[:1] * 3, [])  # the array is not closed
+    assert _texts(spark, scratch + "/none", " [\n] ") == ([], [])
+    assert _texts(spark, scratch + "/one", ' [ {"id":1} ] ') == (['{"id":1}'], [])
+    assert _texts(spark, scratch + "/mixed", '[{"id":1},{"label":"k-a"}, {"id":2} ,\n{"id":3},5]') == (
+        ['{"id":1}', '{"id":2}', '{"id":3}', '{"label":"k-a"}'],
+        ["5"],
+    )
+
+
+def test_arrays_inside_records_with_the_same_separator(spark, scratch):
+    """`},{"id":` inside a record does not cut it, beside broken records too."""
+    deep = '{"id":%d,"x":[{"id":1},{"id":2,"y":[3]},{"id":"]}"}],"z":"},{\\"id\\":"}'
+    recs = [deep % k for k in range(40)]
+    recs[5] = '{"id":5,"x":[{"a":1}'
+    recs[20] = '{"id":20,"label":"abc}'
+    recs[30] = '{"id":30}'
+    good, bad = _texts(spark, scratch, "[" + ",".join(recs) + "]")
+    assert good == sorted(r for k, r in enumerate(recs) if k not in (5, 20)) and bad == sorted([recs[5], recs[20]])
+
+
+def test_array_files_split_anywhere(spark, scratch):
+    """Small splits cut separators at every byte; each element is read once, by many tasks."""
+    recs = [f'{{"id":{k},"x":{{"y":{{"z":"{"é" * (k % 7)}"}}}}}}' for k in range(400)]
+    for k, sep in enumerate((",", ",\n  ")):
+        _write_text(f"{scratch}/{k}", "a.json", "[" + sep.join(recs) + "\n]\n")
+        for size in (61, 100, 1009):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            try:
+                df = read_json_array(spark, f"{scratch}/{k}", layout="whole")
+                got = sorted((r["value"] for r in df.collect()), key=lambda t: int(t[6 : t.index(",")]))
+                assert got == recs
+                assert df.rdd.getNumPartitions() > 8
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _as_int_or_decimal(token):
+    d = Decimal(token)
+    return str(int(d)) if d == d.to_integral_value() else format(d.normalize(), "f")
+
+
+def test_numbers_are_rewritten_on_their_digits(spark):
+    tokens = ["10.0", "2.50", "20", "-0", "-0.0", "0.10", "1e20", "1E+2", "2.50e1", "1.5e400", "-1.5e-3", "1e-7", "12345678901234567.25",
+              "1" * 45, "0." + "0" * 50 + "10", "-" + "9" * 30 + ".00", "123.456e2", "123.456e5", "0e0", "0.0e-9"]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    with localcontext() as c:
+        c.prec = 1000
+        want = {t: _as_int_or_decimal(t) for t in tokens}
+    assert {r["t"]: r["n"] for r in df.select("t", plain_number(F.col("t")).alias("n")).collect()} == want
+    text = '{ "a b" : 1.0 ,"2.50":"2.50 \\" 3.0", "n":[1.50, 2e1,true,null, -0.0 ], "e": 1e99999 }'
+    bad = '{"a":1.0,\n"b"'
+    got = [r[0] for r in spark.createDataFrame([(text,), (bad,)], "t string").select(normalise_json(F.col("t"))).collect()]
+    assert got == ['{"a b":1,"2.50":"2.50 \\" 3.0","n":[1.5,20,true,null,0],"e":1e99999}', '{"a":1.0, "b"']
+    long = '{"a":"' + "x" * 300_000 + '","n":2.50}'
+    assert spark.createDataFrame([(long,)], "t string").select(normalise_json(F.col("t"))).first()[0] == long.replace("2.50", "2.5")
+
+
+def test_last_value_of_a_repeated_key_counts(spark, scratch):
+    p = _write_text(scratch, "m.json", '{"a": 1, "b": "x", "a": 2, "c": "y", "c": null}')
+    assert {r["key"]: r["value"] for r in load_mapping(spark, p).collect()} == {"a": "2", "b": "x", "c": None}
+    df = spark.createDataFrame([('{"id":1,"label":"a","id":2}',)], "value string")
+    assert [r["id"] for r in parse_json_lines(df).collect()] == ["2"]
