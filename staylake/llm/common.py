@@ -28,6 +28,32 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(rows: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``rows`` does not have."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Bytes of ids that are broadcast at most (16 more are counted for each).
+BROADCAST_IDS = 64 << 20
+
+
+def marked(rows: DataFrame, column: str, ids: DataFrame, mark: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """``rows`` with the int column ``mark``: 1 if ``column`` is one of ``ids`` (its first column), else null.
+
+    Null ids are never marked, repeats in ``ids`` do not repeat rows. The ids
+    are counted first: up to ``most`` bytes of them are broadcast, so that
+    the rows stay where they are; beyond it both sides are shuffled by id.
+    """
+    key = fresh(rows, "marked_id")
+    ids = ids.select(F.col(ids.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct()
+    size = ids.agg(F.sum(F.octet_length(F.col(key).cast("string")) + 16)).first()[0] or 0
+    side = ids.withColumn(mark, F.lit(1)).hint("broadcast" if size <= most else "shuffle_hash")
+    return rows.join(side, F.col(column) == F.col(key), "left").drop(key)
+
+
 def words_of(text) -> "F.Column":
     """Array of words of a text column; null and blank texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

@@ -22,6 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
+
+from staylake.llm.common import fresh, marked
+from staylake.session import scratch_path
 
 #: Weight, in words, of the single-word model in a pair's probability.
 SMOOTH = 10.0
@@ -38,10 +42,13 @@ CHUNK, COUNTED, DEALT = 1_000_000, 2_000_000, 200_000
 #: What a document counts for: the background, the target, a score; and that its last word lies in the bucket.
 BACKGROUND, TARGET, SCORED, TAIL = 1, 2, 4, 8
 
+#: Rows for the buckets: of a group of documents (or parts), the words and pairs in the bucket, and one row of what is known without it.
 _DEALT = (
-    "bucket int, keys binary, flags binary, sizes binary, pairs binary, ids binary, words binary, "
-    "n binary, target binary, background binary"
+    "bucket int, batch long, docs binary, flags binary, sizes binary, pairs binary, ids binary, words binary, "
+    "keys binary, parts binary, n binary, target binary, background binary"
 )
+#: What a bucket returns for each row: sums by the document's place in its group.
+_SUMS = "batch long, docs binary, keys binary, parts binary, n binary, target binary, background binary"
 
 
 class _Words:
@@ -139,10 +146,10 @@ class _Shared:
         single = (one + 1.0) / (self.total[:, None] + self.vocabulary + 1)
         return -np.log(both + SMOOTH * single)
 
-    def deal(self, buckets: int, docs: list[tuple]) -> Iterator[dict]:
-        """Rows for the buckets of some documents (or parts): ``key, flags, before, word, first, last``."""
-        keys, flags = (np.array([d[i] for d in docs], t) for i, t in ((0, np.int64), (1, np.uint8)))
-        first, last = (np.array([d[i] for d in docs], bool) for i in (4, 5))
+    def deal(self, buckets: int, batch: int, docs: list[tuple]) -> Iterator[dict]:
+        """Rows for the buckets of a group of documents (or parts): ``key, flags, before, word, part, last``."""
+        keys, flags, parts = (np.array([d[i] for d in docs], t) for i, t in ((0, np.int64), (1, np.uint8), (4, np.int32)))
+        first, last = parts == 0, np.array([d[5] for d in docs], bool)
         size = np.array([len(d[3]) for d in docs])
         before, word = (np.concatenate([d[i] for d in docs]) for i in (2, 3))
         at = np.repeat(np.arange(len(docs)), size)
@@ -159,9 +166,10 @@ class _Shared:
             here[m] += first * np.log(self.begins[m] + SMOOTH)
         # A frequent word is dealt by its pairs, any other whole.
         bucket = ((np.where(frequent, pair, _mixed(word)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-        scored = flags & SCORED > 0
-        if scored.any():
-            yield {"bucket": int(keys[0] % buckets), "keys": keys[scored].tobytes(), "n": size[scored].astype(np.int64).tobytes(),
+        scored = np.flatnonzero(flags & SCORED).astype(np.uint32)
+        if len(scored):
+            yield {"bucket": int(keys[0] % buckets), "batch": batch, "docs": scored.tobytes(), "keys": keys[scored].tobytes(),
+                   "parts": parts[scored].tobytes(), "n": size[scored].astype(np.int64).tobytes(),
                    "target": here[0, scored].tobytes(), "background": here[1, scored].tobytes()}
         rest = np.flatnonzero(~hot)
         rest = rest[np.argsort(bucket[rest], kind="stable")]
@@ -172,26 +180,27 @@ class _Shared:
             own = d[ends]
             ids = np.where(frequent[r], f[r], FREQUENT).astype(np.uint16)
             k = int((pair[r[0]] if frequent[r[0]] else _mixed(word[r[:1]])[0]) >> np.uint64(20)) % buckets
-            yield {"bucket": k, "keys": keys[own].tobytes(), "flags": (flags[own] | TAIL * tail[r[ends]]).astype(np.uint8).tobytes(),
+            yield {"bucket": k, "batch": batch, "docs": own.astype(np.uint32).tobytes(), "flags": (flags[own] | TAIL * tail[r[ends]]).astype(np.uint8).tobytes(),
                    "sizes": np.diff(ends, prepend=-1).astype(np.uint32).tobytes(), "pairs": pair[r].tobytes(),
                    "ids": ids.tobytes(), "words": word[r[~frequent[r]]].tobytes()}
 
-    def sums(self, bucket: pa.Table) -> tuple[np.ndarray, ...]:
-        """``key, n, target, background``: sums by document of the rows of one bucket."""
-        rows = bucket.to_pydict()
-        local = [i for i, p in enumerate(rows["pairs"]) if p is None]
-        dealt = [i for i, p in enumerate(rows["pairs"]) if p is not None]
-
-        def joined(name: str, kind, at: list[int]) -> np.ndarray:
-            return np.frombuffer(b"".join([rows[name][i] for i in at]), kind)
-
-        out = [joined("keys", np.int64, local), joined("n", np.int64, local), joined("target", float, local), joined("background", float, local)]
-        if not dealt:
-            return tuple(out)
-        keys, flags, sizes = joined("keys", np.int64, dealt), joined("flags", np.uint8, dealt), joined("sizes", np.uint32, dealt)
-        pair, ids, rare = joined("pairs", np.uint64, dealt), joined("ids", np.uint16, dealt), joined("words", np.uint64, dealt)
+    def sums(self, bucket: pa.Table) -> list[dict]:
+        """Rows of one bucket with the losses of their words added up by document; others pass through."""
+        rows = bucket.to_pylist()
+        out = [{k: r[k] for k in ("batch", "docs", "keys", "parts", "n", "target", "background")} for r in rows if r["pairs"] is None]
+        rows = [r for r in rows if r["pairs"] is not None]
+        if not rows:
+            return out
+
+        def joined(name: str, kind) -> np.ndarray:
+            return np.frombuffer(b"".join([r[name] for r in rows]), kind)
+
+        flags, sizes = joined("flags", np.uint8), joined("sizes", np.uint32)
+        pair, ids, rare = joined("pairs", np.uint64), joined("ids", np.uint16), joined("words", np.uint64)
+        docs = [np.frombuffer(r["docs"], np.uint32) for r in rows]
+        names = [r["batch"] for r in rows]
         del rows
-        at = np.repeat(np.arange(len(keys)), sizes)
+        at = np.repeat(np.arange(len(flags)), sizes)
         weights = [(flags & b > 0).astype(float)[at] for b in (TARGET, BACKGROUND)]
         tail = np.zeros(len(at), bool)
         tail[np.cumsum(sizes.astype(np.int64))[flags & TAIL > 0] - 1] = True
@@ -208,10 +217,34 @@ class _Shared:
             loss[m] = -np.log(both + SMOOTH * single)
             context = is_rare & ~tail
             loss[m, context] += np.log(one[context] + SMOOTH)
-        part = [np.bincount(at, loss[m], len(keys)) for m in (0, 1)]
-        scored = flags & SCORED > 0
-        found = [keys[scored], np.zeros(int(scored.sum()), np.int64), part[0][scored], part[1][scored]]
-        return tuple(np.concatenate([a, b]) for a, b in zip(out, found))
+        part = [np.bincount(at, loss[m], len(flags)) for m in (0, 1)]
+        scored, end = flags & SCORED > 0, 0
+        for batch, d in zip(names, docs):
+            here = slice(end, end + len(d))
+            some, end = scored[here], end + len(d)
+            if some.any():
+                out.append({"batch": batch, "docs": d[some].tobytes(), "target": part[0][here][some].tobytes(), "background": part[1][here][some].tobytes()})
+        return out
+
+
+def _by_document(batch: pa.Table) -> pa.Table:
+    """``key, part, n, target, background``: sums over the buckets for each document (or part) of a group."""
+    rows = batch.to_pylist()
+    own = next(r for r in rows if r["keys"] is not None)
+    docs = np.frombuffer(own["docs"], np.uint32)
+    total = np.zeros((2, int(docs.max()) + 1))
+    for r in rows:
+        for m, name in enumerate(("target", "background")):
+            total[m, np.frombuffer(r["docs"], np.uint32)] += np.frombuffer(r[name], float)
+    return pa.table(
+        {
+            "key": np.frombuffer(own["keys"], np.int64),
+            "part": np.frombuffer(own["parts"], np.int32),
+            "n": np.frombuffer(own["n"], np.int64),
+            "target": total[0, docs],
+            "background": total[1, docs],
+        }
+    )
 
 
 def _count(rows: DataFrame, candidates: np.ndarray | None = None) -> DataFrame:
@@ -286,22 +319,23 @@ def fit_pair_models(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id",
     """Models of all words and pairs of all of ``docs``; ``trusted`` (column ``doc_id``) names the target documents.
 
     The words and the hot pairs are counted here, each task adding up its
-    documents; the driver receives the sums and the most frequent ones.
+    documents; the driver receives the sums and the most frequent ones. Null,
+    empty and blank texts have no words, and do not count as texts; repeated
+    rows and equal texts count each; null ids are never trusted; without
+    documents, or without trusted ones, a model has no counts but the
+    smoothing. Columns other than id and text are not read.
     """
-    from staylake.session import scratch_path
-
     spark = docs.sparkSession
-    ids = trusted.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct().withColumn("_t", F.lit(TARGET))
     own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
     n, size = own.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    flags = (F.coalesce("_t", F.lit(0)) + BACKGROUND).cast("int").alias("flags")
-    marked = own.join(ids.hint("shuffle_hash"), "_id", "left").select(F.xxhash64("text").alias("key"), "text", flags)
+    flags = (F.coalesce("_t", F.lit(0)) * TARGET + BACKGROUND).cast("int").alias("flags")
+    flagged = marked(own, "_id", trusted.select(doc_id), "_t").select(F.xxhash64("text").alias("key"), "text", flags)
 
     part = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(max(1, n // SAMPLE))) == 0
     sample = own.where(part).select("text", F.lit(BACKGROUND).alias("flags"))
     candidates = np.sort(_columns(_top(_count(sample).where("pair is not null and background > 1"), "pair", HOT), "pair")[0])
     path = scratch_path(spark, "loss_words")
-    _count(marked, candidates).write.parquet(path)
+    _count(flagged, candidates).write.parquet(path)
     counts = spark.read.parquet(path)
     of_words = counts.where("pair is null and word is not null")
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
@@ -312,35 +346,41 @@ def fit_pair_models(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id",
     at, frequent = _find(words, last)
     pairs, both, at = pairs[frequent], both[:, frequent], at[frequent]
     know = _Shared(np.array(total, float), np.array(begins, float), vocabulary, words, word_counts, pairs, both)
-    return PairModels(docs, marked, text, size or 0, know.total, know.begins, vocabulary, words, word_counts, pairs, know.pair_part(both, word_counts[:, at]))
+    return PairModels(docs, flagged, text, size or 0, know.total, know.begins, vocabulary, words, word_counts, pairs, know.pair_part(both, word_counts[:, at]))
 
 
 def with_loss_difference(docs: DataFrame, models: PairModels, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens``, ``target_loss``, ``background_loss`` and ``score`` (their difference), means per word.
 
     The words and pairs of the models' documents and of ``docs`` are dealt to
-    buckets, counted and scored there, and summed by text (64-bit hash). A
-    null or blank text has 0 tokens and null losses. Columns of these names
-    are replaced.
+    buckets, counted and scored there, and added up again by group of
+    documents; a result is found by its text's 64-bit hash (of texts that
+    share one, the greater values hold for both). Equal texts and repeated
+    rows each get the same values. A null or blank text has 0 tokens and
+    null losses; an empty table gives an empty table. Columns of these names
+    are replaced, all others pass through.
     """
     spark = docs.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-models.size // BYTES_PER_BUCKET))
     shared = spark.sparkContext.broadcast(models.shared())
-    fields = [f.split()[0] for f in _DEALT.split(", ")]
-    kinds = pa.schema([(f, pa.int32() if f == "bucket" else pa.binary()) for f in fields])
+    arrow = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    kinds, found = (pa.schema([(f.split()[0], arrow[f.split()[1]]) for f in fields.split(", ")]) for fields in (_DEALT, _SUMS))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, held, n = _Words(), [], 0
+        batch = TaskContext.get().partitionId() << 32
 
         def flush() -> pa.RecordBatch:
-            rows = list(shared.value.deal(buckets, held))
+            nonlocal batch
+            rows = list(shared.value.deal(buckets, batch, held))
+            batch += 1
             held.clear()
             return pa.RecordBatch.from_pylist(rows, kinds)
 
         for b in batches:
             for key, t, flags in zip(*[b.column(c).to_pylist() for c in ("key", "text", "flags")]):
                 for k, (before, word, last) in enumerate(words.chunks(t)):
-                    held.append((key, flags, before, word, k == 0, last))
+                    held.append((key, flags, before, word, k, last))
                     n += len(word)
                     if n >= DEALT:
                         yield flush()
@@ -349,7 +389,7 @@ def with_loss_difference(docs: DataFrame, models: PairModels, text: str = "text"
             yield flush()
 
     def score(bucket: pa.Table) -> pa.Table:
-        return pa.table(dict(zip(("key", "n", "target", "background"), shared.value.sums(bucket))))
+        return pa.Table.from_pylist(shared.value.sums(bucket), found)
 
     if text == models.text and docs.sameSemantics(models.source):
         rows = models.docs.withColumn("flags", F.col("flags") + SCORED)
@@ -362,17 +402,19 @@ def with_loss_difference(docs: DataFrame, models: PairModels, text: str = "text"
     place = place.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()
     spread = {r.p: r.id for r in place}
     name = F.lit(",".join(str(spread.get(i, i)) for i in range(n)))
-    dealt = rows.mapInArrow(deal, _DEALT)
+    # In a fixed order, so that a task that is run again makes the same groups.
+    dealt = rows.sortWithinPartitions("key", "flags").mapInArrow(deal, _DEALT)
     dealt = dealt.withColumn("bucket", F.element_at(F.split(name, ",").cast("array<int>"), F.col("bucket") + 1))
-    parts = dealt.repartition(n, "bucket").groupBy("bucket").applyInArrow(score, "key long, n long, target double, background double")
-    sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "target", "background")])
-    sums = sums.select(F.col("key").alias("_loss_key"), F.struct("n", "target", "background").alias("_losses"))
-    out = docs.withColumn("_loss_key", F.xxhash64(F.col(text))).join(sums, "_loss_key", "left").drop("_loss_key")
-    return out.withColumns(
-        {
-            "n_tokens": F.coalesce("_losses.n", F.lit(0)).cast("long"),
-            "target_loss": F.col("_losses.target") / F.col("_losses.n"),
-            "background_loss": F.col("_losses.background") / F.col("_losses.n"),
-            "score": (F.col("_losses.target") - F.col("_losses.background")) / F.col("_losses.n"),
-        }
-    ).drop("_losses")
+    parts = dealt.repartition(n, "bucket").groupBy("bucket").applyInArrow(score, _SUMS)
+    sums = parts.groupBy("batch").applyInArrow(_by_document, "key long, part int, n long, target double, background double")
+    # Copies of a text agree but for rounding; the parts of a long one add up.
+    each = sums.groupBy("key", "part").agg(*[F.max(c).alias(c) for c in ("n", "target", "background")])
+    sums = each.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n", "target", "background")])
+    new = ("n_tokens", "target_loss", "background_loss", "score")
+    out = docs.drop(*new)
+    key, losses = fresh(out, "loss_key"), fresh(out, "losses")
+    sums = sums.select(F.col("key").alias(key), F.struct("n", "target", "background").alias(losses))
+    out = out.withColumn(key, F.xxhash64(F.col(text))).join(sums, key, "left")
+    at = lambda c: F.col(f"{losses}.{c}")
+    values = F.coalesce(at("n"), F.lit(0)).cast("long"), *[v / at("n") for v in (at("target"), at("background"), at("target") - at("background"))]
+    return out.withColumns(dict(zip(new, values))).drop(key, losses)

@@ -4,9 +4,12 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from staylake.llm import queries as Q
 from staylake.llm.lm_score import SMOOTH, fit_pair_models, with_loss_difference
 
+from tests.conftest import SF_CHECK
 from tests.llm.conftest import edge_documents, no_documents
 
 TEXTS = ["the house by the lake", "The lake by the house is the lake", "zxq zxq vvv", "a lake", "by by by", "a house of one word vvv"]
@@ -42,6 +45,33 @@ def test_losses_against_definition(spark):
         assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"])
 
 
+def test_equal_texts_and_long_parts(spark, monkeypatch):
+    """Each of several equal texts has its own words; a text that is dealt in parts has all of them."""
+    from staylake.llm import lm_score
+
+    long = "a b a c d " * 250_000  # two parts
+    texts = ["one two two three", *TEXTS, "one two two three", "One  two\ntwo three", "one two two three", long, long]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    df = df.select("*", *[F.lit(0).alias(c) for c in ("loss_key", "losses", "batch", "bucket", "part", "n_tokens")])
+    trusted = spark.createDataFrame([(0,), (1,)], "doc_id long")
+    want = {t: (brute_loss(texts, texts[:2], t), brute_loss(texts, texts, t)) for t in set(texts)}
+    for dealt in (200_000, 5):
+        monkeypatch.setattr(lm_score, "DEALT", dealt)
+        out = with_loss_difference(df, fit_pair_models(df, trusted))
+        assert set(df.columns) < set(out.columns)
+        for r in out.collect():
+            t = texts[r["doc_id"]]
+            assert r["n_tokens"] == len(t.split())
+            assert (r["target_loss"], r["background_loss"]) == pytest.approx(want[t])
+
+
+def test_query_counts_every_document(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()}
+    rows = Q.op10_loss_difference(spark, SF_CHECK).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len((t or "").encode().split()) for i, t in texts.items()}
+    assert len(rows) == len(texts)
+
+
 def test_edges(spark):
     docs = edge_documents(spark)
     models = fit_pair_models(docs, spark.createDataFrame([(8,)], "doc_id long"))
