@@ -19,3 +19,7 @@ class UnsupportedWriteMode(StaylakeError, ValueError):
 
 class TableLayoutError(StaylakeError):
     """An existing target table does not have the bookings columns and types."""
+
+
+class LoadMismatch(StaylakeError):
+    """The records read and those booked or rejected are not the same number."""

@@ -41,6 +41,12 @@ def reject_reason(parsed: DataFrame, text_col: str = "value") -> Column:
     return reason
 
 
+def recovered_id(parsed: DataFrame, text_col: str = "value") -> Column:
+    """The record's id, of a broken record the one its text begins with."""
+    leading = F.nullif(F.regexp_extract(F.col(text_col), _LEADING_ID, 1), F.lit(""))
+    return F.coalesce(F.col("id").cast("string"), leading) if "id" in parsed.columns else leading
+
+
 def split_rejects(parsed: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """``(good, rejects)`` from a parsed DataFrame; rejects are ``(id, reason, raw)``.
 
@@ -49,10 +55,8 @@ def split_rejects(parsed: DataFrame, text_col: str = "value") -> tuple[DataFrame
     """
     reason = reject_reason(parsed, text_col)
     good = parsed.where(reason.isNull()).drop(CORRUPT_COLUMN)
-    recovered = F.nullif(F.regexp_extract(F.col(text_col), _LEADING_ID, 1), F.lit(""))
-    id_col = F.coalesce(F.col("id").cast("string"), recovered) if "id" in parsed.columns else recovered
     rejects = parsed.where(reason.isNotNull()).select(
-        id_col.alias("id"),
+        recovered_id(parsed, text_col).alias("id"),
         reason.alias("reason"),
         F.col(text_col).alias("raw"),
     )

@@ -1,10 +1,9 @@
-"""End-to-end load: JSON -> parse -> split rejects -> map -> table.
+"""End-to-end load: JSON -> parse -> tag rejects -> map -> tables.
 
-One pass over the source in the normal case: whether any record is rejected
-is observed on the same pass that writes the table. Only when it saw
-rejected records is the source read a second time, to store those records
-(with their raw text) in the reject table. Row counts are taken in the
-writing tasks, so they stay exact when tasks or stages are re-run.
+One pass over the source: a single job writes booked and rejected rows into a
+staging folder of the run, from which they are committed (see
+``staylake.sinks.commit``). A load that is started again under its run id,
+after a failure at any point, ends as if it had run once.
 """
 
 from __future__ import annotations
@@ -12,19 +11,22 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from staylake.operators.rejects import reject_reason, split_rejects
+from staylake.errors import UnsupportedWriteMode
+from staylake.functions.fields import month_of
+from staylake.operators.rejects import recovered_id, reject_reason
 from staylake.plans.mapping import Lookups, map_bookings
+from staylake.schemas import BOOKINGS_TABLE, CORRUPT_COLUMN
+from staylake.sinks.commit import BAD, GOOD, KIND, forget, load_once
 from staylake.sinks.table import (
+    WRITE_MODES,
     WriteResult,
     canonical_name,
     history_table_for,
     record_run,
     rejects_table_for,
-    write_rejects,
-    write_table,
 )
 from staylake.sources.json_arrays import read_json_array
 from staylake.sources.json_lines import read_json_lines
@@ -66,6 +68,48 @@ def committed_run(spark: SparkSession, table: str, run_id: str) -> LoadReport |
     return LoadReport(run_id, int(r["rows_written"]) + rejected, int(r["rows_written"]), rejected, table, r["mode"])
 
 
+def tagged_rows(parsed: DataFrame, lookups: Lookups, run_id: str) -> DataFrame:
+    """Parsed records as rows of the bookings table or of the rejects table, told by ``KIND``."""
+    reason, rid, raw = (F.col(f"__load_{c}") for c in ("reason", "id", "raw"))
+    tagged = parsed.select(
+        *[F.col(f"`{c}`") for c in parsed.columns if c not in ("value", CORRUPT_COLUMN)],
+        reject_reason(parsed).alias("__load_reason"),
+        recovered_id(parsed).alias("__load_id"),
+        F.col("value").alias("__load_raw"),
+    )
+    mapped = map_bookings(tagged, lookups, keep=("__load_reason", "__load_id", "__load_raw"))
+    mapped = mapped.withColumn("check_in_month", month_of(F.col("check_in_date")))
+    good = reason.isNull()
+    return mapped.select(
+        F.when(good, GOOD).otherwise(BAD).alias(KIND),
+        *[F.when(good, F.col(f.name)).cast(f.dataType).alias(f.name) for f in BOOKINGS_TABLE.fields],
+        F.when(~good, rid).alias("id"),
+        reason.alias("reason"),
+        F.when(~good, raw).alias("raw"),
+        F.when(~good, F.lit(run_id)).alias("run_id"),
+    )
+
+
+def load_parsed(
+    parsed: DataFrame, lookups: Lookups, table: str, mode: str, run_id: str, reject_table: str | None = None, location: str | None = None
+) -> LoadReport:
+    """Load parsed records under ``run_id``, once however often it is started."""
+    if mode not in WRITE_MODES:
+        raise UnsupportedWriteMode(f"write mode {mode!r} is not one of {WRITE_MODES}")
+    spark = parsed.sparkSession
+    done = committed_run(spark, table, run_id)
+    if done is not None:
+        forget(spark, table, run_id)
+        return done
+    read = Observation(f"read_{uuid.uuid4().hex[:8]}")
+    counted = parsed.observe(read, F.count(F.lit(1)).alias("rows"))
+    rejects = reject_table or rejects_table_for(table)
+    staged = load_once(spark, lambda: tagged_rows(counted, lookups, run_id), table, mode, run_id, rejects, read, parsed.count, location)
+    record_run(spark, WriteResult(run_id, table, mode, staged.rows_written), staged.rows_rejected)
+    forget(spark, table, run_id)
+    return LoadReport(run_id, staged.rows_read, staged.rows_written, staged.rows_rejected, table, mode)
+
+
 def run_load(
     spark: SparkSession,
     path: str | list[str],
@@ -80,32 +124,18 @@ def run_load(
 ) -> LoadReport:
     """Load raw booking JSON into ``table``; rejects go to ``reject_table``.
 
-    ``rows_read == rows_written + rows_rejected`` holds for every run. Pass a
-    ``run_id`` that names the load (a batch date, a file set) to make a rerun
-    after a failure safe: a run already recorded in the table's history is
-    not loaded again, and its recorded counts are returned. The history row
-    is written right after the data commits; a failure between the two
-    leaves an append that a rerun would repeat (parquet has no transaction
-    spanning both).
+    ``rows_read`` is counted in the scan, and ``rows_read == rows_written +
+    rows_rejected`` is checked before any table changes. The files to read
+    are listed once. Pass a ``run_id`` that names the load (a batch date, a
+    file set) to start it again after a failure: rows that are staged already
+    are not read again, and a run in the table's history is not repeated;
+    its recorded counts are returned.
     """
-    if run_id is not None:
-        done = committed_run(spark, table, run_id)
-        if done is not None:
-            return done
     run_id = run_id or uuid.uuid4().hex
-    parsed = read_source(spark, path, source_format)
-    # Seen on the same pass as the write. It only decides whether any record
-    # was rejected: a stage re-run can add a task's count twice, never turn
-    # zero into more. The exact counts come from the two writes.
-    seen = Observation(f"read_{uuid.uuid4().hex[:8]}")
-    counted = parsed.observe(seen, F.count_if(reject_reason(parsed).isNotNull()).alias("rows_rejected"))
-    good, _ = split_rejects(counted)
-    written: WriteResult = write_table(
-        map_bookings(good, lookups), table, mode, location=location, history=False, run_id=run_id
-    )
-    rejected = 0
-    if int(seen.get["rows_rejected"]):
-        _, rejects = split_rejects(read_source(spark, path, source_format))
-        rejected = write_rejects(rejects, reject_table or rejects_table_for(table), run_id)
-    record_run(spark, written, rejected)
-    return LoadReport(run_id, written.rows_written + rejected, written.rows_written, rejected, table, mode)
+    done = committed_run(spark, table, run_id)
+    if done is not None:
+        forget(spark, table, run_id)
+        return done
+    files = spark.read.text(path).inputFiles()
+    parsed = read_source(spark, list(files) or path, source_format)
+    return load_parsed(parsed, lookups, table, mode, run_id, reject_table, location)

@@ -87,12 +87,12 @@ def ensure_table(spark: SparkSession, table: str, location: str | None = None) -
     )
 
 
-def ensure_side_table(spark: SparkSession, table: str, schema) -> None:
-    """Create an unpartitioned parquet table (history, rejects) if absent."""
+def ensure_side_table(spark: SparkSession, table: str, schema, partition: str | None = None) -> None:
+    """Create a parquet table (history, rejects, summaries) if absent."""
     db = _database_of(table)
     if db:
         ensure_database(spark, db)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(table)} (\n  {_ddl_columns(schema)}\n) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(table)} (\n  {_ddl_columns(schema)}\n) USING parquet" + (f" PARTITIONED BY ({partition})" if partition else ""))
 
 
 def history_table_for(table: str) -> str:
@@ -180,14 +180,15 @@ def write_table(
 
 
 def record_run(spark: SparkSession, result: WriteResult, rows_rejected: int | None) -> None:
-    """Append one ``run_history`` row for a committed write."""
+    """Append one ``run_history`` row for a committed write; the history is partitioned by table."""
     hist = history_table_for(result.table)
-    ensure_side_table(spark, hist, RUN_HISTORY)
+    ensure_side_table(spark, hist, RUN_HISTORY, "`table`")
     name = canonical_name(spark, result.table)
     # An aware time: the instant is the same whatever zone the driver or the session is in.
     now = _dt.datetime.now(_dt.timezone.utc)
     row = [(result.run_id, now, name, result.mode, result.rows_written, rows_rejected)]
-    _insert(spark.createDataFrame(row, RUN_HISTORY), hist, overwrite=False)
+    history = spark.table(_quoted(hist)).columns
+    _insert(spark.createDataFrame(row, RUN_HISTORY).select(*[F.col(f"`{c}`") for c in history]), hist, overwrite=False)
 
 
 def write_rejects(rejects: DataFrame, table: str, run_id: str) -> int:

@@ -6,47 +6,26 @@ before (tracked in the stream's checkpoint), and ``foreachBatch`` runs the
 same parse -> reject split -> map -> append as a batch load.
 
 A micro-batch that is re-run after a failure carries the same ``run_id``
-(stream id + batch id); a batch whose run is already in the table's history is
-skipped. The history row follows the data: a failure between the two leaves
-an append that the retry repeats, so delivery is at least once (parquet has no
-transaction over both).
+(stream id + batch id), so that it is loaded once wherever the failure was
+(see ``staylake.sinks.commit``).
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from staylake.operators.rejects import reject_reason, split_rejects
-from staylake.plans.load import committed_run
-from staylake.plans.mapping import Lookups, map_bookings
+from staylake.plans.load import load_parsed
+from staylake.plans.mapping import Lookups
 from staylake.session import shared_dir
-from staylake.sinks.table import (
-    record_run,
-    rejects_table_for,
-    write_rejects,
-    write_table,
-)
 from staylake.sources.json_lines import parse_json_lines
 
 
 def append_batch(batch: DataFrame, lookups: Lookups, table: str, run_id: str, reject_table: str | None = None) -> None:
-    """Append one batch of parsed records; skips a batch already committed."""
-    spark = batch.sparkSession
-    if committed_run(spark, table, run_id) is not None:
-        return
-    seen = Observation(f"batch_{uuid.uuid4().hex[:8]}")
-    counted = batch.observe(seen, F.count_if(reject_reason(batch).isNotNull()).alias("rows_rejected"))
-    good, _ = split_rejects(counted)
-    written = write_table(map_bookings(good, lookups), table, "append", history=False, run_id=run_id)
-    rejected = 0
-    if int(seen.get["rows_rejected"]):
-        _, rejects = split_rejects(batch)
-        rejected = write_rejects(rejects, reject_table or rejects_table_for(table), run_id)
-    record_run(spark, written, rejected)
+    """Append one batch of parsed records, once however often it is run."""
+    load_parsed(batch, lookups, table, "append", run_id, reject_table)
 
 
 def start_incremental_load(
