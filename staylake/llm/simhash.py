@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staylake.llm.common import bounded_blocks, cut, segments, spanning_links
+from staylake.llm.common import BROADCAST_IDS, bounded_blocks, cut, segments, spanning_links
 from staylake.llm.components import connected_components
+from staylake.session import scratch_path
 
 #: Full-width reference fingerprints, and those of each block (so many that few
 #: different patterns of a block have the same distances to all).
@@ -178,7 +179,7 @@ def fingerprint_groups(fps: DataFrame, max_bits: int = 4, spare: int = SPARE) ->
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4, spare: int = SPARE
 ) -> DataFrame:
     """``doc_id, fp, component_id``: one row for each row of ``docs``.
 
@@ -188,30 +189,45 @@ def near_duplicates(
     null id take part; a group of them alone has a null component. Repeated
     rows each get a row. Only ids and fingerprints are shuffled; equal
     fingerprints are collapsed before the search. Columns other than the id
-    and the text are not read.
+    and the text are not read. ``spare`` blocks make a key (see ``SPARE``).
     """
     marked = cut(with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")), "t", shingle).drop("t"))
     fps = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    groups = fingerprint_groups(fps, max_bits)
+    groups = fingerprint_groups(fps, max_bits, spare)
     low = fps.join(groups, "fp").groupBy("root").agg(F.min("low").alias("component_id"))
     known = cut(groups.join(low, "root").select("fp", "component_id"))
     return marked.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4, spare: int = SPARE
+) -> DataFrame:
     """The rows of ``docs`` that are left when one document of each group stays.
 
     The row of the smallest id stays (rows without an id come last); among
-    rows with that id, the smallest by their other columns. The columns are
-    those of ``docs``. Only the surviving ids' rows are shuffled with texts.
+    rows with that id and fingerprint, the smallest by their columns as JSON.
+    The columns are those of ``docs``, of any type that Parquet holds. Rows
+    and fingerprints are written once to the shared folder; what is dropped
+    is told by id and fingerprint, broadcast up to ``BROADCAST_IDS`` bytes.
+    Only rows that share both id and fingerprint are shuffled with texts.
     """
-    ids = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("t"))
-    marked = cut(with_fingerprints(ids, "t", shingle, "fp").drop("t"))
-    order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("fp"))
+    path = scratch_path(docs.sparkSession, "simhash_rows")
+    full = with_fingerprints(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), f"row.`{text}`", shingle)
+    full.select("row", F.col(f"row.`{doc_id}`").alias("id"), "fp").write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
+    marked = cut(rows.groupBy("id", "fp").agg(F.count("*").alias("n")))
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("fp"))
     fps = cut(marked.groupBy("fp").agg(F.min(order).alias("low")))
-    best = fps.join(fingerprint_groups(fps, max_bits), "fp").groupBy("root").agg(F.min("low").alias("low"))
-    best = cut(best.select(F.col("low.id").alias("_keep_id"), F.col("low.fp").alias("_keep_fp")))
-    cols = docs.columns
-    full = with_fingerprints(docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row")), f"row.`{text}`", shingle, "_fp")
-    kept = full.join(best, F.col(f"row.`{doc_id}`").eqNullSafe(F.col("_keep_id")) & (F.col("_fp") == F.col("_keep_fp")))
-    return kept.groupBy("_fp").agg(F.min("row").alias("row")).select("row.*")
+    best = fps.join(fingerprint_groups(fps, max_bits, spare), "fp").groupBy("root").agg(F.min("low").alias("low"))
+    best = best.select(F.col("low.id").alias("keep_id"), F.col("low.fp").alias("keep_fp"))
+    stays = marked.join(best, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("fp") == F.col("keep_fp")), "left")
+    # Pairs of id and fingerprint that go, and those that several rows have.
+    drop = cut(stays.where("keep_fp is null or n > 1").select(F.col("id").alias("out_id"), F.col("fp").alias("out_fp"), F.col("keep_fp").isNotNull().alias("several")))
+    size, several = drop.agg(F.sum(F.coalesce(F.octet_length(F.col("out_id").cast("string")), F.lit(0)) + 24), F.max("several")).first()
+    drop = drop.hint("broadcast" if (size or 0) <= BROADCAST_IDS else "shuffle_hash")
+    same = F.col("id").eqNullSafe(F.col("out_id")) & (F.col("fp") == F.col("out_fp"))
+    kept = rows.join(drop, same, "left_anti").select("row")
+    if several:
+        one = rows.join(drop.where("several"), same, "left_semi").groupBy("id", "fp").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        kept = kept.unionByName(one.select("row"))
+    return kept.select("row.*")

@@ -5,6 +5,7 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
+from staylake.llm import queries as Q
 from staylake.llm.simhash import block_keys, fingerprint, fingerprint_groups, keep_one, near_duplicates
 
 from tests.conftest import SF_SMALL
@@ -98,3 +99,19 @@ def test_edges(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 4, 5, 6, 8, 9, None]
     assert near_duplicates(no_documents(spark)).count() == keep_one(no_documents(spark)).count() == 0
     assert docs.select(F.max("fp")).first()[0] == 0
+
+
+def test_columns_of_any_type_and_longer_keys(spark):
+    docs = edge_documents(spark).withColumn("m", F.create_map(F.lit("a"), F.col("doc_id"))).withColumn("list", F.array(F.struct("lang")))
+    for spare in (2, 3):
+        kept = keep_one(docs, spare=spare)
+        assert kept.schema == docs.schema or kept.columns == docs.columns
+        assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 4, 5, 6, 8, 9, None]
+        comp = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, spare=spare).collect()}
+        assert comp[3] == 1 and comp[7] == 6 and comp[8] == 8
+
+
+def test_query_columns(spark):
+    rows = Q.op2_simhash_near_dedup(spark, SF_SMALL).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    assert {r["doc_id"]: r["fingerprint"] for r in rows} == {i: f"{slow_fingerprint(t, 4):016x}" for i, t in texts.items()}
