@@ -11,9 +11,10 @@ null gives null, like ``dict.get(k, default)`` does.
 
 Broadcasting is decided from the lookup's size, checked once: a lookup up to
 ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` (estimated from its
-JSON text) is broadcast, so the big side is never shuffled; a larger one is
-left to a shuffle join, where AQE can split a hot key on the preserved left
-side. A lookup that passes is materialised once as a local relation (via
+JSON text) is broadcast, so the big side is never shuffled. Of a larger one
+only the rows of the input's most frequent keys are broadcast, found by a
+bounded sketch; all other keys meet in a shuffle join, where no key is left
+that could fill a task. A lookup that passes is materialised once as a local relation (via
 Arrow): a broadcast gathers the small side on the driver anyway, and this way
 every later query broadcasts it without re-running the jobs that built it.
 """
@@ -30,6 +31,10 @@ from staylake.errors import LookupKeyError
 
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Keys that may be frequent, and keys that the sketch follows to find them.
+HOT_KEYS, SKETCHED_KEYS = 256, 10_000
+#: Places over which rows without a partner are dealt.
+SPREAD = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -76,6 +81,44 @@ def _as_checked(mapping: DataFrame | CheckedLookup, key: str, max_broadcast_rows
     return check_lookup(mapping, key, max_broadcast_rows)
 
 
+def frequent_keys(df: DataFrame, key: Column, most: int = HOT_KEYS, sketched: int = SKETCHED_KEYS) -> list:
+    """Keys of ``df`` that hold more rows than half a shuffle partition has on average (up to ``most``).
+
+    A sketch of ``sketched`` keys per task counts them; a key with a share of
+    more than a few of ``sketched`` is never missed.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(key.alias("k")).where("k is not null")
+    got = rows.agg(F.count("*").alias("n"), F.expr(f"approx_top_k(k, {most}, {sketched})").alias("top")).first()
+    return [r["item"] for r in got["top"] or [] if 2 * partitions * r["count"] >= got["n"]]
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+
+
+def join_large_lookup(df: DataFrame, key: Column, right: DataFrame, names: tuple[str, str, str]) -> DataFrame:
+    """Left join of a lookup beyond the broadcast bound (columns ``names``: key, value, hit), whatever the keys' skew.
+
+    The lookup's rows of frequent keys are broadcast (at most ``HOT_KEYS``).
+    Rows that found theirs, and rows with a null key, have no partner in the
+    shuffle join that follows; they are dealt by their content.
+    """
+    k, v, hit = names
+    hot = frequent_keys(df, key)
+    some = F.broadcast(right.where(F.col(k).isin(hot)).select(*[F.col(c).alias(f"{c}_hot") for c in names]))
+    found = df.join(some, key == F.col(f"{k}_hot"), "left")
+    left, place = f"{k}_left", f"{k}_place"
+    found = found.withColumn(left, F.when(F.col(f"{hit}_hot").isNull(), key))
+    alone = F.pmod(F.xxhash64(F.lit(0), *_hashable(df)), F.lit(SPREAD)) + 1
+    found = found.withColumn(place, F.when(F.col(left).isNull(), alone).otherwise(F.lit(0).cast("long")))
+    # 0 as well, but no constant, which would not be a join key.
+    rest = right.withColumn(f"{place}_r", F.pmod(F.xxhash64(k), F.lit(1).cast("long")))
+    out = found.join(rest, (F.col(left) == F.col(k)) & (F.col(place) == F.col(f"{place}_r")), "left")
+    both = [F.when(F.col(f"{hit}_hot"), F.col(f"{c}_hot")).otherwise(F.col(c)).alias(c) for c in names]
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], *both)
+
+
 def join_lookup(
     df: DataFrame,
     key: Column,
@@ -88,14 +131,18 @@ def join_lookup(
 
     ``hit`` is true where the key was found, null elsewhere; callers combine
     ``value`` and ``hit`` into their output column in one later projection.
+    With a lookup beyond the broadcast bound, the keys of ``df`` are sketched
+    by a job first.
     """
     checked = _as_checked(mapping, key_col, max_broadcast_rows)
     tag = uuid.uuid4().hex[:8]
     k, v, hit = f"__lk_{tag}_k", f"__lk_{tag}_v", f"__lk_{tag}_hit"
     right = checked.frame.select(F.col(key_col).alias(k), F.col(value_col).alias(v), F.lit(True).alias(hit))
     if checked.broadcast:
-        right = F.broadcast(right)
-    return df.join(right, key == F.col(k), "left"), F.col(v), F.col(hit)
+        joined = df.join(F.broadcast(right), key == F.col(k), "left")
+    else:
+        joined = join_large_lookup(df, key, right, (k, v, hit))
+    return joined, F.col(v), F.col(hit)
 
 
 def lookup(

@@ -83,6 +83,10 @@ RUN_HISTORY = StructType(
     ]
 )
 
+# Bookings of a run by these columns; sums of such rows are the table's breakdowns.
+SUMMARY_KEYS = ("region", "status", "device", "country_code")
+SUMMARY = StructType([*[_s(k) for k in SUMMARY_KEYS], StructField("bookings", LongType(), True), _s("run_id")])
+
 MAPPING = StructType([_s("key"), _s("value")])
 
 # Quotes as the rate service returns them: 1 USD buys `usd_to_ccy` units.

@@ -4,7 +4,8 @@ One job writes the good and the rejected rows of a run into a staging folder of
 its own below the table (names with ``_`` in front are no table data), in the
 table's partition layout, the flag in front. A small file of counts, written
 next, says that the staging is whole. Only then are files moved into the
-bookings and the rejects table, and last the run is recorded in the history.
+bookings and the rejects table, the run's counts into the table's summaries,
+and last the run is recorded in the history.
 
 Whatever fails on the way, the same run id started again ends in the same
 state: without the counts the staging is written anew, with them the rest of
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from staylake.errors import LoadMismatch
-from staylake.schemas import BOOKINGS_TABLE, PARTITION_COLUMNS, REJECT_TABLE
-from staylake.sinks.table import _aqe_on, _quoted, ensure_side_table, ensure_table
+from staylake.schemas import BOOKINGS_TABLE, PARTITION_COLUMNS, REJECT_TABLE, SUMMARY, SUMMARY_KEYS
+from staylake.sinks.table import _aqe_on, _quoted, ensure_side_table, ensure_table, summaries_table_for
 
 KIND = "load_kind"
 GOOD, BAD = "good", "bad"
@@ -115,6 +116,10 @@ def stage(rows: DataFrame, path: str, read: Observation, recount) -> Staged:
         if seen != good + bad:
             raise LoadMismatch(f"{seen} records read, {good} booked and {bad} rejected; nothing was loaded")
     names = _Files(spark, path).data_files(f"{path}/data")
+    if good:
+        booked = spark.read.schema(BOOKINGS_TABLE).option("basePath", f"{path}/data/{KIND}={GOOD}").parquet(f"{path}/data/{KIND}={GOOD}")
+        counts = booked.groupBy(*SUMMARY_KEYS).agg(F.count(F.lit(1)).alias("bookings"))
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/summary")
     found = re.search(r"part-\d+-([0-9a-f-]{36})", names[0].rsplit("/", 1)[-1]) if names else None
     done = Staged(seen, good, bad, found[1] if found else None)
     spark.createDataFrame([(json.dumps(asdict(done)),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/counts")
@@ -166,9 +171,21 @@ def commit(spark: SparkSession, path: str, staged: Staged, table: str, mode: str
         spark.catalog.refreshTable(_quoted(reject_table))
 
 
-def staged_columns() -> list[str]:
-    """Columns of staged rows besides ``KIND``: a file serves either table, which read theirs by name."""
-    return [*BOOKINGS_TABLE.fieldNames(), *REJECT_TABLE.fieldNames()]
+def commit_summary(spark: SparkSession, path: str, table: str, mode: str, run_id: str) -> None:
+    """Move a run's counts into the table's summaries, one partition a run; an overwrite drops the others."""
+    summaries = summaries_table_for(table)
+    ensure_side_table(spark, summaries, SUMMARY, "run_id")
+    location = table_location(spark, summaries)
+    files = _Files(spark, location)
+    place = f"run_id={files.jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)}"
+    if mode == "overwrite":
+        for child in filter(_visible, files.children(location)):
+            if child.rsplit("/", 1)[-1] != place:
+                files.delete(child)
+    if files.exists(f"{path}/summary") and not files.exists(f"{location}/{place}"):
+        files.move(f"{path}/summary", f"{location}/{place}")
+    spark.sql(f"MSCK REPAIR TABLE {_quoted(summaries)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(_quoted(summaries))
 
 
 def load_once(
@@ -179,6 +196,7 @@ def load_once(
     path = staging_path(spark, table, run_id)
     staged = _staged(spark, path) or stage(rows(), path, read, recount)
     commit(spark, path, staged, table, mode, reject_table)
+    commit_summary(spark, path, table, mode, run_id)
     return staged
 
 

@@ -100,6 +100,10 @@ def history_table_for(table: str) -> str:
     return f"{db}.run_history" if db else "run_history"
 
 
+def summaries_table_for(table: str) -> str:
+    return f"{table}_summaries"
+
+
 def rejects_table_for(table: str) -> str:
     return f"{table}_rejects"
 
