@@ -56,7 +56,7 @@ def marked(rows: DataFrame, column: str, ids: DataFrame, mark: str, most: int =
 
 def words_of(text) -> "F.Column":
     """Array of words of a text column; null and blank texts have none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
 def bounded_blocks(rows: DataFrame, key: list[str], item: str, limit: int) -> DataFrame:

@@ -12,13 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylake.llm.common import words_of
+from staylake.llm.common import fresh, marked, words_of
 from staylake.session import scratch_path
 
-#: Least number of cells of the hash, and bytes of text per cell beyond it: the cells grow with the corpus.
-BUCKETS, BYTES_PER_CELL = 10_000, 256
-#: Slots of the most frequent cells, whose ratios are in the plan; all others are joined.
-SLOTS = 1 << 14
+#: Least number of cells of the hash, and cells for each cube root of the bytes of text: the cells grow with the corpus.
+BUCKETS, CELLS_PER_ROOT = 10_000, 340
+#: Cells in a block when the ratios are put together.
+BLOCK = 4096
 #: Added to the count of each cell of both multinomials.
 SMOOTH = 1.0
 #: Lowest mean log ratio (nats per n-gram) of a kept document: on average its n-grams may
@@ -39,8 +39,14 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _repeat_words(hashes: Column) -> Column:
-    """Words of a text (by the array of their hashes) that lie in a window found twice or more."""
+def _pairs(hashes: Column) -> Column:
+    """Hash of each word and the next one, from the hashes of a text's words."""
+    firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0)))
+    return F.transform(firsts, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1)))
+
+
+def _repeat_words(hashes: Column, pairs: Column) -> Column:
+    """Words of a text (by the hashes of its words and pairs) that lie in a window found twice or more."""
 
     def covered(windows: Column) -> Column:
         # Sorted by hash and place, a window that is found again is next to its like.
@@ -58,8 +64,9 @@ def _repeat_words(hashes: Column) -> Column:
         )
 
     none = F.lit(0).cast("long")
-    firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - WINDOW + 1, F.lit(0)))
-    windows = F.transform(firsts, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, WINDOW)]))
+    # A window of five is two pairs and a word.
+    firsts = F.slice(pairs, F.lit(1), F.greatest(F.size(hashes) - WINDOW + 1, F.lit(0)))
+    windows = F.transform(firsts, lambda p, i: F.xxhash64(p, F.get(pairs, i + 2), F.get(hashes, i + 4)))
     count = _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), none).otherwise(covered(w)))
     return F.when(F.size(hashes) > WINDOW, count).otherwise(none)
 
@@ -70,8 +77,8 @@ def base_stats(docs: DataFrame, text: str = "text", model: "RatioModel | None" =
     Everything is computed within the row, without a shuffle; the text is cut
     into words once. A null text has no words. Words that lie in several
     repeated windows count once. With a model also ``log_ratio``, the mean log
-    ratio of the text's n-grams (0 without words); the ratios of cells that the
-    model does not hold in the plan are joined, and summed by text (its hash).
+    ratio of the text's n-grams (0 without words). Columns of these names are
+    replaced, all others pass through.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -81,82 +88,47 @@ def base_stats(docs: DataFrame, text: str = "text", model: "RatioModel | None" =
         "n_dup_lines": _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
     }
 
-    def of_words(h: Column) -> Column:
-        found = {"n_words": F.size(h).cast("long"), **columns, "n_repeat_words": _repeat_words(h)}
+    def of_words(x: Column) -> Column:
+        h, pairs = x["h"], x["pairs"]
+        found = {"n_words": F.size(h).cast("long"), **columns, "n_repeat_words": _repeat_words(h, pairs)}
         if model:
-            found["_ratio_near"] = model.near(h)
+            found["log_ratio"] = model.mean(h, pairs, x["ratios"] if names else None)
         return F.struct(*[c.alias(name) for name, c in found.items()])
 
+    given, names = [], []
+    out = docs.drop("n_words", *columns, "n_repeat_words", "log_ratio", "base_failed")
+    kept, ratios, stats = out.columns, fresh(out, "ratios"), fresh(out, "stats")
+    if model and model.ratios is not None:
+        # Used once, in the next projection, into which the optimizer moves it: no row holds the array.
+        out = out.withColumn(ratios, model.ratios.scalar())
+        given, names = [F.col(ratios).alias("ratios")], ["ratios"]
     # The output of a generator: a filter on it stays above, so nothing is computed twice.
-    names = ["n_words", *columns, "n_repeat_words", "log_ratio", "base_failed"]
-    stats = _let(_hashes(words_of(F.col(text))), of_words)
-    out = docs.drop(*names)
-    if model:
-        out = out.withColumn("_ratio_key", F.xxhash64(F.col(text)))
-    out = out.select("*", F.inline(F.array(stats)))
-    if model:
-        grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-        mean = (F.col("_ratio_near") + F.coalesce("_ratio_far", F.lit(0.0))) / grams
-        out = out.join(model.far(docs, text), "_ratio_key", "left").withColumn("log_ratio", mean)
-        out = out.drop("_ratio_key", "_ratio_near", "_ratio_far")
+    own = [F.col(f"`{c}`") for c in kept]
+    hashed = lambda x: _let(F.struct(x["h"].alias("h"), _pairs(x["h"]).alias("pairs"), *[x[g].alias(g) for g in names]), of_words)
+    words = F.struct(_hashes(words_of(F.col(text))).alias("h"), *given)
+    out = out.select(*own, _let(words, hashed).alias(stats)).select(*own, F.inline(F.array(stats)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
 
-def gram_buckets(hashes: Column, buckets: int) -> Column:
-    """Array of the cells of a text's words and pairs of neighbouring words, from the hashes of its words."""
-    cell = lambda h: F.pmod(h, F.lit(buckets)).cast("long")
-    firsts = F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0)))
-    pairs = F.transform(firsts, lambda h, i: cell(F.xxhash64(h, F.get(hashes, i + 1))))
-    return F.concat(F.transform(hashes, lambda h: cell(h)), pairs)
-
-
-def _constant(values, kind: str) -> Column:
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+def gram_buckets(hashes: Column, pairs: Column, buckets: int) -> Column:
+    """Array of the cells of a text's words and pairs of neighbouring words, from their hashes."""
+    return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(buckets).cast("long")).cast("int"))
 
 
 @dataclass(frozen=True)
 class RatioModel:
-    """Log ratio of each cell, trusted against raw: ``table`` (``cell, ratio``), none if all are 0.
-
-    Each slot holds the most frequent of the cells that fall into it.
-    """
+    """Log ratio of each cell, trusted against raw: ``ratios``, a row with one array by cell (None if all are 0)."""
 
     buckets: int
-    table: DataFrame | None
-    cells: tuple[int, ...] = ()
-    ratios: tuple[float, ...] = ()
-
-    def _slot(self, cell: Column) -> Column:
-        return F.pmod(cell, F.lit(SLOTS)).cast("int") + 1
+    ratios: DataFrame | None
 
-    def near(self, hashes: Column) -> Column:
-        """Sum of the ratios of a text's n-grams whose cells have a slot, from the hashes of its words."""
-        if self.table is None:
+    def mean(self, hashes: Column, pairs: Column, ratios: Column | None) -> Column:
+        """Mean ratio of a text's n-grams, from the hashes of its words and pairs."""
+        if self.ratios is None:
             return F.lit(0.0)
-        cells, ratios = _constant(self.cells, "long"), _constant(self.ratios, "double")
-
-        def one(c: Column) -> Column:
-            return F.when(F.element_at(cells, self._slot(c)) == c, F.element_at(ratios, self._slot(c))).otherwise(F.lit(0.0))
-
-        return F.aggregate(gram_buckets(hashes, self.buckets), F.lit(0.0), lambda a, c: a + one(c))
-
-    def far(self, docs: DataFrame, text: str) -> DataFrame:
-        """``_ratio_key, _ratio_far``: the sum over all other n-grams, of each text."""
-        key = F.xxhash64(F.col(text)).alias("_ratio_key")
-        if self.table is None:
-            return docs.sparkSession.createDataFrame([], "_ratio_key long, _ratio_far double")
-        held = _constant(self.cells, "long")
-        rest = F.filter(
-            _let(_hashes(words_of(F.col(text))), lambda h: gram_buckets(h, self.buckets)),
-            lambda c: F.element_at(held, self._slot(c)) != c,
-        )
-        # A mark for each document, below all cells and spread like them, counts the copies of a text.
-        mark = -1 - F.pmod(F.xxhash64(F.xxhash64(F.col(text))), F.lit(self.buckets))
-        grams = docs.select(key, F.explode(F.concat(rest, F.array(mark.cast("long")))).alias("cell"))
-        ratio = F.coalesce(F.col("ratio"), F.lit(0.0))
-        total, copies = F.sum(ratio), F.count(F.when(F.col("cell") < 0, 1))
-        return grams.join(self.table.hint("merge"), "cell", "left").groupBy("_ratio_key").agg((total / copies).alias("_ratio_far"))
+        total = F.aggregate(gram_buckets(hashes, pairs, self.buckets), F.lit(0.0), lambda a, c: a + F.get(ratios, c))
+        return total / F.greatest(2 * F.size(hashes) - 1, F.lit(1))
 
 
 def fit_ratio(
@@ -164,31 +136,32 @@ def fit_ratio(
 ) -> RatioModel:
     """Both multinomials over all of ``docs``; ``trusted`` names the trusted ids (column ``doc_id``).
 
-    Every n-gram of every document is counted, on the executors, in a cell
-    for each ``BYTES_PER_CELL`` bytes of text (at least ``BUCKETS``) unless
-    ``buckets`` are given. The ratios are a table; only the sums and one cell
-    of each slot reach the driver. Without a trusted document all ratios are
-    0. Null ids are never trusted, repeats in ``trusted`` do not count twice.
+    Every n-gram of every document is counted, on the executors; the cells
+    are ``CELLS_PER_ROOT`` for each cube root of the bytes of text (at
+    least ``BUCKETS``) unless ``buckets`` are given, so the array of ratios
+    that all tasks get is 10 MB for 50 GB of text, 130 MB for 100 TB. Without a trusted document
+    all ratios are 0. Null ids are never trusted, repeats in ``trusted`` do
+    not count twice.
     """
-    ids = trusted.select(F.col(doc_id).alias("_id")).where("_id is not null").distinct().withColumn("_t", F.lit(1))
+    spark = docs.sparkSession
     own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     if buckets is None:
-        buckets = max(BUCKETS, (own.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // BYTES_PER_CELL)
-    cells = _let(_hashes(words_of(F.col("_text"))), lambda h: gram_buckets(h, buckets))
-    grams = own.join(ids.hint("shuffle_hash"), "_id", "left").select("_t", F.explode(cells).alias("cell"))
-    path = scratch_path(docs.sparkSession, "quality_cells")
+        buckets = max(BUCKETS, int(CELLS_PER_ROOT * math.cbrt(own.agg(F.sum(F.octet_length("_text"))).first()[0] or 0)))
+    cells = _let(_hashes(words_of(F.col("_text"))), lambda h: gram_buckets(h, _pairs(h), buckets))
+    grams = marked(own, "_id", trusted.select(doc_id), "_t").select("_t", F.explode(cells).alias("cell"))
+    path = scratch_path(spark, "quality_cells")
     grams.groupBy("cell").agg(F.count("*").alias("raw"), F.count("_t").alias("good")).write.parquet(path)
-    counts = docs.sparkSession.read.parquet(path)
+    counts = spark.read.parquet(path)
     raw, good = counts.agg(F.sum("raw"), F.sum("good")).first()
     if not good:
         return RatioModel(buckets, None)
     base = math.log(raw + SMOOTH * buckets) - math.log(good + SMOOTH * buckets)
-    ratio = F.log(F.col("good") + SMOOTH) - F.log(F.col("raw") + SMOOTH) + F.lit(base)
-    table = counts.select("cell", ratio.alias("ratio"), "raw")
-    top = table.groupBy(F.pmod("cell", F.lit(SLOTS)).alias("slot")).agg(F.max(F.struct("raw", "cell", "ratio")).alias("top"))
-    held = {r.slot: (r.top.cell, r.top.ratio) for r in top.collect()}
-    first, second = zip(*[held.get(k, (-1, 0.0)) for k in range(SLOTS)])
-    return RatioModel(buckets, table.drop("raw"), first, second)
+    none = F.lit(0).cast("long")
+    ratio = F.log(F.coalesce("good", none) + SMOOTH) - F.log(F.coalesce("raw", none) + SMOOTH) + F.lit(base)
+    every = spark.range(buckets).select(F.col("id").alias("cell")).join(counts, "cell", "left")
+    by_cell = F.sort_array(F.collect_list(F.struct("cell", ratio.alias("ratio"))))
+    blocks = every.groupBy(F.floor(F.col("cell") / BLOCK).alias("block")).agg(by_cell["ratio"].alias("part"))
+    return RatioModel(buckets, blocks.agg(F.flatten(F.sort_array(F.collect_list(F.struct("block", "part")))["part"]).alias("ratios")))
 
 
 def quality_rules(
