@@ -164,6 +164,31 @@ ORACLE: dict[str, str] = {
     "json_array_scan": MAPPED,
     "json_array_lines_scan": MAPPED,
     "json_array_rewrite": MAPPED,
+    "json_line_hazards": f"""
+        SELECT CASE WHEN id % 11 = 3 THEN NULL ELSE cast(id AS VARCHAR) END AS id,
+               CASE WHEN id % 11 IN (0, 1, 3, 4) THEN 'malformed_json' ELSE 'booked' END AS outcome,
+               sum(CASE WHEN id % 11 = 2 THEN 2 ELSE 1 END)::BIGINT AS records
+        FROM ({FLAT}) GROUP BY 1, 2""",
+    "json_array_broken": """
+        SELECT cast(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 13 < 2 THEN 'malformed_json' ELSE 'booked' END AS outcome,
+               count(*) AS records
+        FROM orders GROUP BY 1, 2""",
+    "number_rewrite": """
+        WITH o AS (SELECT o_orderkey + 1 AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders)
+        SELECT concat('{"id":', k, ',"a":', c // 100,
+                      CASE WHEN c % 100 = 0 THEN '' WHEN c % 10 = 0 THEN concat('.', c % 100 // 10) ELSE concat('.', lpad(cast(c % 100 AS VARCHAR), 2, '0')) END,
+                      ',"b":', k, '000,"c":', k * 10 + 5, ',"d":"', k, '.50 ","e":', k, repeat('7', 40), ',"f":0}') AS value
+        FROM o""",
+    "schema_drift": """
+        SELECT 'channel' AS path, CAST(NULL AS VARCHAR) AS expected, 'STRING' AS found, count(*) AS records FROM orders WHERE o_orderkey % 7 = 0
+        UNION ALL SELECT 'label', 'SCALAR', 'OBJECT', count(*) FROM orders WHERE o_orderkey % 11 = 0
+        UNION ALL SELECT 'booker', 'OBJECT', 'BIGINT', count(*) FROM orders WHERE o_orderkey % 13 = 0""",
+    "large_lookup": """
+        WITH o AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 <> 0 THEN '1' WHEN o_orderkey % 3 = 0 THEN concat('x', o_custkey)
+                     WHEN o_orderkey % 7 <> 0 THEN cast(o_custkey AS VARCHAR) END AS code FROM orders)
+        SELECT o.id, o.code, CASE WHEN c_custkey IS NULL THEN o.code ELSE c_mktsegment END AS kept,
+               CASE WHEN c_custkey IS NULL THEN 'none' ELSE c_mktsegment END AS segment
+        FROM o LEFT JOIN customer ON o.code = cast(c_custkey AS VARCHAR)""",
     "mapping_load": f"SELECT k AS key, region AS value FROM ({REGIONS})",
     "lookups_from_files": MAPPED,
     "events_props": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
@@ -175,6 +200,21 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'append', ok, bad FROM c""",
     "load_table": f"SELECT * FROM ({TABLE}) WHERE CAST(transaction_id AS BIGINT) % 37 <> 0",
     "incremental_append": TABLE,
+    "load_retried": f"SELECT * FROM ({TABLE}) WHERE CAST(transaction_id AS BIGINT) % 37 <> 0",
+    "stream_duplicates": TABLE,
+    "audit_incremental": f"""
+        WITH b AS (SELECT * FROM ({MAPPED}) WHERE CAST(transaction_id AS BIGINT) % 37 <> 0)
+        SELECT 'row_count' AS "check", CAST(NULL AS VARCHAR) AS key, 3 * count(*) AS n FROM b
+        UNION ALL SELECT 'by_region', region, 3 * count(*) FROM b GROUP BY region
+        UNION ALL SELECT 'by_status', status, 3 * count(*) FROM b GROUP BY status
+        UNION ALL SELECT 'by_device', device, 3 * count(*) FROM b GROUP BY device
+        UNION ALL SELECT 'by_country_code', country_code, 3 * count(*) FROM b GROUP BY country_code""",
+    "refused_mode": f"SELECT unnest(['merge', '', 'APPEND']) AS mode, cnt FROM (SELECT count(*) AS cnt FROM ({MAPPED}))",
+    "sanity_table": "SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name FROM region",
+    "wanted_scan": f"""
+        SELECT t.* FROM ({TABLE}) t
+        WHERE year(check_in_month) = (SELECT year(min(o_orderdate)) FROM orders)
+          AND region IN (SELECT r_name FROM region WHERE r_regionkey % 2 = 0)""",
     "pruned_scan": f"""
         SELECT * FROM ({TABLE})
         WHERE check_in_date BETWEEN DATE '1995-03-15' AND DATE '1996-08-31'

@@ -14,15 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from staylake.errors import UnsupportedWriteMode
 from staylake.functions.fields import country_code, date_only, prefixed_id, safe_path
 from staylake.functions.labels import attribution, device_name, label_part
 from staylake.operators.audit import audit, breakdown_by, describe_table, row_count, sample_rows
+from staylake.operators.drift import drift_profile
+from staylake.operators.lookups import check_lookup, lookup_or_default, lookup_or_keep
 from staylake.operators.rates import all_usd_rates, convert_amount, missing_rates, usd_rates, wanted_currencies
-from staylake.operators.rejects import split_rejects
+from staylake.operators.rejects import recovered_id, reject_reason, split_rejects
+from staylake.operators.summaries import audit_counts
 from staylake.plans.load import run_load
 from staylake.plans.mapping import Lookups, load_lookups, map_bookings, transform_sample
+from staylake.schemas import SUMMARY_KEYS
 from staylake.session import application_id, scratch_path
-from staylake.sinks.table import ensure_database, scan_bookings, table_history, write_table
+from staylake.sinks.table import ensure_database, scan_bookings, scan_wanted, table_history, write_table
 from staylake.sources import tpch_bookings as fx
 from staylake.sources.json_arrays import read_json_array, rewrite_json_arrays
 from staylake.sources.json_lines import read_json_lines
@@ -208,6 +213,81 @@ def json_array_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_bookings(good, fixture_lookups(spark, sf_dir))
 
 
+def json_line_hazards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with text after the record, arrays that close twice, several records: what becomes of each booking."""
+    docs, k, v = fx.booking_json_docs(spark, sf_dir), F.col("id") % 11, F.col("value")
+    line = (
+        F.when(k == 0, F.concat(v, F.lit("],["), v))
+        .when(k == 1, F.concat(v, F.lit("garbage")))
+        .when(k == 2, F.concat(F.lit("["), v, F.lit(" , "), v, F.lit("]")))
+        .when(k == 3, F.concat(F.lit("["), v, F.lit("]] "), v))
+        .when(k == 4, F.concat(v, F.lit(","), v))
+        .otherwise(v)
+    )
+    path = scratch_path(spark, "hazards")
+    docs.select(line.alias("value")).write.text(path)
+    return _outcomes(read_json_lines(spark, path))
+
+
+def _outcomes(parsed: DataFrame) -> DataFrame:
+    """Records by id and what becomes of them: ``booked``, or why not."""
+    outcome = F.coalesce(reject_reason(parsed), F.lit("booked"))
+    rows = parsed.select(recovered_id(parsed).alias("id"), outcome.alias("outcome"))
+    return rows.groupBy("id", "outcome").agg(F.count(F.lit(1)).alias("records"))
+
+
+def json_array_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files on one line: strings and records that are not closed, and arrays of objects inside records."""
+    k = F.col("o_orderkey")
+    start = F.concat(F.lit('{"id":'), k)
+    record = (
+        F.when(k % 13 == 0, F.concat(start, F.lit(',"label":"abc}')))
+        .when(k % 13 == 1, F.concat(start, F.lit(',"label":')))
+        .when(k % 13 == 2, F.concat(start, F.lit(',"rooms":[{"id":1},{"id":"},{"}],"status":"F"}')))
+        .otherwise(F.concat(start, F.lit(',"status":"F"}')))
+    )
+    docs = fx.table(spark, sf_dir, "orders").select(record.alias("value"))
+    buckets = max(1, -(-docs.count() // ARRAY_CHUNK))
+    chunks = docs.repartition(buckets).groupBy(F.spark_partition_id().alias("chunk")).agg(F.collect_list("value").alias("records"))
+    path = scratch_path(spark, "json_array_broken")
+    chunks.select("chunk", F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("value")).write.partitionBy("chunk").text(path)
+    return _outcomes(read_json_array(spark, path, layout="whole"))
+
+
+def number_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of every notation and length, as the rewrite of array files writes them."""
+    key, cents = (F.col("o_orderkey") + 1).cast("string"), F.round(F.col("o_totalprice") * 100).cast("long").cast("string")
+    parts = ['[{"id":', key, ', "a":', cents, 'e-2,"b": ', key, 'e3,"c":', key, '.50e1,"d":"', key, '.50 ","e":', key, "7" * 40 + '.000,"f":-0.0}]']
+    text = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    src, dst = scratch_path(spark, "numbers"), scratch_path(spark, "numbers_rewritten")
+    fx.table(spark, sf_dir, "orders").select(text.alias("value")).write.text(src)
+    rewrite_json_arrays(spark, src, dst, layout="lines")
+    return spark.read.text(dst)
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown and retyped fields planted in the bookings' records."""
+    k = F.col("o_orderkey")
+    parts = [
+        F.concat(F.lit('{"id":'), k),
+        F.when(k % 7 == 0, F.lit(',"channel":"web"')).otherwise(F.lit("")),
+        F.when(k % 11 == 0, F.lit(',"label":{"k":"a"}')).otherwise(F.lit(',"label":"k-a"')),
+        F.when(k % 13 == 0, F.lit(',"booker":5')).when(k % 13 == 1, F.lit(',"booker":{"address":{"city":"x"}}')).otherwise(F.lit("")),
+        F.lit("}"),
+    ]
+    return drift_profile(fx.table(spark, sf_dir, "orders").select(F.concat(*parts).alias("value")))
+
+
+def large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup beyond the broadcast bound, nine tenths of the rows with one key; unknown keys kept, or a default."""
+    k = F.col("o_orderkey")
+    code = F.when(k % 10 != 0, F.lit("1")).when(k % 3 == 0, F.concat(F.lit("x"), F.col("o_custkey"))).when(k % 7 != 0, F.col("o_custkey").cast("string"))
+    rows = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), code.alias("code"))
+    pairs = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"), F.col("c_mktsegment").alias("value"))
+    large = check_lookup(pairs, max_broadcast_rows=10)
+    return lookup_or_default(lookup_or_keep(rows, F.col("code"), large, "kept"), F.col("code"), large, "segment", "none")
+
+
 def mapping_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mappings")
     write_mapping(fx.region_mapping(spark, sf_dir), f"{path}/country_region.json")
@@ -298,6 +378,77 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def load_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run loaded twice, under its id: its rows are there once."""
+    table = f"{_database(spark, 'again')}.bookings"
+    src = scratch_path(spark, "retry_src")
+    fx.booking_json_lines(spark, sf_dir, corrupt_every=CORRUPT_EVERY).write.text(src)
+    for _ in range(2):
+        run_load(spark, src, fixture_lookups(spark, sf_dir), table, "append", run_id="2026-12-01")
+    return spark.table(table)
+
+
+def stream_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file delivered twice, under two names: each booking is booked once."""
+    from staylake.streaming.incremental import load_available
+
+    table = f"{_database(spark, 'twice')}.bookings"
+    src = scratch_path(spark, "twice_src")
+    lines = fx.booking_json_lines(spark, sf_dir)
+    lines.write.text(f"{src}/a")
+    lines.write.text(f"{src}/b")
+    ckpt = scratch_path(spark, "stream_ckpt")
+    load_available(
+        spark, f"{src}/*", fixture_lookups(spark, sf_dir), table, checkpoint_location=ckpt, max_files_per_trigger=1, duplicates_within="7 days"
+    )
+    return spark.table(table)
+
+
+def audit_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row count and breakdowns after overwrite, append, append, from the counts that the runs left."""
+    table = f"{_database(spark, 'counts')}.bookings"
+    src = scratch_path(spark, "counts_src")
+    fx.booking_json_lines(spark, sf_dir, corrupt_every=CORRUPT_EVERY).write.text(src)
+    for mode in ("append", "overwrite", "append", "append"):
+        run_load(spark, src, fixture_lookups(spark, sf_dir), table, mode)
+    checks = audit_counts(spark, table)
+    out = checks["row_count"].select(F.lit("row_count").alias("check"), F.lit(None).cast("string").alias("key"), F.col("cnt").alias("n"))
+    for c in SUMMARY_KEYS:
+        out = out.unionByName(checks[f"by_{c}"].select(F.lit(f"by_{c}").alias("check"), F.col(c).alias("key"), F.col("bookings").alias("n")))
+    return out
+
+
+def refused_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any other write mode is refused, and leaves the table as it was."""
+    table = bookings_table(spark, sf_dir)
+    refused = []
+    for mode in ("merge", "", "APPEND"):
+        try:
+            write_table(map_bookings_q(spark, sf_dir), table, mode)
+        except UnsupportedWriteMode:
+            refused.append(mode)
+    rows = row_count(spark.table(table))
+    return rows.select(F.explode(F.array(*[F.lit(m) for m in refused])).alias("mode"), F.col("cnt"))
+
+
+def sanity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog takes a database, a table, rows and a read."""
+    table = f"{_database(spark, 'sanity')}.regions"
+    fx.table(spark, sf_dir, "region").createOrReplaceTempView("sanity_regions")
+    spark.sql(f"CREATE TABLE {table} (r_regionkey BIGINT, r_name STRING) USING parquet")
+    spark.sql(f"INSERT INTO {table} SELECT r_regionkey, r_name FROM sanity_regions")
+    return spark.table(table)
+
+
+def wanted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings of the months of the orders' first year and the regions of even key, by dynamic partition pruning."""
+    first = fx.table(spark, sf_dir, "orders").agg(F.trunc(F.min(F.col("o_orderdate").cast("date")), "YEAR").alias("first"))
+    regions = fx.table(spark, sf_dir, "region").where("r_regionkey % 2 = 0")
+    wanted = regions.select(F.col("r_name").alias("region"), first.scalar().alias("first"))
+    wanted = wanted.select("region", F.explode(F.expr("sequence(first, add_months(first, 11), INTERVAL 1 MONTH)")).alias("check_in_month"))
+    return scan_wanted(spark, bookings_table(spark, sf_dir), wanted)
+
+
 def pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_bookings(spark, bookings_table(spark, sf_dir), SCAN_FROM, SCAN_TO, SCAN_REGIONS)
 
@@ -376,6 +527,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_array_scan": json_array_scan,
     "json_array_lines_scan": json_array_lines_scan,
     "json_array_rewrite": json_array_rewrite,
+    "json_line_hazards": json_line_hazards,
+    "json_array_broken": json_array_broken,
+    "number_rewrite": number_rewrite,
+    "schema_drift": schema_drift,
+    "large_lookup": large_lookup,
     "mapping_load": mapping_load,
     "lookups_from_files": lookups_from_files,
     "events_props": events_props,
@@ -384,6 +540,12 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_history": run_history,
     "load_table": load_table,
     "incremental_append": incremental_append,
+    "load_retried": load_retried,
+    "stream_duplicates": stream_duplicates,
+    "audit_incremental": audit_incremental,
+    "refused_mode": refused_mode,
+    "sanity_table": sanity_table,
+    "wanted_scan": wanted_scan,
     "pruned_scan": pruned_scan,
     "row_count": row_count_q,
     "breakdown_region": _breakdown("region"),

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from staylake.errors import LoadMismatch
 from staylake.schemas import BOOKINGS_TABLE, PARTITION_COLUMNS, REJECT_TABLE, SUMMARY, SUMMARY_KEYS
-from staylake.sinks.table import _aqe_on, _quoted, ensure_side_table, ensure_table, summaries_table_for
+from staylake.sinks.table import _aqe_on, _quoted, clustered, ensure_side_table, ensure_table, summaries_table_for
 
 KIND = "load_kind"
 GOOD, BAD = "good", "bad"
@@ -106,7 +106,7 @@ def stage(rows: DataFrame, path: str, read: Observation, recount) -> Staged:
     """
     spark = rows.sparkSession
     if _aqe_on(spark):
-        rows = rows.hint("rebalance", KIND, *PARTITION_COLUMNS)
+        rows = clustered(rows, KIND)
     obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
     kinds = {k: F.count_if(F.col(KIND) == k).alias(k) for k in (GOOD, BAD)}
     rows.observe(obs, *kinds.values()).write.mode("overwrite").partitionBy(KIND, *PARTITION_COLUMNS).parquet(f"{path}/data")

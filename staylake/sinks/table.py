@@ -144,6 +144,15 @@ def _insert(df: DataFrame, table: str, overwrite: bool) -> None:
         conf.set(key, before)
 
 
+def clustered(rows: DataFrame, *front: str) -> DataFrame:
+    """Rows dealt by partition value and sorted by check-in date within it.
+
+    The sort is one with the one that the writer needs, so that the row groups
+    of a file hold a range of dates each, and a scan of a few days skips the others.
+    """
+    return rows.hint("rebalance", *front, *PARTITION_COLUMNS).sortWithinPartitions(*front, *PARTITION_COLUMNS, "check_in_date")
+
+
 def write_table(
     df: DataFrame,
     table: str,
@@ -170,7 +179,7 @@ def write_table(
     if cluster is None:
         cluster = _aqe_on(spark)
     if cluster:
-        out = out.hint("rebalance", *PARTITION_COLUMNS)
+        out = clustered(out)
     # Counted in the writing tasks (after the exchange): Spark applies a
     # finishing task's metrics once, so the count stays exact when a lost
     # executor makes earlier stages run again.
@@ -234,3 +243,13 @@ def scan_bookings(
     if regions is not None:
         df = df.where(F.col("region").isin(list(regions)))
     return df
+
+
+def scan_wanted(spark: SparkSession, table: str, wanted: DataFrame) -> DataFrame:
+    """Bookings of the months and regions listed in ``wanted`` (``check_in_month, region``).
+
+    Only the partitions of the listed pairs' months and regions are read
+    (dynamic partition pruning); the list is broadcast if Spark finds it small.
+    """
+    pairs = wanted.select("check_in_month", "region").distinct()
+    return spark.table(_quoted(table)).join(pairs, ["check_in_month", "region"], "left_semi")

@@ -111,8 +111,12 @@ def _joined(pieces: DataFrame, comma: str) -> DataFrame:
     parts = rows.groupBy("file", "run").agg(F.sort_array(F.collect_list(F.struct("at", "value")))["value"].alias("parts"))
     glued = F.array_join("parts", comma)
     parts = parts.withColumn("glued", glued).withColumn("whole", one_value(F.col("glued")))
-    texts = F.when(F.col("whole"), F.array("glued")).otherwise(F.flatten(F.transform("parts", cut_values)))
-    return parts.select(F.explode(texts).alias("value"), F.col("whole").alias("one")).withColumn("one", F.col("one") | one_value(F.col("value")))
+    # A broken record may be in front of the one whose array is open: whichever cut leaves more values.
+    apart, together = F.flatten(F.transform("parts", cut_values)), cut_values(F.col("glued"))
+    good = lambda texts: F.size(F.filter(texts, one_value))
+    texts = F.when(F.col("whole"), F.array("glued")).when(F.size("parts") == 1, apart)
+    texts = texts.otherwise(F.when(good(together) > good(apart), together).otherwise(apart))
+    return parts.select(F.explode(texts).alias("value")).withColumn("one", one_value(F.col("value")))
 
 
 def _elements(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from staylake.plans.load import load_parsed
@@ -28,6 +29,19 @@ def append_batch(batch: DataFrame, lookups: Lookups, table: str, run_id: str, re
     load_parsed(batch, lookups, table, "append", run_id, reject_table)
 
 
+def first_deliveries(parsed: DataFrame, within: str) -> DataFrame:
+    """A stream of parsed records without those whose reservation was delivered before, up to ``within`` ago.
+
+    Keyed state of the stream: it holds the reservations of that time. Records
+    without a reservation, broken ones too, are not told from each other and
+    all stay.
+    """
+    key, at = "__reservation", "__delivered_at"
+    keyed = parsed.withColumn(key, F.col("accommodations.reservation")).withColumn(at, F.current_timestamp())
+    once = keyed.where(F.col(key).isNotNull()).withWatermark(at, within).dropDuplicatesWithinWatermark([key])
+    return once.drop(key, at).unionByName(parsed.where(F.col("accommodations.reservation").isNull()))
+
+
 def start_incremental_load(
     spark: SparkSession,
     source_dir: str,
@@ -39,17 +53,22 @@ def start_incremental_load(
     available_now: bool = True,
     trigger_interval: str = "1 minute",
     reject_table: str | None = None,
+    duplicates_within: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops after the files present now,
     otherwise it keeps checking for new files every ``trigger_interval``.
 
     The checkpoint defaults to a folder named after the table below the
     shared checkpoint area, so a restart resumes where the last run stopped.
+    With ``duplicates_within`` (``"7 days"``) a booking that is delivered
+    again in that time, under another file name too, is not booked again.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     parsed = parse_json_lines(reader.load(source_dir))
+    if duplicates_within:
+        parsed = first_deliveries(parsed, duplicates_within)
     ckpt = checkpoint_location or f"{shared_dir(spark)}/staylake/streams/{table}"
     # The checkpoint is the stream's identity: same folder, same run ids after a restart.
     stream_key = uuid.uuid5(uuid.NAMESPACE_URL, ckpt).hex
