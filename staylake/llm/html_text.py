@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Elements whose text never shows, or belongs to a control.
-SKIPPED = set("script style noscript template title head svg math iframe object canvas select option textarea button".split())
+SKIPPED = set("script style noscript template title head svg iframe object canvas select datalist option textarea button".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not start a block.
 INLINE = set(
+    "math mi mn mo mrow ms msub msup msubsup mfrac msqrt mroot mtext "
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var".split()
 )
 #: Elements that hold no main text, and those that hold it.
@@ -37,6 +38,14 @@ SIDE_WORDS = set(
     related recommended recommendations teaser teasers share sharing social
     form search searchbox skip""".split()
 )
+#: Words that may stand beside them in a name without making it another one ("site-header", not "social-history").
+NEUTRAL_WORDS = set(
+    """area article bar block body bottom box button buttons col column container content desktop entry first fixed global
+    group holder inner item items js last layout left link links list main mobile module outer page panel post posts primary
+    right row secondary section site slot sticky text thread top ul unit user web wrap wrapper""".split()
+)
+#: Names of a heading, where they stand in an article.
+HEADING_WORDS = {"header", "masthead"}
 #: Side elements in which a nested article is still side text (a comment, a teaser).
 STICKY_TAGS = {"aside", "footer", "form"}
 STICKY_WORDS = set("comment comments commentlist reply replies disqus respond related recommended recommendations teaser teasers".split())
@@ -69,13 +78,14 @@ LABELLED = [
     (0, 1, 12, 0.7, 40, 0.0, 35, 0.0, 1),
     (0, 1, 1, 1.0, 48, 0.0, 0, 0.0, 1),
     (0, 1, 6, 0.9, 0, 0.0, 55, 0.0, 1),
-    # lists of links in an article
-    (0, 1, 3, 1.0, 4, 1.0, 2, 1.0, 0),
-    (0, 1, 6, 1.0, 5, 1.0, 7, 1.0, 0),
-    (0, 1, 2, 1.0, 2, 1.0, 3, 1.0, 0),
-    (0, 1, 9, 1.0, 8, 1.0, 10, 1.0, 0),
-    (0, 1, 2, 1.0, 2, 1.0, 0, 0.0, 0),
-    (0, 1, 4, 1.0, 3, 1.0, 20, 0.0, 0),
+    # references and other lists of links in an article are part of it
+    (0, 1, 3, 1.0, 4, 1.0, 2, 1.0, 1),
+    (0, 1, 6, 1.0, 5, 1.0, 7, 1.0, 1),
+    (0, 1, 2, 1.0, 2, 1.0, 3, 1.0, 1),
+    (0, 1, 9, 1.0, 8, 1.0, 10, 1.0, 1),
+    (0, 1, 2, 1.0, 2, 1.0, 0, 0.0, 1),
+    (0, 1, 4, 1.0, 3, 1.0, 20, 0.0, 1),
+    # elsewhere they are not
     (0, 0, 2, 1.0, 3, 1.0, 45, 0.0, 0),
     (0, 0, 5, 1.0, 4, 1.0, 0, 0.0, 0),
     # side elements, in or out of an article, whatever their length
@@ -116,14 +126,27 @@ LABELLED = [
     (0, 0, 5, 0.0, 3, 1.0, 48, 0.0, 1),
     (0, 0, 9, 0.0, 50, 0.0, 0, 0.0, 1),
     (0, 0, 3, 1.0, 45, 0.0, 52, 0.0, 1),
-    # neither: link lists and stray lines
+    # neither: short lines among others like them
+    (0, 0, 2, 0.0, 3, 0.0, 2, 0.0, 1),
+    (0, 0, 1, 0.0, 3, 0.0, 2, 0.0, 1),
+    (0, 0, 3, 0.0, 0, 0.0, 1, 0.0, 1),
+    (0, 0, 2, 0.0, 1, 0.0, 0, 0.0, 1),
+    (0, 0, 5, 0.0, 2, 0.0, 0, 0.0, 1),
+    (0, 0, 2, 0.0, 0, 0.0, 0, 0.0, 1),
+    # neither: link lists, and lines beside them
+    (0, 0, 3, 0.0, 2, 1.0, 0, 0.0, 0),
+    (0, 0, 6, 0.0, 4, 0.8, 0, 0.0, 0),
+    (0, 0, 4, 0.9, 40, 0.0, 5, 0.0, 0),
+    (0, 0, 7, 1.0, 0, 0.0, 5, 0.0, 0),
+    (0, 0, 3, 1.0, 0, 0.0, 40, 0.0, 0),
+    (0, 0, 8, 0.9, 0, 0.0, 3, 0.0, 0),
+    (0, 0, 5, 0.8, 35, 0.0, 3, 0.0, 0),
     (0, 0, 2, 1.0, 3, 1.0, 2, 1.0, 0),
     (0, 0, 5, 1.0, 2, 1.0, 6, 1.0, 0),
     (0, 0, 12, 0.9, 10, 0.8, 14, 1.0, 0),
     (0, 0, 3, 1.0, 50, 0.0, 4, 1.0, 0),
     (0, 0, 4, 0.0, 2, 1.0, 3, 1.0, 0),
-    (0, 0, 2, 0.0, 3, 0.0, 2, 0.0, 0),
-    (0, 0, 3, 0.0, 4, 0.0, 1, 1.0, 0),
+    (0, 0, 3, 0.0, 4, 1.0, 1, 1.0, 0),
     (0, 0, 1, 0.0, 0, 0.0, 2, 1.0, 0),
     (0, 0, 6, 0.7, 40, 0.0, 5, 0.8, 0),
     (0, 0, 25, 0.8, 4, 1.0, 6, 1.0, 0),
@@ -136,6 +159,7 @@ LABELLED += [
         (0, 1, 1, 0.0, 1),
         (0, 1, 8, 0.0, 1),
         (0, 1, 70, 0.2, 1),
+        (0, 1, 5, 1.0, 1),
         (0, 0, 40, 0.0, 1),
         (1, 0, 2, 1.0, 0),
         (1, 0, 50, 0.0, 0),
@@ -146,6 +170,16 @@ LABELLED += [
 ]
 
 
+def _side_words(names: str) -> set[str]:
+    """Side words of the names of an element, each name of which says nothing else."""
+    found: set[str] = set()
+    for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names).lower().split():
+        words = set(re.findall("[a-z]+", name))
+        if words <= SIDE_WORDS | NEUTRAL_WORDS:
+            found |= words & SIDE_WORDS
+    return found
+
+
 class _Blocks(HTMLParser):
     """Collects ``(text, linked words, side, main)`` of each block, in page order."""
 
@@ -154,6 +188,7 @@ class _Blocks(HTMLParser):
         self.found: list[tuple[str, int, int, int]] = []
         self.open: list[tuple[str, int, int, int]] = []  # tag, side, main, sticky
         self.skip: list[str] = []
+        self.inside: list[str] = []  # open below what is skipped
         self.parts: list[str] = []
         self.linked, self.in_link = 0, False
 
@@ -173,17 +208,19 @@ class _Blocks(HTMLParser):
             if tag in SKIPPED and (not self.skip or self.skip[-1] == tag):
                 self.skip.append(tag)
             if tag in ("body", "article", "main"):  # an unclosed head
-                self.skip = []
+                self.skip, self.inside = [], []
             else:
+                if tag not in SKIPPED:
+                    self.inside.append(tag)
                 return
         if tag == "a":
             self.in_link = True
         if tag in INLINE and not attrs:
             return
         a = {k: (v or "") for k, v in attrs}
-        words = set(re.findall("[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", " ".join(a.get(k, "") for k in ("class", "id", "role"))).lower()))
+        words = _side_words(" ".join(a.get(k, "") for k in ("class", "id", "role")))
         hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "")
-        if tag in INLINE and not (words & SIDE_WORDS or hidden):
+        if tag in INLINE and not (words or hidden):
             return
         self.flush()
         if tag not in INLINE:
@@ -191,18 +228,24 @@ class _Blocks(HTMLParser):
         _, side, main, sticky = self.open[-1] if self.open else ("", 0, 0, 0)
         if tag in MAIN_TAGS:
             main, side = 1, side if sticky else 0
-        named = bool(words & SIDE_WORDS) and tag not in ("html", "body")
-        heading = tag == "header" and main and not side
-        if hidden or named or (tag in SIDE_TAGS and not heading):
+        in_article = main and not side
+        named = bool(words - HEADING_WORDS if in_article else words) and tag not in ("html", "body")
+        if hidden or named or (tag in SIDE_TAGS and not (in_article and tag == "header")):
             side = 1
             sticky = sticky or int(hidden or tag in STICKY_TAGS or bool(words & STICKY_WORDS))
         self.open.append((tag, side, main, sticky))
 
     def handle_endtag(self, tag):
         if self.skip:
+            if tag in self.inside:
+                del self.inside[len(self.inside) - 1 - self.inside[::-1].index(tag) :]
+                return
             if tag in self.skip:
                 del self.skip[len(self.skip) - 1 - self.skip[::-1].index(tag) :]
-            return
+                return
+            if tag in INLINE or not any(o[0] == tag for o in self.open):
+                return
+            self.skip, self.inside = [], []  # the element around it ends
         if tag == "a":
             self.in_link = False
         at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
@@ -251,14 +294,14 @@ def blocks(html: str | None) -> list[tuple[str, tuple[float, ...]]]:
     return out
 
 
-def fit_block_tree(spark: SparkSession, labelled: list[tuple] = LABELLED, depth: int = 6) -> tuple:
+def fit_block_tree(spark: SparkSession, labelled: list[tuple] = LABELLED, depth: int = 10) -> tuple:
     """Decision tree of the labelled table, as nested ``(feature, threshold, left, right)``; a leaf is a label."""
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.feature import VectorAssembler
 
     rows = spark.createDataFrame([tuple(map(float, r)) for r in labelled], [*FEATURES, "label"])
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).coalesce(1)
-    model = DecisionTreeClassifier(maxDepth=depth, maxBins=128, minInstancesPerNode=1, seed=3).fit(rows)
+    model = DecisionTreeClassifier(maxDepth=depth, maxBins=256, minInstancesPerNode=1, seed=3).fit(rows)
 
     def node(n):
         if n.subtreeDepth() == 0:
