@@ -36,9 +36,9 @@ SAMPLE = 4_000
 #: Bytes of text per bucket at most, on average; with less text, a bucket for each shuffle partition.
 BYTES_PER_BUCKET = 16 << 20
 #: Hashes of distinct words kept by a task; when full, the memory starts anew.
-WORD_MEMORY = 400_000
+WORD_MEMORY = 200_000
 #: Words of one text taken at a time, of a counting step, and of a group of documents dealt at a time.
-CHUNK, COUNTED, DEALT = 1_000_000, 2_000_000, 200_000
+CHUNK, COUNTED, DEALT = 1_000_000, 1_000_000, 200_000
 #: What a document counts for: the background, the target, a score; and that its last word lies in the bucket.
 BACKGROUND, TARGET, SCORED, TAIL = 1, 2, 4, 8
 
@@ -96,6 +96,13 @@ def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, known[at] == wanted
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows a few at a time, so that few texts are Python objects at once."""
+    for b in batches:
+        for k in range(0, b.num_rows, 256):
+            yield b.slice(k, 256)
+
+
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
@@ -283,7 +290,7 @@ def _count(rows: DataFrame, candidates: np.ndarray | None = None) -> DataFrame:
                 yield from summed(pair, word, good)
 
         n = 0
-        for b in batches:
+        for b in _small(batches):
             for t, flags in zip(b.column("text").to_pylist(), b.column("flags").to_pylist()):
                 for k, (before, word, _) in enumerate(words.chunks(t)):
                     held.append((before, word, bool(flags & TARGET)))
@@ -377,7 +384,7 @@ def with_loss_difference(docs: DataFrame, models: PairModels, text: str = "text"
             held.clear()
             return pa.RecordBatch.from_pylist(rows, kinds)
 
-        for b in batches:
+        for b in _small(batches):
             for key, t, flags in zip(*[b.column(c).to_pylist() for c in ("key", "text", "flags")]):
                 for k, (before, word, last) in enumerate(words.chunks(t)):
                     held.append((key, flags, before, word, k, last))
