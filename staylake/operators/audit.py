@@ -52,6 +52,22 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame(rows, "position int, col_name string, data_type string, is_partition boolean")
 
 
+def column_profile(spark: SparkSession, table: str) -> DataFrame:
+    """``position, col_name, data_type, stored_type, filled``: the table's columns beside what is stored.
+
+    ``stored_type`` is the type that the files hold (of a partition column
+    the catalog's), ``filled`` the rows with a value. One pass over the data.
+    """
+    df = spark.table(table)
+    stored = {f.name: f.dataType.simpleString() for f in spark.read.parquet(*df.inputFiles()[:1]).schema.fields} if df.inputFiles() else {}
+    filled = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    rows = filled.unpivot([], df.columns, "col_name", "filled")
+    described = describe_table(spark, table)
+    types = F.create_map(*[F.lit(x) for kv in stored.items() for x in kv]) if stored else F.create_map()
+    kind = F.coalesce(F.element_at(types.cast("map<string,string>"), F.col("col_name")), F.col("data_type"))
+    return described.join(F.broadcast(rows), "col_name").select("position", "col_name", "data_type", kind.alias("stored_type"), "filled")
+
+
 def audit(spark: SparkSession, table: str, history_table: str | None = None) -> dict[str, DataFrame]:
     """The standard post-load check suite as named DataFrames.
 

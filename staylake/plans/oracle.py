@@ -153,6 +153,14 @@ ORACLE: dict[str, str] = {
     "currencies_distinct": WANTED,
     "usd_rates": USD_RATES,
     "usd_rates_empty": "SELECT CAST(NULL AS VARCHAR) AS currency, CAST(NULL AS DOUBLE) AS rate_to_usd WHERE false",
+    "usd_rates_zero_quote": f"""
+        SELECT ccy AS currency, 1.0 / usd_to_ccy AS rate_to_usd FROM ({QUOTES})
+        WHERE usd_to_ccy <> 0 AND ccy IN (SELECT upper(replace(currency, 'usd', 'chf')) FROM ({FLAT}))
+        UNION ALL SELECT 'USD', CAST(1.0 AS DOUBLE)""",
+    "map_bookings_revenue": f"""
+        SELECT cast(b.id AS VARCHAR) AS transaction_id, CAST(b.id % 1000 * 1.25 AS DOUBLE) AS revenue,
+               {_usd('b.id % 1000 * 1.25', 'r.usd')} AS revenue_usd
+        FROM ({FLAT}) b LEFT JOIN ({ALL_RATES}) r ON upper(b.currency) = r.ccy""",
     "missing_rates": f"""
         WITH w AS ({WANTED}), r AS ({USD_RATES})
         SELECT currency FROM w WHERE currency <> 'USD' AND NOT EXISTS (SELECT 1 FROM r WHERE r.currency = w.currency)""",
@@ -227,6 +235,10 @@ ORACLE: dict[str, str] = {
     "sample_rows": f"SELECT * FROM ({TABLE}) ORDER BY transaction_id LIMIT 5",
     "sample_count": f"SELECT count(*) AS cnt FROM (SELECT 1 FROM ({MAPPED_WITH_ID}) LIMIT 100)",
     "describe_table": DESCRIBE,
+    "column_profile": f"""
+        WITH d AS ({DESCRIBE}),
+        n AS (UNPIVOT (SELECT {", ".join(f"count({n}) AS {n}" for n, _, _ in DESCRIBE_ROWS)} FROM ({TABLE})) ON * INTO NAME col_name VALUE filled)
+        SELECT position, col_name, data_type, data_type AS stored_type, filled FROM d JOIN n USING (col_name)""",
     "audit_suite": f"""
         SELECT 'row_count' AS "check", CAST(NULL AS VARCHAR) AS key, count(*) AS n FROM ({MAPPED})
         UNION ALL SELECT 'schema', col_name, CAST(position AS BIGINT) FROM ({DESCRIBE})

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from staylake.errors import UnsupportedWriteMode
 from staylake.functions.fields import country_code, date_only, prefixed_id, safe_path
 from staylake.functions.labels import attribution, device_name, label_part
-from staylake.operators.audit import audit, breakdown_by, describe_table, row_count, sample_rows
+from staylake.operators.audit import audit, breakdown_by, column_profile, describe_table, row_count, sample_rows
 from staylake.operators.drift import drift_profile
 from staylake.operators.lookups import check_lookup, lookup_or_default, lookup_or_keep
 from staylake.operators.rates import all_usd_rates, convert_amount, missing_rates, usd_rates, wanted_currencies
@@ -149,6 +149,21 @@ def usd_rates_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usd_rates(fx.quotes(spark), wanted_currencies(raw.where(code.isNull()), code))
 
 
+def usd_rates_zero_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates where the currency quoted at zero is wanted (it gets none) and no booking is in dollars (which get theirs)."""
+    raw = fx.raw_bookings(spark, sf_dir)
+    code = safe_path(raw, "currencies.booker")
+    code = F.when(F.lower(code) == "usd", F.lit("chf")).otherwise(code)
+    return usd_rates(fx.quotes(spark), wanted_currencies(raw, code))
+
+
+def map_bookings_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping with a revenue of its own, and its value in dollars."""
+    raw = fx.raw_bookings(spark, sf_dir)
+    revenue = F.col("id").cast("long") % 1000 * 1.25
+    return map_bookings(raw, fixture_lookups(spark, sf_dir), revenue=revenue).select("transaction_id", "revenue", "revenue_usd")
+
+
 def missing_rates_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing_rates(_booking_currencies(spark, sf_dir), all_usd_rates(fx.quotes(spark)))
 
@@ -497,6 +512,10 @@ def describe_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_table(spark, bookings_table(spark, sf_dir))
 
 
+def column_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_profile(spark, bookings_table(spark, sf_dir))
+
+
 def orders_breakdown_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breakdown_by(fx.table(spark, sf_dir, "orders"), "o_orderpriority")
 
@@ -520,6 +539,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "currencies_distinct": currencies_distinct,
     "usd_rates": usd_rates_q,
     "usd_rates_empty": usd_rates_empty,
+    "usd_rates_zero_quote": usd_rates_zero_quote,
+    "map_bookings_revenue": map_bookings_revenue,
     "missing_rates": missing_rates_q,
     "convert_amount": convert_amount_q,
     "rejects": rejects,
@@ -555,6 +576,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": sample_rows_q,
     "sample_count": sample_count,
     "describe_table": describe_table_q,
+    "column_profile": column_profile_q,
     "audit_suite": audit_suite,
     "orders_breakdown_priority": orders_breakdown_priority,
     "events_breakdown_type": events_breakdown_type,

@@ -186,10 +186,12 @@ def normalise_json(text: Column) -> Column:
 
     Text that is not one value is kept, on one line.
     """
-    tight = F.regexp_replace(text, rf"({STRING})|\s++", "$1")
+    # White space, and zeros at the end of a fraction; $1 is a string, $2 the fraction that stays.
+    spare = rf"({STRING})|\s++|(\.[0-9]*?[1-9])0*+(?![0-9])|\.0++(?![0-9])"
     tokens = F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), lambda t: F.when(t.rlike("^-?[0-9]"), plain_number(t)).otherwise(t))
-    # Digits with a point, an exponent or a signed zero, in or outside strings.
-    written = F.when(text.rlike(r"[0-9][.eE]|-0"), F.array_join(tokens, "")).otherwise(tight)
+    # Exponents and signed zeros, in or outside strings, take the way by tokens.
+    rare = text.rlike(r"[0-9][eE][+-]?[0-9]|[\s:,\[]-0")
+    written = F.when(rare, F.array_join(tokens, "")).otherwise(F.regexp_replace(text, spare, "$1$2"))
     return F.when(one_value(text), written).otherwise(F.regexp_replace(text, r"[\r\n]+", " "))
 
 

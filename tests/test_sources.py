@@ -272,6 +272,10 @@ def test_numbers_are_rewritten_on_their_digits(spark):
     bad = '{"a":1.0,\n"b"'
     got = [r[0] for r in spark.createDataFrame([(text,), (bad,)], "t string").select(normalise_json(F.col("t"))).collect()]
     assert got == ['{"a b":1,"2.50":"2.50 \\" 3.0","n":[1.5,20,true,null,0],"e":1e99999}', '{"a":1.0, "b"']
+    plain = ['{"a": 10.0,"b":2.50 , "c":"1.50 ","d":[0.0,0.1050,100,7.000],"e":12.0}', "3.10", "5.0", '"5.0"', "[ ]"]
+    want = ['{"a":10,"b":2.5,"c":"1.50 ","d":[0,0.105,100,7],"e":12}', "3.1", "5", '"5.0"', "[]"]
+    rows = spark.createDataFrame(list(enumerate(plain)), "k int, t string").select("k", normalise_json(F.col("t")))
+    assert [r[1] for r in sorted(rows.collect())] == want
     long = '{"a":"' + "x" * 300_000 + '","n":2.50}'
     assert spark.createDataFrame([(long,)], "t string").select(normalise_json(F.col("t"))).first()[0] == long.replace("2.50", "2.5")
 
