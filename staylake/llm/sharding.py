@@ -13,24 +13,20 @@ from pyspark.sql import functions as F
 
 from staylake.llm.common import cut
 
-#: Rounds at most; propagation ends early when no document asks to move.
-ROUNDS = 6
-#: A shard takes documents in a round up to this multiple of its even share.
+#: Rounds at most; propagation ends when a round brings no more neighbours together.
+ROUNDS = 24
+#: Where all documents are linked, a shard takes them in a round up to this multiple of its even share.
 QUOTA = 1.05
 #: Requests to a shard are granted in this many lots; a key's documents are in one lot.
 LOTS = 64
-#: Documents of a key beyond this part of a shard's even share are cut into parts of that size.
-PART = 0.25
+#: A key of at least this part of a share is large: it starts in one shard, and what makes way there are other documents.
+LARGE = 1 / 16
+#: Documents of a key that one task joins to the key's counts, about.
+JOINED = 1_000
 #: Rows ranked by one task at a time, about.
 RANK_UNIT = 2_000
 
 
-def _spread(key: Column, n: Column, part: float, u: str) -> Column:
-    """Number of the part of a large key that a document is in, null for other keys."""
-    parts = F.ceil(n / F.lit(part)).cast("int")
-    return F.when(parts > 1, F.pmod(F.xxhash64(F.col(u), F.lit("part")), parts).cast("int"))
-
-
 def grant(flows: list[tuple[int, int, int, int]], load: list[float], limit: float) -> set[int]:
     """Lots granted, as ``target * LOTS + lot``.
 
@@ -58,42 +54,65 @@ def grant(flows: list[tuple[int, int, int, int]], load: list[float], limit: floa
     return granted
 
 
+def large_starts(keys: list[tuple[int, int]], share: float, shards: int) -> list[tuple[int, int, int]]:
+    """``(key, part, shard)`` of the large keys (key, rows): the largest first, each part where least is yet."""
+    load, out = [0.0] * shards, []
+    for key, n in sorted(keys, key=lambda k: (-k[1], k[0])):
+        parts = -(-n // share)
+        for part in range(int(parts)):
+            s = min(range(shards), key=lambda s: (load[s], s))
+            load[s] += n / parts
+            out.append((key, part, s))
+    return out
+
+
 def propagate(docs: DataFrame, unit: str, keys: str, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """``u, shard, key``: the shard of every linked unit of ``docs``.
+    """``u, shard, key, large``: the shard of every linked unit of ``docs``, and whether its key is large.
 
     ``unit`` is a long column that names a row (rows of one unit move
-    together), ``keys`` an array<long> column. Each round is three joins and
-    aggregations on keys and units, checkpointed; only sums by shards and lots
-    reach the driver.
+    together), ``keys`` an array<long> column. A key with more rows than a
+    shard's even share is cut into parts of at most a share, which count as
+    keys of their own; any other can end in one shard. Large keys (of which
+    there are at most 16 a shard and key of a row) start together, all other
+    documents anywhere. Each round is three
+    joins and aggregations on keys and units, checkpointed; the documents of
+    a large key are joined to its counts by many tasks. Only sums by shards
+    and lots reach the driver.
     """
     total = docs.count()
     share = max(total / shards, 1.0)
     members = docs.select(F.col(unit).alias("u"), F.explode(F.array_distinct(keys)).alias("key")).where("key is not null")
     members = members.groupBy("u", "key").agg(F.count("*").alias("w"))
     sizes = members.groupBy("key").agg(F.sum("w").alias("n")).where("n > 1")
-    part = _spread(F.col("key"), F.col("n"), max(share * PART, 1.0), "u")
-    members = members.join(sizes, "key").withColumn("part", part)
-    # The parts of a large key start side by side, as many in a shard as fit.
-    per_shard = max(int(1 / PART) - 1, 1)
-    start = F.pmod(F.xxhash64("key") + F.floor(F.col("part") / per_shard), F.lit(shards)).cast("int")
-    members = cut(
-        members.select(
-            "u",
-            "w",
-            F.when(F.col("part").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"),
-            F.when(F.col("part").isNotNull(), start).alias("start"),
-        )
+    sizes = cut(sizes)
+    many = sizes.where(F.col("n") >= share * LARGE).orderBy(F.desc("n"), "key").limit(64 * shards).collect()
+    starts = docs.sparkSession.createDataFrame(large_starts([(r["key"], r.n) for r in many], share, shards), "key long, part int, start int")
+    parts = F.ceil(F.col("n") / F.lit(share)).cast("int")
+    part = F.when(parts > 1, F.pmod(F.xxhash64(F.col("u"), F.lit("part")), parts).cast("int")).otherwise(F.lit(0))
+    cuts = F.ceil(F.least("n", F.lit(share)) / F.lit(float(JOINED))).cast("int")
+    members = members.join(sizes, "key").withColumn("part", part).join(F.broadcast(starts), ["key", "part"], "left").select(
+        "u",
+        "w",
+        F.when(parts > 1, F.xxhash64("key", "part")).otherwise(F.col("key")).alias("key"),
+        "start",
+        F.greatest(cuts, F.lit(1)).alias("cuts"),
     )
+    members = cut(members.withColumn("salt", F.pmod(F.xxhash64("u", F.lit("salt")), F.col("cuts")).cast("int")))
     first = F.coalesce(F.min("start"), F.pmod(F.xxhash64("u"), F.lit(shards)).cast("int"))
-    labels = cut(members.groupBy("u").agg(F.max("w").alias("w"), F.min("key").alias("key"), first.alias("shard")))
-    members = members.select("u", "key")
+    large = F.max(F.col("start").isNotNull()).alias("large")
+    labels = cut(members.groupBy("u").agg(F.max("w").alias("w"), F.min("key").alias("key"), large, first.alias("shard")))
+    members = members.select("u", "key", "cuts", "salt")
     numbers = F.sequence(F.lit(0), F.lit(shards - 1))
-    limit, full = share * QUOTA + 1, []
+    # Unlinked documents make way later, so linked ones may fill a shard; beyond its share only where few are unlinked.
+    linked = labels.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
+    limit, full, together = share + (share * (QUOTA - 1) + 1) * linked / max(total, 1), [], -1
     for r in range(rounds):
         held = members.join(labels.select("u", "w", "shard"), "u").groupBy("key").agg(
-            F.array(*[F.sum(F.when(F.col("shard") == s, F.col("w")).otherwise(0)) for s in range(shards)]).alias("held")
+            F.array(*[F.sum(F.when(F.col("shard") == s, F.col("w")).otherwise(0)) for s in range(shards)]).alias("held"),
+            F.max("cuts").alias("cuts"),
         )
-        votes = members.join(held, "key").groupBy("u").agg(
+        held = held.select("key", "held", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("salt"))
+        votes = members.join(held, ["key", "salt"]).groupBy("u").agg(
             F.array(*[F.sum(F.col("held")[s]) for s in range(shards)]).alias("votes")
         )
         # Ties go by a hash that the documents of a key share, so that they agree on one shard.
@@ -105,25 +124,30 @@ def propagate(docs: DataFrame, unit: str, keys: str, shards: int, rounds: int =
         want = F.array_max(F.transform(numbers, best))["s"]
         lot = F.pmod(F.xxhash64(F.col("key"), F.lit(r)), F.lit(LOTS)).cast("int")
         asked = labels.join(votes, "u").withColumn("want", want).withColumn("lot", lot)
-        asked = cut(asked.select("u", "w", "key", "shard", "want", "lot"))
+        asked = cut(asked.select("u", "w", "key", "large", "shard", "want", "lot", (F.col("w") * n(F.col("shard"))).alias("near")))
+        sums = asked.groupBy("shard").agg(F.sum("w").alias("n"), F.sum("near").alias("near")).collect()
+        # Pairs of linked documents that share a shard: the fewer edges are cut, the more.
+        if sum(x.near for x in sums) <= together:
+            return before.select("u", "shard", "key", "large")
+        together, before = sum(x.near for x in sums), asked
         flows = asked.where("want <> shard").groupBy("shard", "want", "lot").agg(F.sum("w").alias("n")).collect()
-        loads = {x.shard: x.n for x in asked.groupBy("shard").agg(F.sum("w").alias("n")).collect()}
-        rest = (total - sum(loads.values())) / shards
-        load = [loads.get(s, 0) + rest for s in range(shards)]
+        loads = {x.shard: x.n for x in sums}
+        load = [loads.get(s, 0) for s in range(shards)]
         granted = grant(sorted((x["shard"], x.want, x["lot"], x.n) for x in flows), load, limit)
         full = [s for s in range(shards) if load[s] > 0.99 * limit]
         if not granted:
-            return asked.select("u", "shard", "key")
+            return asked.select("u", "shard", "key", "large")
         yes = (F.col("want") * LOTS + F.col("lot")).isin(sorted(granted))
-        labels = asked.select("u", "w", "key", F.when(yes, F.col("want")).otherwise(F.col("shard")).alias("shard"))
-    return labels.select("u", "shard", "key")
+        labels = asked.select("u", "w", "key", "large", F.when(yes, F.col("want")).otherwise(F.col("shard")).alias("shard"))
+    return labels.select("u", "shard", "key", "large")
 
 
 def even_out(rows: DataFrame, shards: int, order: list[str]) -> DataFrame:
     """``rows`` with final ``shard`` and ``slot``: counts at most one apart, slots gapless from 0.
 
-    ``rows`` has a proposed ``shard`` and ``key`` (null for unlinked rows).
-    Within a shard linked rows come first, by key, then the others; rows
+    ``rows`` has a proposed ``shard``, ``key`` (null for unlinked rows) and
+    ``large``. Within a shard rows of large keys come first, then other
+    linked rows, by key, then the others; rows
     ranked beyond the shard's share fill the shards that lack rows. Ranks come
     from counts of small units and a rank within each, so no task ranks a
     whole shard.
@@ -136,7 +160,7 @@ def even_out(rows: DataFrame, shards: int, order: list[str]) -> DataFrame:
     units = max(max(counts, default=0) // RANK_UNIT, 1)
     # A unit is a range of key hashes, and within it a share of the rows of large keys.
     lead = F.floor(F.pmod(F.col("_h"), F.lit(1 << 30)) / F.lit((1 << 30) / units)).cast("int")
-    rows = rows.withColumn("_unit", F.when(F.col("key").isNull(), lead + units).otherwise(lead))
+    rows = rows.withColumn("_unit", F.when(F.col("key").isNull(), lead + 2 * units).when(F.col("large"), lead).otherwise(lead + units))
     rows = rows.withColumn("_sub", F.pmod(F.xxhash64(*order, F.lit("sub")), F.lit(16)).cast("int"))
     from pyspark.sql import Window
 
@@ -183,7 +207,7 @@ def shard_documents(
     at most one apart; slots of a shard are gapless from 0. A null text has
     size 1, CRC 0 and no links; empty texts are equal to each other. A null id
     is a value like any other; repeated rows each get a slot. A key may hold
-    any part of the rows: it is cut into parts of a quarter of a shard. An
+    any part of the rows: beyond a shard's share it is cut into parts. An
     empty table gives an empty result. Columns other than the id and the text
     are not read.
     """
@@ -201,4 +225,4 @@ def shard_documents(
     rows = base.drop("keys").join(found, "u", "left")
     home = F.pmod(F.xxhash64("u"), F.lit(shards)).cast("int")
     rows = cut(rows.withColumn("shard", F.coalesce("shard", home)))
-    return even_out(rows, shards, ["doc_id", "text_crc32", "size"]).drop("u", "key")
+    return even_out(rows, shards, ["doc_id", "text_crc32", "size"]).drop("u", "key", "large")
