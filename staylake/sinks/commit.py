@@ -10,14 +10,12 @@ and last the run is recorded in the history.
 Whatever fails on the way, the same run id started again ends in the same
 state: without the counts the staging is written anew, with them the rest of
 the files is moved, and a recorded run is done. An overwrite first deletes the
-files of other writes; those of the run are told by the id that Spark gives to
-each write and puts into its file names.
+table's files and marks that this is done; only then its own files move.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -34,12 +32,11 @@ GOOD, BAD = "good", "bad"
 
 @dataclass(frozen=True)
 class Staged:
-    """What a whole staging folder holds: counts, and the id of its write (null without files)."""
+    """What a whole staging folder holds."""
 
     rows_read: int
     rows_written: int
     rows_rejected: int
-    write_id: str | None
 
 
 class _Files:
@@ -58,26 +55,25 @@ class _Files:
     def delete(self, p: str) -> None:
         self.fs.delete(self.path(p), True)
 
-    def children(self, p: str) -> list[str]:
-        return [s.getPath().toString() for s in self.fs.listStatus(self.path(p))] if self.exists(p) else []
-
-    def data_files(self, p: str) -> list[str]:
-        """Files below ``p`` that are data, not marks."""
-        out: list[str] = []
-        if self.exists(p):
-            found = self.fs.listFiles(self.path(p), True)
-            while found.hasNext():
-                out.append(found.next().getPath().toString())
-        return sorted(f for f in out if _visible(f))
+    def children(self, p: str) -> list[tuple[str, bool]]:
+        """Names of what is in a folder and whether each is a folder; marks are left out."""
+        if not self.exists(p):
+            return []
+        found = [(f.getPath().getName(), f.isDirectory()) for f in self.fs.listStatus(self.path(p))]
+        return [f for f in found if not f[0].startswith(("_", "."))]
 
     def move(self, src: str, dst: str) -> None:
-        self.fs.mkdirs(self.path(dst).getParent())
         if not self.fs.rename(self.path(src), self.path(dst)):
             raise OSError(f"cannot move {src} to {dst}")
 
-
-def _visible(path: str) -> bool:
-    return not path.rsplit("/", 1)[-1].startswith(("_", "."))
+    def move_into(self, src: str, dst: str) -> None:
+        """Move what is in the folder ``src`` to the same places below the folder ``dst``; a folder that ``dst`` lacks moves whole."""
+        there = {name for name, _ in self.children(dst)}
+        for name, folder in self.children(src):
+            if folder and name in there:
+                self.move_into(f"{src}/{name}", f"{dst}/{name}")
+            else:
+                self.move(f"{src}/{name}", f"{dst}/{name}")
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -115,59 +111,32 @@ def stage(rows: DataFrame, path: str, read: Observation, recount) -> Staged:
         seen = recount()
         if seen != good + bad:
             raise LoadMismatch(f"{seen} records read, {good} booked and {bad} rejected; nothing was loaded")
-    names = _Files(spark, path).data_files(f"{path}/data")
     if good:
         booked = spark.read.schema(BOOKINGS_TABLE).option("basePath", f"{path}/data/{KIND}={GOOD}").parquet(f"{path}/data/{KIND}={GOOD}")
         counts = booked.groupBy(*SUMMARY_KEYS).agg(F.count(F.lit(1)).alias("bookings"))
         counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/summary")
-    found = re.search(r"part-\d+-([0-9a-f-]{36})", names[0].rsplit("/", 1)[-1]) if names else None
-    done = Staged(seen, good, bad, found[1] if found else None)
+    done = Staged(seen, good, bad)
     spark.createDataFrame([(json.dumps(asdict(done)),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/counts")
     return done
 
 
-def _promote(files: _Files, src: str, dst: str) -> None:
-    """Move the files below ``src`` to the same places below ``dst``; a folder that ``dst`` lacks moves as a whole."""
-    folders: dict[str, list[str]] = {}
-    for f in files.data_files(src):
-        folders.setdefault(f.rsplit("/", 1)[0], []).append(f)
-    base = files.path(src).toString() if "://" in src else src
-    for folder, found in folders.items():
-        place = folder[folder.index(base) + len(base) :] if base in folder else folder.split(src, 1)[1]
-        if place and not files.exists(dst + place):
-            files.move(folder, dst + place)
-            continue
-        for f in found:
-            files.move(f, dst + place + "/" + f.rsplit("/", 1)[-1])
-
-
-def _delete_others(files: _Files, location: str, write_id: str | None) -> None:
-    """Delete the table's files but those of the write ``write_id``."""
-    for child in filter(_visible, files.children(location)):
-        names = files.data_files(child) if files.fs.getFileStatus(files.path(child)).isDirectory() else [child]
-        own = [f for f in names if write_id and write_id in f.rsplit("/", 1)[-1]]
-        if not own:
-            files.delete(child)
-        else:
-            for f in set(names) - set(own):
-                files.delete(f)
-
-
 def commit(spark: SparkSession, path: str, staged: Staged, table: str, mode: str, reject_table: str) -> None:
     """Move a whole staging folder into its tables; may be started again until it ends."""
     location = table_location(spark, table)
     files = _Files(spark, location)
-    if mode == "overwrite":
-        _delete_others(files, location, staged.write_id)
-    _promote(files, f"{path}/data/{KIND}={GOOD}", location)
+    if mode == "overwrite" and not files.exists(f"{path}/cleared"):
+        for name, _ in files.children(location):
+            files.delete(f"{location}/{name}")
+        files.fs.mkdirs(files.path(f"{path}/cleared"))
+    files.move_into(f"{path}/data/{KIND}={GOOD}", location)
     # New partitions become known, and after an overwrite those without files are dropped.
     spark.sql(f"MSCK REPAIR TABLE {_quoted(table)} {'SYNC' if mode == 'overwrite' else 'ADD'} PARTITIONS")
     spark.catalog.refreshTable(_quoted(table))
     if staged.rows_rejected:
         ensure_side_table(spark, reject_table, REJECT_TABLE)
         target = table_location(spark, reject_table)
-        for f in files.data_files(f"{path}/data/{KIND}={BAD}"):
-            files.move(f, f"{target}/{f.rsplit('/', 1)[-1]}")
+        none = "/".join(f"{c}=__HIVE_DEFAULT_PARTITION__" for c in PARTITION_COLUMNS)
+        files.move_into(f"{path}/data/{KIND}={BAD}/{none}", target)
         spark.catalog.refreshTable(_quoted(reject_table))
 
 
@@ -179,9 +148,9 @@ def commit_summary(spark: SparkSession, path: str, table: str, mode: str, run_id
     files = _Files(spark, location)
     place = f"run_id={files.jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)}"
     if mode == "overwrite":
-        for child in filter(_visible, files.children(location)):
-            if child.rsplit("/", 1)[-1] != place:
-                files.delete(child)
+        for name, _ in files.children(location):
+            if name != place:
+                files.delete(f"{location}/{name}")
     if files.exists(f"{path}/summary") and not files.exists(f"{location}/{place}"):
         files.move(f"{path}/summary", f"{location}/{place}")
     spark.sql(f"MSCK REPAIR TABLE {_quoted(summaries)} SYNC PARTITIONS")
