@@ -21,10 +21,10 @@ from staylake.llm.common import bounded_blocks, cut, segments, spanning_links
 from staylake.llm.components import connected_components
 
 #: Tables, cells of each table a vector is filed under, and the width of a cell.
-#: For pairs at a cosine of 0.90 these find 0.98 of all, at 0.95 all but a few in
-#: a million; unrelated pairs meet with a chance near 0.01 (64 dimensions). A
-#: narrower cell with more tables suits more vectors: 28 tables, 4 probes and
-#: 0.9 meet unrelated pairs with a chance below 0.0005.
+#: Measured on 6,000 pairs of 64 dimensions: these find 0.988 of all pairs at a
+#: cosine of 0.90 and 0.9997 at 0.93; two unrelated vectors share 0.015 keys. Narrower
+#: cells need more tables: 28 tables, 4 probes and 0.9 find 0.996 at 0.90 and share
+#: 0.006 keys, 64 tables, 4 probes and 0.7 find 0.984 and share 0.002.
 TABLES, PROBES, WIDTH = 4, 8, 1.1
 #: Members of a cell that one task compares at a time (more are cut into pairs of chunks).
 BLOCK_LIMIT = 1024
