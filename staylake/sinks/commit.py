@@ -16,6 +16,7 @@ table's files and marks that this is done; only then its own files move.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import asdict, dataclass
 
@@ -140,13 +141,18 @@ def commit(spark: SparkSession, path: str, staged: Staged, table: str, mode: str
         spark.catalog.refreshTable(_quoted(reject_table))
 
 
+def _folder_name(value: str) -> str:
+    """A partition value as part of a folder name."""
+    return re.sub(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", value)
+
+
 def commit_summary(spark: SparkSession, path: str, table: str, mode: str, run_id: str) -> None:
     """Move a run's counts into the table's summaries, one partition a run; an overwrite drops the others."""
     summaries = summaries_table_for(table)
     ensure_side_table(spark, summaries, SUMMARY, "run_id")
     location = table_location(spark, summaries)
     files = _Files(spark, location)
-    place = f"run_id={files.jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)}"
+    place = f"run_id={_folder_name(run_id)}"
     if mode == "overwrite":
         for name, _ in files.children(location):
             if name != place:
