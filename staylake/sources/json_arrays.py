@@ -30,6 +30,7 @@ The rewrite writes whole-valued numbers as integers (``10.0``, ``1e1`` ->
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -138,7 +139,8 @@ def _records(spark: SparkSession, path: str | list[str], layout: str) -> DataFra
     if layout == "lines":
         lines = spark.read.text(path)
         stripped = F.regexp_replace(F.regexp_replace("value", _BEFORE, ""), _AFTER, "")
-        records = lines.select(stripped.alias("value")).where(F.col("value") != "")
+        records = lines.select(stripped.alias("value"))
+        # An empty text has no pieces; a filter here would strip every line twice.
         each = F.when(one_value(F.col("value")), F.array("value")).otherwise(cut_values(F.col("value")))
         return records.select(F.explode(each).alias("value")).withColumn("one", one_value(F.col("value")))
     raise ValueError(f"unknown layout {layout!r}; use one of {LAYOUTS}")
@@ -159,26 +161,44 @@ def read_json_array(
 #: Exponents beyond which a number keeps its text (its digits would fill pages).
 MAX_EXPONENT = 5_000
 _NUMBER = r"^(-?)([0-9]+)(?:\.([0-9]+))?(?:[eE]([+-]?[0-9]{1,9}))?$"
-_TOKEN = STRING + r'|[{}\[\]:,]|[^\s"{}\[\]:,]++'
+# A bare token that starts like a number, or all that is up to the next one.
+_STRETCH = rf'-?[0-9][^\s"{{}}\[\]:,]*+|(?:{STRING}|[{{}}\[\]:,\s]++|(?!-?[0-9])[^\s"{{}}\[\]:,]++)++'
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value worked out once however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _moved(token: Column, parts: Column) -> Column:
+    """The number of which ``parts`` are sign, digits before and after the point, and exponent."""
+    exponent = F.coalesce(F.nullif(parts[3], F.lit("")).cast("int"), F.lit(0))
+
+    def shifted(e: Column) -> Column:
+        scale = F.length(parts[2]) - e
+        digits = F.concat(parts[1], parts[2], F.repeat(F.lit("0"), F.greatest(-scale, F.lit(0))))
+        padded = lambda d: F.when(F.length(d) > scale, d).otherwise(F.lpad(d, scale + 1, F.lit("0")))
+        return F.when(F.abs(e) <= MAX_EXPONENT, _bound(_bound(digits, padded), lambda d: written(d, F.greatest(scale, F.lit(0))))).otherwise(token)
+
+    def written(digits: Column, places: Column) -> Column:
+        point = F.length(digits) - places
+        whole = F.coalesce(F.nullif(F.ltrim(F.substring(digits, F.lit(1), point), F.lit("0")), F.lit("")), F.lit("0"))
+        rest = F.rtrim(F.substring(digits, point + 1, places), F.lit("0"))
+        text = _bound(rest, lambda r: F.concat(whole, F.when(r != "", F.concat(F.lit("."), r)).otherwise(F.lit(""))))
+        return _bound(text, lambda t: F.when(t == "0", t).otherwise(F.concat(parts[0], t)))
+
+    return _bound(exponent, shifted)
 
 
 def plain_number(token: Column) -> Column:
     """A JSON number as an integer if it is whole, else as a plain decimal; anything else stays.
 
-    The digits are moved as text, so no number is too long to stay exact.
+    The digits are moved as text, so no number is too long to stay exact. A
+    number is cut into its parts once, and each step's text is kept for the
+    next: named in several places, it would be worked out in each of them.
     """
-    part = lambda k: F.regexp_extract(token, _NUMBER, k)
-    exponent = F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0))
-    digits = F.concat(part(2), part(3))
-    scale = F.length(part(3)) - exponent
-    padded = F.concat(digits, F.repeat(F.lit("0"), F.greatest(-scale, F.lit(0))))
-    padded = F.when(F.length(padded) > scale, padded).otherwise(F.lpad(padded, scale + 1, F.lit("0")))
-    places = F.greatest(scale, F.lit(0))
-    whole = F.regexp_replace(F.substring(padded, F.lit(1), F.length(padded) - places), "^0+(?=[0-9])", "")
-    rest = F.regexp_replace(F.substring(padded, F.length(padded) - places + 1, places), "0+$", "")
-    text = F.concat(whole, F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")))
-    text = F.when(text == "0", text).otherwise(F.concat(part(1), text))
-    return F.when(token.rlike(_NUMBER) & (F.abs(exponent) <= MAX_EXPONENT), text).otherwise(token)
+    parts = F.split(F.regexp_replace(token, _NUMBER + "(?s:.*)", "$1,$2,$3,$4"), ",")
+    return F.when(token.rlike(_NUMBER), _bound(parts, lambda p: _moved(token, p))).otherwise(token)
 
 
 def normalise_json(text: Column) -> Column:
@@ -188,10 +208,17 @@ def normalise_json(text: Column) -> Column:
     """
     # White space, and zeros at the end of a fraction; $1 is a string, $2 the fraction that stays.
     spare = rf"({STRING})|\s++|(\.[0-9]*?[1-9])0*+(?![0-9])|\.0++(?![0-9])"
-    tokens = F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), lambda t: F.when(t.rlike("^-?[0-9]"), plain_number(t)).otherwise(t))
-    # Exponents and signed zeros, in or outside strings, take the way by tokens.
+
+    def stretch(t: Column) -> Column:
+        bare = F.when(t.rlike(r"\s"), F.regexp_replace(t, rf"({STRING})|\s++", "$1")).otherwise(t)
+        trimmed = F.regexp_replace(t, r"(\.[0-9]*?[1-9])0++$|\.0++$", "$1")
+        number = F.when(t.rlike(r"^-?[1-9][0-9]*+(?:\.[0-9]++)?$"), trimmed).otherwise(plain_number(t))
+        return F.when(t.rlike("^-?[0-9]"), number).otherwise(bare)
+
+    # Exponents and signed zeros, in or outside strings, take the way by numbers.
     rare = text.rlike(r"[0-9][eE][+-]?[0-9]|[\s:,\[]-0")
-    written = F.when(rare, F.array_join(tokens, "")).otherwise(F.regexp_replace(text, spare, "$1$2"))
+    stretches = F.transform(F.regexp_extract_all(text, F.lit(_STRETCH), F.lit(0)), stretch)
+    written = F.when(rare, F.array_join(stretches, "")).otherwise(F.regexp_replace(text, spare, "$1$2"))
     return F.when(one_value(text), written).otherwise(F.regexp_replace(text, r"[\r\n]+", " "))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from staylake.errors import BadMapping
 from staylake.operators.rejects import split_rejects
-from staylake.sources.json_arrays import normalise_json, plain_number, read_json_array, rewrite_json_arrays
+from staylake.sources.json_arrays import array_records, normalise_json, plain_number, read_json_array, rewrite_json_arrays
 from staylake.sources.json_lines import parse_json_lines, read_json_lines
 from staylake.sources.mappings import load_mapping, mapping_from_dict, write_mapping
 
@@ -285,3 +285,16 @@ def test_last_value_of_a_repeated_key_counts(spark, scratch):
     assert {r["key"]: r["value"] for r in load_mapping(spark, p).collect()} == {"a": "2", "b": "x", "c": None}
     df = spark.createDataFrame([('{"id":1,"label":"a","id":2}',)], "value string")
     assert [r["id"] for r in parse_json_lines(df).collect()] == ["2"]
+
+
+def test_numbers_are_cut_into_parts_once(spark, scratch):
+    """Every step of the rewrite of a number is worked out once: its expression names few regexes, and lines are stripped once."""
+    df = spark.createDataFrame([("[1.5e1]",)], "value string")
+    plan = df.select(normalise_json(F.col("value")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") + plan.count("regexp_replace(") < 20
+    df.union(spark.createDataFrame([("[",), (" ] ",), ("",), ("{\"a\":-0.0,\"b\":1.20e1},",)], "value string")).write.text(scratch)
+    got = array_records(spark, scratch, "lines")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(value") == 1
+    assert sorted(r[0] for r in got.collect()) == ["1.5e1", '{"a":-0.0,"b":1.20e1}']
+    assert rewrite_json_arrays(spark, scratch, scratch + "_out", layout="lines") == 2
+    assert sorted(r[0] for r in spark.read.text(scratch + "_out").collect()) == ["15", '{"a":0,"b":12}']
