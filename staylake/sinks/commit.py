@@ -69,8 +69,10 @@ class _Files:
 
     def move_into(self, src: str, dst: str) -> None:
         """Move what is in the folder ``src`` to the same places below the folder ``dst``; a folder that ``dst`` lacks moves whole."""
-        there = {name for name, _ in self.children(dst)}
-        for name, folder in self.children(src):
+        found = self.children(src)
+        # Files are moved unseen: a partition's folder is not listed for the files of the runs before.
+        there = {name for name, _ in self.children(dst)} if any(folder for _, folder in found) else set()
+        for name, folder in found:
             if folder and name in there:
                 self.move_into(f"{src}/{name}", f"{dst}/{name}")
             else:

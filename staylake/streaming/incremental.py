@@ -13,6 +13,8 @@ A micro-batch that is re-run after a failure carries the same ``run_id``
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +23,34 @@ from pyspark.sql.streaming import StreamingQuery
 from staylake.plans.load import load_parsed
 from staylake.plans.mapping import Lookups
 from staylake.session import shared_dir
+from staylake.sinks.table import _aqe_on
 from staylake.sources.json_lines import parse_json_lines
 
 
+@contextmanager
+def _adaptive(session: SparkSession, wanted: bool) -> Iterator[None]:
+    """AQE in a stream's session for the jobs of a batch, if ``wanted``.
+
+    A stream turns AQE off in the session of its own, for the number of its
+    state's partitions is fixed. The plan of a batch is made by then; what is
+    done with its rows is a batch load, and clusters them by partition value
+    before the write as any other. Without that every task of the state writes
+    a file for every partition value. The rule left out would drop the count of
+    the records read from the plan of a batch without rows.
+    """
+    empty = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    excluded = session.conf.get("spark.sql.adaptive.optimizer.excludedRules", None)
+    settings = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.optimizer.excludedRules": f"{excluded},{empty}" if excluded else empty}
+    before = {k: session.conf.get(k, None) for k in settings} if wanted else {}
+    for k in before:
+        session.conf.set(k, settings[k])
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            session.conf.unset(k) if v is None else session.conf.set(k, v)
+
+
 def append_batch(batch: DataFrame, lookups: Lookups, table: str, run_id: str, reject_table: str | None = None) -> None:
     """Append one batch of parsed records, once however often it is run."""
     load_parsed(batch, lookups, table, "append", run_id, reject_table)
@@ -72,9 +99,11 @@ def start_incremental_load(
     ckpt = checkpoint_location or f"{shared_dir(spark)}/staylake/streams/{table}"
     # The checkpoint is the stream's identity: same folder, same run ids after a restart.
     stream_key = uuid.uuid5(uuid.NAMESPACE_URL, ckpt).hex
+    adaptive = _aqe_on(spark)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        append_batch(batch, lookups, table, f"{stream_key}-{batch_id}", reject_table)
+        with _adaptive(batch.sparkSession, adaptive):
+            append_batch(batch, lookups, table, f"{stream_key}-{batch_id}", reject_table)
 
     writer = parsed.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
