@@ -70,7 +70,7 @@ def test_a_move_lists_no_folder_of_files(spark, tmp_path):
     for place, name in (("src/p=1", "new"), ("dst/p=1", "old"), ("src/p=2", "new")):
         os.makedirs(f"{tmp_path}/{place}")
         open(f"{tmp_path}/{place}/{name}", "w").close()
-    files, listed = _Files(spark, tmp_path), []
+    files, listed = _Files(spark, str(tmp_path)), []
     children = files.children
     files.children = lambda p: listed.append(p) or children(p)
     files.move_into(f"{tmp_path}/src", f"{tmp_path}/dst")
